@@ -1,0 +1,58 @@
+"""Join many rows to a table that is unique on the join key, hot keys included."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A key outside the HOT_KEYS most frequent ones holds less than 1/HOT_KEYS of the
+# rows, so it cannot overload a task. This also bounds the broadcast list of hot keys.
+HOT_KEYS = 1000
+# Keys with fewer rows than this are never worth splitting.
+HOT_ROWS = 100_000
+
+_SALT = "__salt"
+
+
+def _splits(df: DataFrame) -> int:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(8, min(256, partitions))
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys of `rows` worth splitting: at most HOT_KEYS of them."""
+    return (
+        rows.where(F.col(key).isNotNull())
+        .groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+        .where(F.col("__rows") >= hot_rows)
+        .orderBy(F.col("__rows").desc(), F.col(key)).limit(HOT_KEYS)
+        .select(key)
+    )
+
+
+def lookup_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "left",
+    counted_on: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """`rows.join(lookup, key, how)` for a `lookup` with one row per key.
+
+    Rows of a hot key are spread over several reducers by a salt taken from their
+    content, and the lookup row of that key (only that one) is repeated per salt.
+    `counted_on` names a cheaper frame with the same hot keys, for when `rows` is
+    itself the result of a join. Works for inner, left, left_semi and left_anti.
+    """
+    hot = F.broadcast(
+        hot_keys(rows if counted_on is None else counted_on, key, hot_rows)
+        .withColumn("__hot", F.lit(True))
+    )
+    splits = _splits(rows)
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(splits))).otherwise(0)
+    salted = rows.join(hot, key, "left").withColumn(_SALT, salt.cast("int")).drop("__hot")
+    copies = F.sequence(F.lit(0), F.when(F.col("__hot"), F.lit(splits - 1)).otherwise(0))
+    repeated = lookup.join(hot, key, "left").withColumn(_SALT, F.explode(copies)).drop("__hot")
+    joined = salted.join(repeated, [key, _SALT], how).drop(_SALT)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c != key]
+    return joined.select(*rows.columns, *added)
