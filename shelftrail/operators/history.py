@@ -21,9 +21,14 @@ def code_history(products: DataFrame, median: str = "exact", until=None) -> Data
     """
     if until is not None:
         products = products.where(F.col("import_date") <= day(until))
-    return daily_prices(products, median).groupBy("code").agg(
-        F.count_distinct("median").alias("price_changes_count"),
-        F.max("highest").alias("max_price"),
+    # A code has one row per calendar day by now, so all of them may meet in one task:
+    # one shuffle on the code serves both groupings.
+    return (
+        daily_prices(products, median).repartition("code")
+        .groupBy("code", "median").agg(F.max("highest").alias("highest"))
+        .groupBy("code").agg(
+            F.count("median").alias("price_changes_count"), F.max("highest").alias("max_price")
+        )
     )
 
 

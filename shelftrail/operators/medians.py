@@ -49,67 +49,77 @@ def exact_median(
     counted before the shuffle, and the counting is spread over (keys, value), so a
     hot group costs no more than its distinct values. The middle is then found by
     running counts in value order, which sort and spill instead of holding a group
-    in memory. With `large_groups` (few groups, each a large part of the table) the
-    values are first counted in coarse bands, and only the one or two bands around
-    the middle are put in order.
+    in memory. `large_groups` is for one group per calendar day at most, each a large
+    part of the table: see `_median_by_bands`.
     """
     sums = sums or {}
+    if large_groups:
+        return _median_by_bands(df, keys, value, sums)
     counted = (
         df.groupBy(*keys, F.col(value).cast("double").alias("__value"))
         .agg(F.count(F.lit(1)).alias("__n"), *[F.sum(e).alias(n) for n, e in sums.items()])
         .withColumn("__valid", F.when(F.col("__value").isNotNull(), F.col("__n")).otherwise(0))
     )
-    if not large_groups:
-        per_group = _running(counted, keys, "__value").groupBy(*keys).agg(
-            F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
-            F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
-            F.max("__value").alias("highest"),
-            F.sum("__n").alias("row_count"),
-            *[F.sum(n).alias(n) for n in sums],
-        )
-        return per_group.select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
+    per_group = _running(counted, keys, "__value").groupBy(*keys).agg(
+        F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
+        F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
+        F.max("__value").alias("highest"),
+        F.sum("__n").alias("row_count"),
+        *[F.sum(n).alias(n) for n in sums],
+    )
+    return per_group.select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
+
+
+def _median_by_bands(df: DataFrame, keys: list[str], value: str, sums: dict[str, Column]) -> DataFrame:
+    """`exact_median` for few, large groups, without shuffling their values.
 
-    banded = counted.withColumn("__band", _band(F.col("__value")))
+    A first pass counts the values in coarse bands, a few thousand numbers per group.
+    A second pass reads only the one or two bands that hold the middle and puts their
+    distinct values in order.
+    """
+    price = F.col(value).cast("double")
+    banded = df.select("*", price.alias("__value"), _band(price).alias("__band"))
+    known = F.count("__value").alias("__valid")
     bands = banded.groupBy(*keys, "__band").agg(
-        F.sum("__valid").alias("__valid"),
-        F.sum("__n").alias("__n"),
+        known,
+        F.count(F.lit(1)).alias("row_count"),
         F.max("__value").alias("highest"),
-        *[F.sum(n).alias(n) for n in sums],
+        *[F.sum(e).alias(n) for n, e in sums.items()],
     )
-    here = F.struct(F.col("__band"), (F.col("__upto") - F.col("__valid")).alias("__before"))
+    here = F.struct(F.col("__band"), (F.col("__upto") - F.col("__valid")).alias("before"))
     groups = _running(bands, keys, "__band").groupBy(*keys).agg(
-        F.max(_at(_LOWER, here)).alias("__low_band"),
-        F.max(_at(_UPPER, here)).alias("__high_band"),
+        F.max(_at(_LOWER, here)).alias("__low"),
+        F.max(_at(_UPPER, here)).alias("__high"),
         F.max("__known").alias("__known"),
         F.max("highest").alias("highest"),
-        F.sum("__n").alias("row_count"),
+        F.sum("row_count").alias("row_count"),
         *[F.sum(n).alias(n) for n in sums],
     )
-    # Only groups with a known value have bands to look into.
-    wanted = groups.where(F.col("__known") > 0).select(
-        *[F.col(k).alias(f"__key_{k}") for k in keys],
-        F.col("__known").alias("__group_known"),
-        F.explode(F.array_distinct(F.array("__low_band", "__high_band"))).alias("__pick"),
-    )
-    same_keys = F.col("__band") == F.col("__pick.__band")
+    carried = ["__known", "highest", "row_count", *sums]
+    # At most two rows per group, and one group per calendar day: small enough to send
+    # to every task. A group without known values picks the band of the unknown ones.
+    picks = groups.select(
+        *[F.col(k).alias(f"__key_{k}") for k in keys], *carried,
+        F.explode(F.array_distinct(F.array("__low", "__high"))).alias("__pick"),
+    ).select("*", F.col("__pick.__band").alias("__picked"), F.col("__pick.before").alias("__before"))
+    same = F.col("__band").eqNullSafe(F.col("__picked"))
     for k in keys:
-        same_keys &= F.col(k).eqNullSafe(F.col(f"__key_{k}"))
-    near = banded.join(wanted, same_keys)
+        same &= F.col(k).eqNullSafe(F.col(f"__key_{k}"))
     near = (
-        _running(near, [*keys, "__band"], "__value")
-        .withColumn("__upto", F.col("__upto") + F.col("__pick.__before"))
-        .withColumn("__known", F.col("__group_known"))
+        banded.select(*keys, "__value", "__band").join(F.broadcast(picks.drop("__pick")), same)
+        .groupBy(*keys, "__band", "__value").agg(
+            known, *[F.max(c).alias(c) for c in ["__before", *carried]]
+        )
+    )
+    upto = Window.partitionBy(*keys, "__band").orderBy(F.col("__value").asc_nulls_last()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    middles = near.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(
+    ranked = near.withColumn("__upto", F.sum("__valid").over(upto) + F.col("__before"))
+    return ranked.groupBy(*keys).agg(
         F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
         F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
-    )
-    back = F.lit(True)
-    for k in keys:
-        back &= F.col(k).eqNullSafe(F.col(f"__key_{k}"))
-    return groups.join(middles, back, "left").select(
-        *keys, _middle().alias("median"), "highest", "row_count", *sums
-    )
+        *[F.max(c).alias(c) for c in carried],
+    ).select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
 
 
 def approximate_median(

@@ -14,20 +14,19 @@ from shelftrail.operators.views import on_day
 _RUN = 4096
 
 
-def _units(availability: Column | str, strict: bool = False) -> Column:
+def _units(availability: str, strict: bool) -> Column:
     return F.coalesce(to_number(availability, strict), F.lit(0.0))
 
 
-def _earlier(products: DataFrame) -> DataFrame:
+def _earlier(products: DataFrame, units: Column) -> DataFrame:
     """Rows as the earlier side: they describe what moves by the next calendar day."""
     return products.select(
         F.date_add("import_date", 1).alias("target_date"),
-        "code", "title", "url", "price_gbp",
-        F.col("availability").alias("earlier_availability"),
+        "code", "title", "url", "price_gbp", units.alias("earlier_units"),
     )
 
 
-def _later(products: DataFrame) -> DataFrame:
+def _later(products: DataFrame, units: Column) -> DataFrame:
     """Rows as the later side, equal ones counted.
 
     Only the availability of the later day is used, so rows that agree on it are one
@@ -35,8 +34,7 @@ def _later(products: DataFrame) -> DataFrame:
     and meets the earlier rows once per distinct availability.
     """
     return products.groupBy(
-        F.col("import_date").alias("target_date"), "code",
-        F.col("availability").alias("later_availability"),
+        F.col("import_date").alias("target_date"), "code", units.alias("later_units")
     ).agg(F.count(F.lit(1)).alias("copies"))
 
 
@@ -51,16 +49,16 @@ def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     )
 
 
-def _sold(pairs: DataFrame, strict: bool = False) -> DataFrame:
+def _sold(pairs: DataFrame) -> DataFrame:
     """Matched days with fewer units on the later one; an absent item has none left."""
-    later = _units("later_availability", strict)
-    sold = _units("earlier_availability", strict) - later
+    later = F.coalesce("later_units", F.lit(0.0))
+    sold = F.col("earlier_units") - later
     return repeat_rows(
-        pairs.select(
+        pairs.where(sold > 0).select(
             F.col("target_date").alias("import_date"), "code", "title", "url", "price_gbp",
             later.alias("availability"), sold.alias("units_sold"),
             F.coalesce("copies", F.lit(1).cast("bigint")).alias("copies"),
-        ).where(F.col("units_sold") > 0),
+        ),
         "copies",
     )
 
@@ -79,19 +77,20 @@ def units_sold_all(
     """
     # One row per calendar day: the DATE type bounds this list, so it may be broadcast.
     days = F.broadcast(snapshot_days(products))
-    earlier = _earlier(products).join(days, "target_date", "left_semi")
+    units = _units("availability", strict)
+    earlier = _earlier(products, units).join(days, "target_date", "left_semi")
     pairs = earlier.join(
-        _later(products), ["code", "target_date"], "left" if count_vanished else "inner"
+        _later(products, units), ["code", "target_date"], "left" if count_vanished else "inner"
     )
     return (
-        lookup_join(_sold(pairs, strict), price_changes(products, median), "code", "left", counted_on=products)
+        lookup_join(_sold(pairs), price_changes(products, median), "code", "left", counted_on=products)
         .orderBy(F.col("import_date").desc_nulls_last(), F.col("price_gbp").desc_nulls_last())
     )
 
 
-def _day_pairs(products: DataFrame, as_of, how: str) -> DataFrame:
-    earlier = _earlier(on_day(products, as_of, days_before=1)).drop("target_date")
-    later = _later(on_day(products, as_of)).drop("target_date")
+def _day_pairs(products: DataFrame, as_of, how: str, units: Column) -> DataFrame:
+    earlier = _earlier(on_day(products, as_of, days_before=1), units).drop("target_date")
+    later = _later(on_day(products, as_of), units).drop("target_date")
     return earlier.join(later, "code", how).withColumn("target_date", day(as_of))
 
 
@@ -108,7 +107,8 @@ def units_sold_by_date(
     Without a snapshot on `as_of` everything listed the day before counts as sold.
     """
     as_of = as_date(as_of)
-    sold = _sold(_day_pairs(products, as_of, "left" if count_vanished else "inner"), strict)
+    how = "left" if count_vanished else "inner"
+    sold = _sold(_day_pairs(products, as_of, how, _units("availability", strict)))
     if with_counts:
         sold = lookup_join(
             sold, price_changes(products, median), "code", "left",
@@ -124,12 +124,12 @@ def stock_label(availability: str) -> Column:
 
 def units_moved(products: DataFrame, as_of=None, only_sales: bool = False) -> DataFrame:
     """Availability changes of items listed on both days, restocks as negative units."""
-    pairs = _day_pairs(products, as_date(as_of), "inner")
-    changed = pairs.where(stock_label("later_availability") != stock_label("earlier_availability"))
+    pairs = _day_pairs(products, as_date(as_of), "inner", F.col("availability"))
+    changed = pairs.where(stock_label("later_units") != stock_label("earlier_units"))
     moved = changed.select(
         F.col("target_date").alias("import_date"), "code", "title", "url", "price_gbp",
-        to_number("later_availability").alias("availability"),
-        (to_number("earlier_availability") - to_number("later_availability")).alias("units_sold"),
+        to_number("later_units").alias("availability"),
+        (to_number("earlier_units") - to_number("later_units")).alias("units_sold"),
         "copies",
     )
     if only_sales:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelftrail.functions.dates import day
+from shelftrail.operators.views import today_view
 
 
 def price_ranks(products: DataFrame, max_rank: int = 2) -> DataFrame:
@@ -33,35 +34,29 @@ def price_ranks(products: DataFrame, max_rank: int = 2) -> DataFrame:
 def new_lows(products: DataFrame, as_of=None) -> DataFrame:
     """Items whose all-time low is unique and was set on `as_of`.
 
-    Rank 2 exists only where one single row has the lowest price, so that row itself
-    is the day's offer: it carries its own title and address through the counting,
-    and no join back to the day is needed.
+    Rank 2 exists only where one single row has the lowest price, so the two lowest
+    distinct prices of a code, with their counts and first dates, decide everything.
+    That one row is then looked up among the day's offers.
     """
-    is_today = F.col("import_date") == day(as_of)
-    prices = products.where(F.col("price_gbp").isNotNull()).groupBy("code", "price_gbp").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.min("import_date").alias("first_date"),
-        F.max(F.when(is_today, F.struct("title", "url"))).alias("offer"),
+    lowest = price_ranks(products, 2)
+    columns = F.struct("price_gbp", "first_date")
+    per_code = lowest.groupBy("code").agg(
+        F.max(F.when(F.col("price_rank") == 1, columns)).alias("now"),
+        F.max(F.when(F.col("price_rank") == 2, columns)).alias("before"),
     )
-    lowest_first = Window.partitionBy("code").orderBy("price_gbp")
-    two_lowest = prices.withColumn("__nth", F.row_number().over(lowest_first)).where(
-        F.col("__nth") <= 2
-    )
-    per_code = two_lowest.groupBy("code").agg(
-        *[F.max(F.when(F.col("__nth") == n, F.struct("price_gbp", "first_date", "row_count", "offer"))).alias(f"low{n}")
-          for n in (1, 2)]
-    )
-    diff = F.col("low2.price_gbp") - F.col("low1.price_gbp")
-    return per_code.where(
-        (F.col("low1.row_count") == 1) & F.col("low1.offer").isNotNull() & (diff > 0)
-    ).select(
+    diff = F.col("before.price_gbp") - F.col("now.price_gbp")
+    lows = per_code.where((F.col("now.first_date") == day(as_of)) & (diff > 0)).select(
         "code",
-        F.col("low1.offer.title").alias("title"),
-        F.col("low1.offer.url").alias("url"),
-        F.col("low1.price_gbp").alias("current_minimum_price"),
-        F.col("low1.first_date").alias("current_date"),
-        F.col("low2.price_gbp").alias("previous_price"),
-        F.col("low2.first_date").alias("previous_date"),
+        F.col("now.price_gbp").alias("price_gbp"),
+        F.col("now.first_date").alias("current_date"),
+        F.col("before.price_gbp").alias("previous_price"),
+        F.col("before.first_date").alias("previous_date"),
         diff.alias("price_diff"),
-        (F.try_divide(diff, F.col("low2.price_gbp")) * 100).alias("perc_saving"),
+        (F.try_divide(diff, F.col("before.price_gbp")) * 100).alias("perc_saving"),
+    )
+    # The matching offer is a single row, so equal rows of the day can be merged first.
+    offers = today_view(products, as_of).select("code", "price_gbp", "title", "url").distinct()
+    return offers.join(lows, ["code", "price_gbp"]).select(
+        "code", "title", "url", F.col("price_gbp").alias("current_minimum_price"),
+        "current_date", "previous_price", "previous_date", "price_diff", "perc_saving",
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from shelftrail.operators.reshape import source_layout
 from shelftrail.operators.views import product_view
@@ -72,8 +73,15 @@ FROM {pages}
 """
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file footer once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _sql(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:
