@@ -32,13 +32,18 @@ def script_blocks(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(SCRIPT_PATTERN), F.lit(1))
 
 
+def _first_group(html: Column, pattern: str) -> Column:
+    """Group 1 of the first match, NULL without one; the page is searched once."""
+    return F.regexp_extract(F.regexp_substr(html, F.lit(pattern)), pattern, 1)
+
+
 def og_title(html: Column) -> Column:
     """Content of og:title; NULL when the tag is absent, '' when it is empty."""
-    return F.when(html.rlike(OG_TITLE_PATTERN), F.regexp_extract(html, OG_TITLE_PATTERN, 1))
+    return _first_group(html, OG_TITLE_PATTERN)
 
 
 def page_title(html: Column) -> Column:
-    return F.when(html.rlike(TITLE_PATTERN), F.regexp_extract(html, TITLE_PATTERN, 1))
+    return _first_group(html, TITLE_PATTERN)
 
 
 def _parsed(raw: Column) -> Column:
@@ -78,7 +83,7 @@ def _unfold(pair: Column, values: Column, raw_list: Column) -> Column:
 def parse_blocks(blocks: Column) -> Column:
     """Block texts to top-level objects; blank and malformed blocks vanish."""
     pairs = F.transform(
-        blocks, lambda b: F.struct(strip(b).alias("raw"), _parsed(strip(b)).alias("doc"))
+        F.transform(blocks, strip), lambda b: F.struct(b.alias("raw"), _parsed(b).alias("doc"))
     )
     pairs = F.filter(pairs, lambda p: p["doc"].isNotNull())
     return F.flatten(F.transform(
@@ -129,12 +134,11 @@ def find_code(text: Column, prefix: str) -> Column:
     return F.upper(F.nullif(F.regexp_extract(text, rf"(?iuU)\b{prefix}\d{{3,}}\b", 0), F.lit("")))
 
 
-def _code_in_json(raw: Column, key: str, prefix: str) -> Column:
-    """First item code below one key: its text, or its string values in document order.
+def _code_in_json(value: Column, prefix: str) -> Column:
+    """First item code in a JSON value: its text, or its strings in document order.
 
     Works on the raw text because a VARIANT sorts its keys; key names are skipped.
     """
-    value = F.get_json_object(raw, f"$.{key}")
     strings = F.filter(
         F.regexp_extract_all(value, F.lit(_JSON_STRING), F.lit(0)), lambda t: ~t.endswith(":")
     )
@@ -147,11 +151,11 @@ def _code_in_json(raw: Column, key: str, prefix: str) -> Column:
 
 def product_code(docs: Column, in_page: Column, prefix: str) -> Column:
     """Code from the first Product that has one, else the one found in the page."""
-    per_doc = F.transform(
+    values = F.flatten(F.transform(
         of_type(docs, "Product"),
-        lambda p: F.coalesce(*[_code_in_json(p["raw"], key, prefix) for key in CODE_KEYS]),
-    )
-    return F.coalesce(first_match(per_doc), in_page)
+        lambda p: F.array(*[F.get_json_object(p["raw"], f"$.{key}") for key in CODE_KEYS]),
+    ))
+    return F.coalesce(first_match(F.transform(values, lambda v: _code_in_json(v, prefix))), in_page)
 
 
 def product_name(docs: Column, og: Column, title: Column) -> Column:
@@ -180,11 +184,9 @@ def drop_home(crumbs: Column) -> Column:
 
 
 def categories(crumbs: Column, name: Column, code: Column) -> Column:
-    """Crumbs without Home and without the product itself, closed by the code."""
-    kept = drop_home(crumbs)
-    ends_in_name = F.coalesce(
-        (name != "") & (F.lower(F.get(kept, F.size(kept) - 1)) == F.lower(name)), F.lit(False)
-    )
-    kept = F.when(ends_in_name, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
-    add = code.isNotNull() & ~F.array_contains(kept, code)
-    return F.when(F.coalesce(add, F.lit(False)), F.array_append(kept, code)).otherwise(kept)
+    """Crumbs without the product itself at the end, closed by the code."""
+    last = F.get(crumbs, F.size(crumbs) - 1)
+    ends_in_name = F.coalesce((name != "") & (F.lower(last) == F.lower(name)), F.lit(False))
+    kept = F.slice(crumbs, F.lit(1), F.size(crumbs) - ends_in_name.cast("int"))
+    closing = F.when(code.isNotNull() & ~F.array_contains(kept, code), F.array(code))
+    return F.concat(kept, F.coalesce(closing, _empty("string")))

@@ -7,11 +7,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelftrail.functions.casts import to_number
 from shelftrail.functions.dates import as_date, day
 from shelftrail.operators.history import price_changes
-from shelftrail.operators.keyed_lookup import lookup_join
+from shelftrail.operators.spread_join import hot_keys, repeat_rows, spread_join, with_copies
 from shelftrail.operators.views import on_day
 
-# Longest run of equal rows produced from one row in one step.
-_RUN = 4096
+# Rows of equal price in a stable order, which also lets a sort split them.
+_TIES = ["code", "title", "url", "availability", "units_sold"]
 
 
 def _units(availability: str, strict: bool) -> Column:
@@ -38,29 +38,19 @@ def _later(products: DataFrame, units: Column) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
-    """Each row as often as its `copies` column says, in runs of bounded length."""
-    runs = F.sequence(F.lit(0).cast("bigint"), F.expr(f"({copies} - 1) div {_RUN}"))
-    run_length = F.least(F.lit(_RUN).cast("bigint"), F.col(copies) - F.col("__run") * _RUN)
-    return (
-        df.withColumn("__run", F.explode(runs))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), run_length)))
-        .drop(copies, "__run", "__copy")
-    )
-
-
 def _sold(pairs: DataFrame) -> DataFrame:
-    """Matched days with fewer units on the later one; an absent item has none left."""
+    """Matched days with fewer units on the later one; an absent item has none left.
+
+    Equal results are one row with a count until the very end of a report.
+    """
     later = F.coalesce("later_units", F.lit(0.0))
     sold = F.col("earlier_units") - later
-    return repeat_rows(
-        pairs.where(sold > 0).select(
-            F.col("target_date").alias("import_date"), "code", "title", "url", "price_gbp",
-            later.alias("availability"), sold.alias("units_sold"),
-            F.coalesce("copies", F.lit(1).cast("bigint")).alias("copies"),
-        ),
-        "copies",
-    )
+    columns = ["import_date", "code", "title", "url", "price_gbp", "availability", "units_sold"]
+    return pairs.where(sold > 0).select(
+        F.col("target_date").alias("import_date"), "code", "title", "url", "price_gbp",
+        later.alias("availability"), sold.alias("units_sold"),
+        F.coalesce("copies", F.lit(1).cast("bigint")).alias("copies"),
+    ).groupBy(*columns).agg(F.sum("copies").alias("copies"))
 
 
 def snapshot_days(products: DataFrame) -> DataFrame:
@@ -78,20 +68,24 @@ def units_sold_all(
     # One row per calendar day: the DATE type bounds this list, so it may be broadcast.
     days = F.broadcast(snapshot_days(products))
     units = _units("availability", strict)
+    hot = hot_keys(products, "code")
     earlier = _earlier(products, units).join(days, "target_date", "left_semi")
-    pairs = earlier.join(
-        _later(products, units), ["code", "target_date"], "left" if count_vanished else "inner"
-    )
-    return (
-        lookup_join(_sold(pairs), price_changes(products, median), "code", "left", counted_on=products)
-        .orderBy(F.col("import_date").desc_nulls_last(), F.col("price_gbp").desc_nulls_last())
+    pairs = spread_join(
+        earlier, _later(products, units), ["code", "target_date"],
+        "left" if count_vanished else "inner", hot,
     )
+    counted = spread_join(_sold(pairs), price_changes(products, median), ["code"], "left", hot)
+    return repeat_rows(counted.orderBy(
+        F.col("import_date").desc_nulls_last(), F.col("price_gbp").desc_nulls_last(), *_TIES
+    ))
 
 
 def _day_pairs(products: DataFrame, as_of, how: str, units: Column) -> DataFrame:
     earlier = _earlier(on_day(products, as_of, days_before=1), units).drop("target_date")
     later = _later(on_day(products, as_of), units).drop("target_date")
-    return earlier.join(later, "code", how).withColumn("target_date", day(as_of))
+    pairs = spread_join(with_copies(earlier, "earlier_copies"), later, ["code"], how)
+    copies = F.col("earlier_copies") * F.coalesce("copies", F.lit(1))
+    return pairs.withColumns({"target_date": day(as_of), "copies": copies})
 
 
 def units_sold_by_date(
@@ -110,11 +104,9 @@ def units_sold_by_date(
     how = "left" if count_vanished else "inner"
     sold = _sold(_day_pairs(products, as_of, how, _units("availability", strict)))
     if with_counts:
-        sold = lookup_join(
-            sold, price_changes(products, median), "code", "left",
-            counted_on=on_day(products, as_of, days_before=1),
-        )
-    return sold.orderBy(F.col("price_gbp").desc_nulls_last())
+        hot = hot_keys(on_day(products, as_of, days_before=1), "code")
+        sold = spread_join(sold, price_changes(products, median), ["code"], "left", hot)
+    return repeat_rows(sold.orderBy(F.col("price_gbp").desc_nulls_last(), *_TIES))
 
 
 def stock_label(availability: str) -> Column:
@@ -134,4 +126,4 @@ def units_moved(products: DataFrame, as_of=None, only_sales: bool = False) -> Da
     )
     if only_sales:
         moved = moved.where(F.col("units_sold") > 0)
-    return repeat_rows(moved, "copies").orderBy(F.col("price_gbp").desc_nulls_last())
+    return repeat_rows(moved.orderBy(F.col("price_gbp").desc_nulls_last(), *_TIES))

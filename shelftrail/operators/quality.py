@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelftrail.functions.casts import to_number
 from shelftrail.functions.dates import as_date, day
-from shelftrail.operators.keyed_lookup import lookup_join
+from shelftrail.operators.spread_join import spread_join
 from shelftrail.operators.views import on_day, unified_price
 from shelftrail.schema import CANONICAL_COLUMNS
 
@@ -45,14 +45,14 @@ def averaged_duplicates(day_rows: DataFrame, digits: int | None = None) -> DataF
         .where(F.col("__rows") > 1).select("code")
     )
     price = F.col("price_gbp") if digits is None else F.round("price_gbp", digits)
-    return lookup_join(items, codes, "code", "left_semi").select(
+    return spread_join(items, codes, ["code"], "left_semi").select(
         *IDENTITY, "availability", price.alias("price_gbp")
     )
 
 
 def delete_by_key(rows: DataFrame, keys: DataFrame, key: str = "code") -> DataFrame:
     """Rows whose key is not among `keys`; rows without a key stay."""
-    return lookup_join(rows, keys.select(key).distinct(), key, "left_anti")
+    return spread_join(rows, keys.select(key).distinct(), [key], "left_anti")
 
 
 def repaired_day(stocks: DataFrame, as_of, digits: int | None = None) -> DataFrame:
@@ -85,7 +85,7 @@ def same_title_different_code(products: DataFrame) -> DataFrame:
         .groupBy("title").agg(F.count_distinct("code").alias("codes"))
         .where(F.col("codes") > 1).select("title")
     )
-    return lookup_join(offers, titles, "title", "left_semi")
+    return spread_join(offers, titles, ["title"], "left_semi")
 
 
 def null_price_audit(stocks: DataFrame) -> DataFrame:

@@ -41,7 +41,7 @@ def page_metadata(pages: DataFrame, code_prefix: str = "HED") -> DataFrame:
         "url",
         jsonld.product_code(docs, F.col("page_code"), code_prefix).alias("hed_id"),
         jsonld.product_name(docs, F.col("og"), F.col("title")).alias("product_name"),
-        jsonld.breadcrumbs(docs).alias("crumbs"),
+        jsonld.drop_home(jsonld.breadcrumbs(docs)).alias("crumbs"),
     )
     return found.select(
         "url", "hed_id", "product_name",

@@ -11,9 +11,9 @@ from shelftrail.functions.dates import day_text
 from shelftrail.functions.text import title_age, title_distillery
 from shelftrail.operators.filters import code_contains, code_in, text_matches, within
 from shelftrail.operators.history import code_history, max_prices
-from shelftrail.operators.keyed_lookup import lookup_join
 from shelftrail.operators.medians import group_medians
 from shelftrail.operators.reshape import fold
+from shelftrail.operators.spread_join import repeat_rows, spread_join, with_copies
 from shelftrail.operators.views import today_view
 
 
@@ -28,12 +28,12 @@ def discounted_items(
     history = (
         max_prices(products) if plain else code_history(products, median, until)
     )
-    offers = lookup_join(today_view(products, as_of), history, "code", "inner")
+    offers = spread_join(with_copies(today_view(products, as_of)), history, ["code"], "inner")
     price = F.col("price_gbp").cast("double")
     discount = F.col("max_price") - price
     fraction = F.try_divide(discount, F.nullif(F.col("max_price"), F.lit(0.0)))
     saving = F.round(fraction, 4) * 100 if plain else F.round(percent_of(discount, F.col("max_price")), 4)
-    return (
+    items = (
         offers.where(discount > 0)
         .select(
             F.col("import_date").alias("current_date" if plain else "current_import_date"),
@@ -43,9 +43,11 @@ def discounted_items(
             discount.alias("discount"),
             saving.alias("perc_saving"),
             *([] if plain else ["price_changes_count"]),
+            "copies",
         )
-        .orderBy(F.col("discount").desc_nulls_last())
+        .orderBy(F.col("discount").desc_nulls_last(), "code", "title", "url")
     )
+    return repeat_rows(items)
 
 
 def discount_screen(
@@ -129,7 +131,9 @@ def price_search(
     if not with_counts:
         return listed
     counts = code_history(products, median).select("code", "price_changes_count")
-    return lookup_join(listed, counts, "code", "left")
+    return repeat_rows(spread_join(with_copies(listed), counts, ["code"], "left")).select(
+        *listed.columns, "price_changes_count"
+    )
 
 
 def price_screen(rows: DataFrame, low: float, high: float, title: str = "") -> DataFrame:
