@@ -20,12 +20,12 @@ def _splits(df: DataFrame) -> int:
     return max(8, min(256, partitions))
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys of `rows` worth splitting: at most HOT_KEYS of them."""
+def hot_keys(rows: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """The keys of `rows` worth splitting (HOT_ROWS rows or more): at most HOT_KEYS."""
     return (
         rows.where(F.col(key).isNotNull())
         .groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") >= hot_rows)
+        .where(F.col("__rows") >= (HOT_ROWS if hot_rows is None else hot_rows))
         .orderBy(F.col("__rows").desc(), F.col(key)).limit(HOT_KEYS)
         .select(key)
     )
