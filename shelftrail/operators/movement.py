@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from shelftrail.functions.casts import to_number
 from shelftrail.functions.dates import as_date, day
 from shelftrail.operators.history import price_changes
-from shelftrail.operators.spread_join import hot_keys, repeat_rows, spread_join, with_copies
+from shelftrail.operators.spread_join import (
+    hot_keys, merge_hot_copies, repeat_rows, spread_join, with_copies,
+)
 from shelftrail.operators.views import on_day
 
 # Rows of equal price in a stable order, which also lets a sort split them.
@@ -38,6 +40,14 @@ def _later(products: DataFrame, units: Column) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("copies"))
 
 
+def _match(
+    earlier: DataFrame, later: DataFrame, keys: list[str], how: str, hot: DataFrame | None = None
+) -> DataFrame:
+    """Earlier rows (with `earlier_copies`) beside the later day, `copies` being pairs."""
+    pairs = spread_join(earlier, later, keys, how, hot)
+    return pairs.withColumn("copies", F.col("earlier_copies") * F.coalesce("copies", F.lit(1)))
+
+
 def _sold(pairs: DataFrame) -> DataFrame:
     """Matched days with fewer units on the later one; an absent item has none left.
 
@@ -49,7 +59,7 @@ def _sold(pairs: DataFrame) -> DataFrame:
     return pairs.where(sold > 0).select(
         F.col("target_date").alias("import_date"), "code", "title", "url", "price_gbp",
         later.alias("availability"), sold.alias("units_sold"),
-        F.coalesce("copies", F.lit(1).cast("bigint")).alias("copies"),
+        "copies",
     ).groupBy(*columns).agg(F.sum("copies").alias("copies"))
 
 
@@ -58,34 +68,40 @@ def snapshot_days(products: DataFrame) -> DataFrame:
 
 
 def units_sold_all(
-    products: DataFrame, median: str = "exact", strict: bool = False, count_vanished: bool = True
+    products: DataFrame,
+    median: str = "exact",
+    strict: bool = False,
+    count_vanished: bool = True,
+    as_rows: bool = True,
 ) -> DataFrame:
     """Units sold for every day that has a snapshot, over the whole history.
 
     Title, address and price are those of the earlier day. An item missing on the
     later day is sold out unless `count_vanished` is off. Listed by day and price.
+    A code listed m times and then n times gives up to m * n rows, as joins do;
+    `as_rows=False` leaves equal ones as one row with `copies`.
     """
     # One row per calendar day: the DATE type bounds this list, so it may be broadcast.
     days = F.broadcast(snapshot_days(products))
     units = _units("availability", strict)
     hot = hot_keys(products, "code")
     earlier = _earlier(products, units).join(days, "target_date", "left_semi")
-    pairs = spread_join(
-        earlier, _later(products, units), ["code", "target_date"],
-        "left" if count_vanished else "inner", hot,
+    pairs = _match(
+        merge_hot_copies(earlier, "code", hot, "earlier_copies"), _later(products, units),
+        ["code", "target_date"], "left" if count_vanished else "inner", hot,
     )
     counted = spread_join(_sold(pairs), price_changes(products, median), ["code"], "left", hot)
-    return repeat_rows(counted.orderBy(
+    listed = counted.orderBy(
         F.col("import_date").desc_nulls_last(), F.col("price_gbp").desc_nulls_last(), *_TIES
-    ))
+    )
+    return repeat_rows(listed) if as_rows else listed
 
 
 def _day_pairs(products: DataFrame, as_of, how: str, units: Column) -> DataFrame:
     earlier = _earlier(on_day(products, as_of, days_before=1), units).drop("target_date")
     later = _later(on_day(products, as_of), units).drop("target_date")
-    pairs = spread_join(with_copies(earlier, "earlier_copies"), later, ["code"], how)
-    copies = F.col("earlier_copies") * F.coalesce("copies", F.lit(1))
-    return pairs.withColumns({"target_date": day(as_of), "copies": copies})
+    pairs = _match(with_copies(earlier, "earlier_copies"), later, ["code"], how)
+    return pairs.withColumn("target_date", day(as_of))
 
 
 def units_sold_by_date(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelftrail.functions.casts import to_number
 from shelftrail.functions.dates import as_date, day
-from shelftrail.operators.spread_join import spread_join
+from shelftrail.operators.spread_join import hot_keys, merge_hot_copies, repeat_rows, spread_join
 from shelftrail.operators.views import on_day, unified_price
 from shelftrail.schema import CANONICAL_COLUMNS
 
@@ -52,7 +52,9 @@ def averaged_duplicates(day_rows: DataFrame, digits: int | None = None) -> DataF
 
 def delete_by_key(rows: DataFrame, keys: DataFrame, key: str = "code") -> DataFrame:
     """Rows whose key is not among `keys`; rows without a key stay."""
-    return spread_join(rows, keys.select(key).distinct(), [key], "left_anti")
+    hot = hot_keys(rows, key)
+    counted = merge_hot_copies(rows, key, hot)
+    return repeat_rows(spread_join(counted, keys.select(key).distinct(), [key], "left_anti", hot))
 
 
 def repaired_day(stocks: DataFrame, as_of, digits: int | None = None) -> DataFrame:

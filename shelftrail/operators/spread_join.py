@@ -38,14 +38,15 @@ def spread_join(
 
     Rows whose first key is hot are spread over several reducers by a salt taken from
     their content, and the other side's rows of that key (only those) are repeated per
-    salt. `hot` lists the hot values of the first key; by default they are counted on
-    `rows`. Equal rows share a salt: merge them before (`with_copies`), or leave
-    them to AQE, which can split both shuffles of this join.
+    salt. Rows without that key match nothing and are spread as well. `hot` lists the
+    hot values of the first key; by default they are counted on `rows`. Equal rows
+    share a salt, so merge them before (`with_copies`, `merge_hot_copies`).
     """
     key = keys[0]
     hot = F.broadcast((hot_keys(rows, key) if hot is None else hot).withColumn("__hot", F.lit(True)))
     splits = _splits(rows)
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(splits))).otherwise(0)
+    spread = F.col("__hot") | F.col(key).isNull()
+    salt = F.when(spread, F.pmod(F.xxhash64(*rows.columns), F.lit(splits))).otherwise(0)
     salted = rows.join(hot, key, "left").withColumn(_SALT, salt.cast("int"))
     salts = F.sequence(F.lit(0), F.when(F.col("__hot"), F.lit(splits - 1)).otherwise(0))
     repeated = other.join(hot, key, "left").withColumn(_SALT, F.explode(salts)).drop("__hot")
@@ -58,6 +59,18 @@ def with_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(copies))
 
 
+def merge_hot_copies(rows: DataFrame, key: str, hot: DataFrame, copies: str = "copies") -> DataFrame:
+    """`with_copies` for the rows of hot keys only; every other row counts as one.
+
+    Spares the ordinary rows a shuffle. Without hot keys AQE drops the second branch
+    before it is read.
+    """
+    few = F.broadcast(hot.select(key))
+    ordinary = rows.join(few, key, "left_anti").withColumn(copies, F.lit(1).cast("bigint"))
+    merged = with_copies(rows.join(few, key, "left_semi"), copies)
+    return ordinary.unionByName(merged).select(*rows.columns, copies)
+
+
 def repeat_rows(df: DataFrame, copies: str = "copies") -> DataFrame:
     """Each row as often as its `copies` column says, in runs of bounded length.
 

@@ -56,12 +56,14 @@ def discount_screen(
     """Discounts within bounds, above a percentage, with a matching title."""
     return items.where(
         within("discount", low, high) & (F.col("perc_saving") > min_percent) & text_matches("title", title)
-    ).orderBy(F.col("discount").desc_nulls_last())
+    ).orderBy(F.col("discount").desc_nulls_last(), "code", "title", "url")
 
 
 def discount_alert(items: DataFrame, max_price: float = 500) -> DataFrame:
     """Affordable discounts, cheapest first."""
-    return items.where(F.col("current_price") <= max_price).orderBy(F.col("current_price").asc_nulls_last())
+    return items.where(F.col("current_price") <= max_price).orderBy(
+        F.col("current_price").asc_nulls_last(), "code", "title", "url"
+    )
 
 
 def daily_stock_summary(
@@ -119,7 +121,7 @@ def code_series(
         series.withColumn("__rank", rank)
         .withColumn("price_changes_count", F.coalesce(F.max("__rank").over(Window.partitionBy("code")), F.lit(0)).cast("bigint"))
         .select(F.col("median").alias("median_price"), "total_availability", "import_date", "code", "price_changes_count")
-        .orderBy(F.col("import_date").desc_nulls_last())
+        .orderBy(F.col("import_date").desc_nulls_last(), "code")
     )
 
 
@@ -138,14 +140,14 @@ def price_search(
 
 def price_screen(rows: DataFrame, low: float, high: float, title: str = "") -> DataFrame:
     return rows.where(within("price_gbp", low, high) & text_matches("title", title)).orderBy(
-        F.col("price_gbp").desc_nulls_last()
+        F.col("price_gbp").desc_nulls_last(), "title"
     )
 
 
 def max_price_by_title(products: DataFrame) -> DataFrame:
     return (
         products.groupBy("title").agg(F.max("price_gbp").alias("price_gbp"))
-        .orderBy(F.col("price_gbp").desc_nulls_last())
+        .orderBy(F.col("price_gbp").desc_nulls_last(), "title")
     )
 
 

@@ -26,6 +26,16 @@ def snapshot_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.col("_metadata.file_path").alias(SOURCE_PATH), "modificationTime")
 
 
+def snapshot_unit(path: Column) -> Column:
+    """The part of a path that names one snapshot: up to the name holding the date.
+
+    The part files of a folder named like a snapshot belong to one unit; a path
+    without a date is a unit by itself.
+    """
+    dated = F.regexp_extract(path, r"^(.*?\d{4}_\d{2}_\d{2}[^/]*)", 1)
+    return F.when(dated == "", path).otherwise(dated)
+
+
 def _csv(spark: SparkSession, multi_line: bool):
     # A doubled quote inside a quoted field stands for one quote.
     return (
@@ -34,32 +44,35 @@ def _csv(spark: SparkSession, multi_line: bool):
     )
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(c.lstrip("\ufeff") for c in _csv(spark, False).csv(path).columns)
-
-
 def header_groups(spark: SparkSession, path: str, parallel: int = 32) -> dict[tuple[str, ...], list[str]]:
     """File paths by header line.
 
-    Spark applies one header to a whole CSV read, so files are grouped first. Only
-    the first line of each file is read, many files at a time.
+    Spark applies one header to a whole CSV read, so files are grouped first. One file
+    of each snapshot has its first line read, many snapshots at a time; that the
+    other part files of a snapshot have the same header is checked by `read_group`.
     """
-    paths = [row["path"] for row in snapshot_files(spark, path).select("path").toLocalIterator()]
+    units: dict[str, list[str]] = {}
+    listing = snapshot_files(spark, path).select(snapshot_unit(F.col(SOURCE_PATH)).alias("unit"), "path")
+    for row in listing.toLocalIterator():
+        units.setdefault(row["unit"], []).append(row["path"])
     with ThreadPoolExecutor(parallel) as pool:
-        headers = list(pool.map(lambda p: _header(spark, p), paths))
+        headers = list(pool.map(lambda files: tuple(_csv(spark, False).csv(min(files)).columns), units.values()))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for header, file in sorted(zip(headers, paths)):
+    for header, files in sorted(zip(headers, units.values())):
         if header:
-            groups.setdefault(header, []).append(file)
+            groups.setdefault(header, []).extend(sorted(files))
     return groups
 
 
 def read_group(
     spark: SparkSession, header: tuple[str, ...], files: list[str], multi_line: bool = False
 ) -> DataFrame:
-    """Files sharing one header, all cells as text, with the path of each row's file."""
+    """Files sharing one header, all cells as text, with the path of each row's file.
+
+    A file whose header differs after all fails the read.
+    """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = _csv(spark, multi_line).schema(schema).csv(files)
+    rows = _csv(spark, multi_line).option("enforceSchema", False).schema(schema).csv(files)
     return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
 
 

@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelftrail.functions.dates import file_date
 from shelftrail.schema import POSITIONAL
 from shelftrail.sinks.writers import reload_days
-from shelftrail.sources.snapshots import SOURCE_PATH, canonical_by_position, snapshot_files
-
-
-def snapshot_unit(path: Column) -> Column:
-    """The part of a path that names one snapshot: up to the name holding the date.
-
-    The part files of a folder named like a snapshot belong to one unit.
-    """
-    return F.regexp_extract(path, r"^(.*?\d{4}_\d{2}_\d{2}[^/]*)", 1)
+from shelftrail.sources.snapshots import SOURCE_PATH, canonical_by_position, snapshot_files, snapshot_unit
 
 
 def newest_units(spark: SparkSession, landing: str) -> DataFrame:

@@ -76,6 +76,12 @@ def test_copies_round_trip(spark):
     assert Counter(map(tuple, spread_join.repeat_rows(compact).collect())) == Counter(map(tuple, df.collect()))
 
 
+def test_only_copies_of_hot_keys_are_merged(spark):
+    rows = spark.createDataFrame([("a", 1)] * 5 + [("b", 1)] * 2 + [(None, 1)] * 4, "k string, v int")
+    merged = spread_join.merge_hot_copies(rows, "k", spread_join.hot_keys(rows, "k", hot_rows=3))
+    assert Counter(map(tuple, merged.collect())) == Counter({("a", 1, 5): 1, ("b", 1, 1): 2, (None, 1, 1): 4})
+
+
 @pytest.mark.parametrize("large_groups", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_exact_median(spark, seed, large_groups):
@@ -121,6 +127,8 @@ def test_one_code_with_a_third_of_all_rows(spark, monkeypatch):
         WHERE double(y.availability) - coalesce(double(c.availability), 0) > 0""")
     got = movement.units_sold_all(df).drop("price_changes_count")
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    merged = movement.units_sold_all(df, as_rows=False)
+    assert merged.agg(F.sum("copies")).first()[0] == expected.count()
     offers = reports.discounted_items(df, AS_OF)
     assert offers.count() == spark.sql(f"""
         SELECT * FROM skewed s JOIN (SELECT code, max(price_gbp) m FROM skewed GROUP BY code) x USING (code)

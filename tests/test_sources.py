@@ -81,6 +81,16 @@ def test_raw_union(spark, landing):
     assert len(snapshots.header_groups(spark, landing)) == 2
 
 
+def test_part_files_of_one_snapshot(spark, tmp_path):
+    folder = tmp_path / "l" / "full-stock-list_2024_01_05.csv"
+    put(folder, "part-0.csv", OLD + "A,t,s,d,FR,Whisky,1,1\n")
+    put(folder, "part-1.csv", OLD + "B,t,s,d,FR,Whisky,1,1\n")
+    assert sorted(by_code(snapshots.stocks_by_name(spark, str(tmp_path / "l")))) == ["A", "B"]
+    put(folder, "part-2.csv", "Title,Code,Size,Style,Country,Group,Available,Price (GBP)\nt,C,s,d,FR,Whisky,1,1\n")
+    with pytest.raises(Exception, match="header"):
+        snapshots.stocks_by_name(spark, str(tmp_path / "l")).collect()
+
+
 def test_headers_there_and_back(spark, landing):
     stocks = snapshots.build_stocks(spark, landing)
     for headers in (LEGACY_HEADERS, CURRENT_HEADERS):
