@@ -49,18 +49,13 @@ def _match(
 
 
 def _sold(pairs: DataFrame) -> DataFrame:
-    """Matched days with fewer units on the later one; an absent item has none left.
-
-    Equal results are one row with a count until the very end of a report.
-    """
+    """Matched days with fewer units on the later one; an absent item has none left."""
     later = F.coalesce("later_units", F.lit(0.0))
     sold = F.col("earlier_units") - later
-    columns = ["import_date", "code", "title", "url", "price_gbp", "availability", "units_sold"]
     return pairs.where(sold > 0).select(
         F.col("target_date").alias("import_date"), "code", "title", "url", "price_gbp",
-        later.alias("availability"), sold.alias("units_sold"),
-        "copies",
-    ).groupBy(*columns).agg(F.sum("copies").alias("copies"))
+        later.alias("availability"), sold.alias("units_sold"), "copies",
+    )
 
 
 def snapshot_days(products: DataFrame) -> DataFrame:
@@ -79,7 +74,7 @@ def units_sold_all(
     Title, address and price are those of the earlier day. An item missing on the
     later day is sold out unless `count_vanished` is off. Listed by day and price.
     A code listed m times and then n times gives up to m * n rows, as joins do;
-    `as_rows=False` leaves equal ones as one row with `copies`.
+    `as_rows=False` gives them as one row per distinct availability, with `copies`.
     """
     # One row per calendar day: the DATE type bounds this list, so it may be broadcast.
     days = F.broadcast(snapshot_days(products))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,18 +14,35 @@ from shelftrail.functions.dates import file_date
 from shelftrail.schema import CANONICAL, CANONICAL_COLUMNS, HEADER_ALIASES, NUMERIC_COLUMNS, POSITIONAL
 
 SOURCE_PATH = "source_path"
+UNIT_PATTERN = r"^(.*?\d{4}_\d{2}_\d{2}[^/]*)"
 
 
-def snapshot_files(spark: SparkSession, path: str) -> DataFrame:
-    """path and modification time of the CSV files below a folder or glob.
-
-    A listing only: the content column is never selected, so no file is opened.
-    """
-    files = (
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(path)
     )
-    return files.select("path", F.col("_metadata.file_path").alias(SOURCE_PATH), "modificationTime")
+
+
+def snapshot_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path and modification time of the CSV files below a folder or glob.
+
+    A listing only: the content column is never selected, so no file is opened. A
+    session of its own packs the files into a few tasks instead of one task each.
+    """
+    listing = spark.newSession()
+    listing.conf.set("spark.sql.files.maxPartitionNum", 64)
+    return _listing(listing, path).select(F.col("_metadata.file_path").alias(SOURCE_PATH), "modificationTime")
+
+
+def snapshot_paths(spark: SparkSession, path: str) -> list[str]:
+    """The same files as paths to read from, taken from the file index without a job."""
+    return [unquote(file) for file in _listing(spark, path).inputFiles()]
+
+
+def _literal(path: str) -> str:
+    """A path in which no character is taken for a wildcard."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def snapshot_unit(path: Column) -> Column:
@@ -32,7 +51,7 @@ def snapshot_unit(path: Column) -> Column:
     The part files of a folder named like a snapshot belong to one unit; a path
     without a date is a unit by itself.
     """
-    dated = F.regexp_extract(path, r"^(.*?\d{4}_\d{2}_\d{2}[^/]*)", 1)
+    dated = F.regexp_extract(path, UNIT_PATTERN, 1)
     return F.when(dated == "", path).otherwise(dated)
 
 
@@ -44,6 +63,20 @@ def _csv(spark: SparkSession, multi_line: bool):
     )
 
 
+def _header(spark: SparkSession, files: list[str]) -> tuple[str, ...]:
+    """First header found among the files of a snapshot; empty files have none."""
+    for file in sorted(files):
+        columns = _csv(spark, False).csv(_literal(file)).columns
+        if columns:
+            return tuple(columns)
+    return ()
+
+
+def _unit_name(path: str) -> str:
+    dated = re.match(UNIT_PATTERN, path)
+    return dated.group(1) if dated else path
+
+
 def header_groups(spark: SparkSession, path: str, parallel: int = 32) -> dict[tuple[str, ...], list[str]]:
     """File paths by header line.
 
@@ -52,11 +85,10 @@ def header_groups(spark: SparkSession, path: str, parallel: int = 32) -> dict[tu
     other part files of a snapshot have the same header is checked by `read_group`.
     """
     units: dict[str, list[str]] = {}
-    listing = snapshot_files(spark, path).select(snapshot_unit(F.col(SOURCE_PATH)).alias("unit"), "path")
-    for row in listing.toLocalIterator():
-        units.setdefault(row["unit"], []).append(row["path"])
+    for file in snapshot_paths(spark, path):
+        units.setdefault(_unit_name(file), []).append(file)
     with ThreadPoolExecutor(parallel) as pool:
-        headers = list(pool.map(lambda files: tuple(_csv(spark, False).csv(min(files)).columns), units.values()))
+        headers = list(pool.map(lambda files: _header(spark, files), units.values()))
     groups: dict[tuple[str, ...], list[str]] = {}
     for header, files in sorted(zip(headers, units.values())):
         if header:
@@ -72,7 +104,7 @@ def read_group(
     A file whose header differs after all fails the read.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = _csv(spark, multi_line).option("enforceSchema", False).schema(schema).csv(files)
+    rows = _csv(spark, multi_line).option("enforceSchema", False).schema(schema).csv([_literal(f) for f in files])
     return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
 
 

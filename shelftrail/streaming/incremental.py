@@ -38,15 +38,14 @@ def ingest_new_snapshots(spark: SparkSession, landing: str, table: str, checkpoi
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        # One row per calendar day: bounded by the DATE type, so it may be broadcast.
-        newest = F.broadcast(newest_units(batch.sparkSession, landing))
-        dated = batch.withColumn("__unit", snapshot_unit(F.col(SOURCE_PATH))).join(
-            newest.select(F.col("unit").alias("__unit")), "__unit", "left_semi"
-        )
-        reload_days(canonical_by_position(dated.drop("__unit")), table)
+        # One row per calendar day, so the list is small enough to send to every task.
+        newest = newest_units(spark, landing).select("unit").collect()
+        units = F.broadcast(batch.sparkSession.createDataFrame(newest, "unit string"))
+        dated = batch.withColumn("unit", snapshot_unit(F.col(SOURCE_PATH))).join(units, "unit", "left_semi")
+        reload_days(canonical_by_position(dated.drop("unit")), table)
         # The listing tells, without reading a row, whether a second pass is needed.
         no_date = file_date(F.col(SOURCE_PATH)).isNull()
-        if not snapshot_files(batch.sparkSession, landing).where(no_date).isEmpty():
+        if not snapshot_files(spark, landing).where(no_date).isEmpty():
             batch.where(no_date).write.mode("overwrite").parquet(
                 f"{table.rstrip('/')}_undated/batch_id={batch_id}"
             )

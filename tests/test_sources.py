@@ -91,6 +91,16 @@ def test_part_files_of_one_snapshot(spark, tmp_path):
         snapshots.stocks_by_name(spark, str(tmp_path / "l")).collect()
 
 
+def test_odd_names_and_empty_files(spark, tmp_path):
+    folder = tmp_path / "l x"
+    put(folder, "list [1] 100%_2024_01_05.csv", OLD + "A,t,s,d,FR,Whisky,1,1\n")
+    put(folder / "full_2024_01_06.csv", "part-0.csv", "")
+    put(folder / "full_2024_01_06.csv", "part-1.csv", NEW + "B,t,,s,,d,FR,Whisky,1,2,1,u\n")
+    for layout in ("by_name", "positional"):
+        rows = by_code(snapshots.build_stocks(spark, str(folder), layout))
+        assert {c: r["import_date"] for c, r in rows.items()} == {"A": date(2024, 1, 5), "B": date(2024, 1, 6)}
+
+
 def test_headers_there_and_back(spark, landing):
     stocks = snapshots.build_stocks(spark, landing)
     for headers in (LEGACY_HEADERS, CURRENT_HEADERS):
