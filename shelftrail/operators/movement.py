@@ -58,6 +58,12 @@ def _sold(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _changes(products: DataFrame, median: str, history: DataFrame | None) -> DataFrame:
+    if history is None:
+        return price_changes(products, median)
+    return history.select("code", "price_changes_count")
+
+
 def snapshot_days(products: DataFrame) -> DataFrame:
     return products.select(F.col("import_date").alias("target_date")).distinct()
 
@@ -68,6 +74,7 @@ def units_sold_all(
     strict: bool = False,
     count_vanished: bool = True,
     as_rows: bool = True,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Units sold for every day that has a snapshot, over the whole history.
 
@@ -85,7 +92,7 @@ def units_sold_all(
         merge_hot_copies(earlier, "code", hot, "earlier_copies"), _later(products, units),
         ["code", "target_date"], "left" if count_vanished else "inner", hot,
     )
-    counted = spread_join(_sold(pairs), price_changes(products, median), ["code"], "left", hot)
+    counted = spread_join(_sold(pairs), _changes(products, median, history), ["code"], "left", hot)
     listed = counted.orderBy(
         F.col("import_date").desc_nulls_last(), F.col("price_gbp").desc_nulls_last(), *_TIES
     )
@@ -106,17 +113,19 @@ def units_sold_by_date(
     strict: bool = False,
     count_vanished: bool = True,
     with_counts: bool = True,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Units sold between the day before `as_of` and `as_of`, dearest first.
 
     Without a snapshot on `as_of` everything listed the day before counts as sold.
+    `history` is a `code_history` computed before, to be shared between reports.
     """
     as_of = as_date(as_of)
     how = "left" if count_vanished else "inner"
     sold = _sold(_day_pairs(products, as_of, how, _units("availability", strict)))
     if with_counts:
         hot = hot_keys(on_day(products, as_of, days_before=1), "code")
-        sold = spread_join(sold, price_changes(products, median), ["code"], "left", hot)
+        sold = spread_join(sold, _changes(products, median, history), ["code"], "left", hot)
     return repeat_rows(sold.orderBy(F.col("price_gbp").desc_nulls_last(), *_TIES))
 
 

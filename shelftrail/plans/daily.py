@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelftrail import session
 from shelftrail.functions.dates import as_date, day
+from shelftrail.operators.history import code_history
 from shelftrail.operators.movement import units_sold_by_date
 from shelftrail.operators.views import product_view, register_views
 from shelftrail.plans.reports import discount_alert, discounted_items
@@ -26,8 +27,11 @@ def run_day(
     stocks = read_stocks(spark, table)
     register_views(spark, stocks, product_type, as_of)
     products = product_view(stocks, product_type)
-    write_dated_csv(units_sold_by_date(products, as_of, median), f"{lake}/sales", "sales", as_of)
-    alerts = discount_alert(discounted_items(products, as_of, median))
+    # Both reports need the per-code history: one scan of all days instead of two.
+    history = session.materialize(code_history(products, median), "code-history")
+    sales = units_sold_by_date(products, as_of, history=history)
+    write_dated_csv(sales, f"{lake}/sales", "sales", as_of)
+    alerts = discount_alert(discounted_items(products, as_of, history=history))
     write_csv(alerts, f"{lake}/alerts/alerts_{as_of:%Y_%m_%d}.csv")
     return alerts
 

@@ -18,16 +18,21 @@ from shelftrail.operators.views import today_view
 
 
 def discounted_items(
-    products: DataFrame, as_of=None, median: str = "exact", plain: bool = False, until=None
+    products: DataFrame,
+    as_of=None,
+    median: str = "exact",
+    plain: bool = False,
+    until=None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Items listed on `as_of` below their highest price ever, largest discount first.
 
     The saving is a percentage rounded to 4 places. `plain` rounds the fraction
     before it is turned into a percentage and leaves out the number of price changes.
+    `history` is a `code_history` computed before, to be shared between reports.
     """
-    history = (
-        max_prices(products) if plain else code_history(products, median, until)
-    )
+    if history is None:
+        history = max_prices(products) if plain else code_history(products, median, until)
     offers = spread_join(with_copies(today_view(products, as_of)), history, ["code"], "inner")
     price = F.col("price_gbp").cast("double")
     discount = F.col("max_price") - price
@@ -126,13 +131,19 @@ def code_series(
 
 
 def price_search(
-    products: DataFrame, as_of=None, median: str = "exact", with_counts: bool = True
+    products: DataFrame,
+    as_of=None,
+    median: str = "exact",
+    with_counts: bool = True,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """What is listed on `as_of`, with the number of price changes so far."""
     listed = today_view(products, as_of).select("import_date", "code", "title", "price_gbp", "url")
     if not with_counts:
         return listed
-    counts = code_history(products, median).select("code", "price_changes_count")
+    if history is None:
+        history = code_history(products, median)
+    counts = history.select("code", "price_changes_count")
     return repeat_rows(spread_join(with_copies(listed), counts, ["code"], "left")).select(
         *listed.columns, "price_changes_count"
     )

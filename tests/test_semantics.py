@@ -132,6 +132,16 @@ def test_discount_against_later_prices_too(stocks_of):
     assert reports.discounted_items(stocks, D2, until=D2).first()["old_price"] == 50.0
 
 
+def test_shared_history(stocks_of):
+    stocks = stocks_of(row("A", D1, 50.0, "3"), row("A", D2, 40.0), row("B", D1), row("B", D2))
+    shared = history.code_history(stocks)
+    for report in (
+        lambda **h: reports.discounted_items(stocks, D2, **h), lambda **h: reports.price_search(stocks, D2, **h),
+        lambda **h: movement.units_sold_by_date(stocks, D2, **h), lambda **h: movement.units_sold_all(stocks, **h),
+    ):
+        assert sorted(report(history=shared).collect()) == sorted(report().collect())
+
+
 def test_highest_price_of_zero(stocks_of):
     stocks = stocks_of(row("A", D1, 0.0), row("A", D2, -1.0))
     assert reports.discounted_items(stocks, D2).first()["perc_saving"] is None
