@@ -19,8 +19,9 @@ TITLE_PATTERN = r"(?is)<title>(.*?)</title>"
 # Product keys that may hold the item code, in order of trust.
 CODE_KEYS = ["sku", "mpn", "productID", "productId", "id", "offers"]
 
-# One JSON string token, with its colon when it is an object key.
-_JSON_STRING = r'"(?:[^"\\]|\\.)*"(?:\s*:)?'
+# One JSON string token, with its colon when it is an object key. Possessive, so that
+# long strings are matched in a loop and not by recursion.
+_JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*+:)?'
 
 
 def _empty(kind: str) -> Column:
@@ -151,10 +152,8 @@ def _code_in_json(value: Column, prefix: str) -> Column:
 
 def product_code(docs: Column, in_page: Column, prefix: str) -> Column:
     """Code from the first Product that has one, else the one found in the page."""
-    values = F.flatten(F.transform(
-        of_type(docs, "Product"),
-        lambda p: F.array(*[F.get_json_object(p["raw"], f"$.{key}") for key in CODE_KEYS]),
-    ))
+    fields = F.transform(of_type(docs, "Product"), lambda p: F.from_json(p["raw"], "map<string,string>"))
+    values = F.flatten(F.transform(fields, lambda f: F.array(*[f[key] for key in CODE_KEYS])))
     return F.coalesce(first_match(F.transform(values, lambda v: _code_in_json(v, prefix))), in_page)
 
 

@@ -9,8 +9,11 @@ from shelftrail.functions.text import unescape_all
 from shelftrail.operators.reshape import overlay, with_levels
 from shelftrail.session import materialize
 
+# Fixed value: what the shop's item codes start with.
+CODE_PREFIX = "HED"
 
-def page_documents(pages: DataFrame, code_prefix: str) -> DataFrame:
+
+def page_documents(pages: DataFrame, code_prefix: str = CODE_PREFIX) -> DataFrame:
     """Per page: url, JSON-LD objects, og:title, title and the first code in the page.
 
     What is needed from the HTML is cut out first, so that entity decoding and all
@@ -34,7 +37,7 @@ def page_documents(pages: DataFrame, code_prefix: str) -> DataFrame:
     )
 
 
-def page_metadata(pages: DataFrame, code_prefix: str = "HED") -> DataFrame:
+def page_metadata(pages: DataFrame, code_prefix: str = CODE_PREFIX) -> DataFrame:
     """One row per page: url, hed_id, product_name, categories and category_path."""
     docs = F.col("docs")
     found = page_documents(pages, code_prefix).select(
@@ -54,7 +57,7 @@ def category_depth(metadata: DataFrame) -> int:
     return metadata.agg(F.max(F.size("categories")).alias("depth")).first()["depth"] or 0
 
 
-def metadata_table(pages: DataFrame, code_prefix: str = "HED", depth: int | None = None) -> DataFrame:
+def metadata_table(pages: DataFrame, code_prefix: str = CODE_PREFIX, depth: int | None = None) -> DataFrame:
     """`page_metadata` plus category_level_1 .. N.
 
     N depends on the data. Unless `depth` states it, the metadata is written to the
@@ -67,6 +70,6 @@ def metadata_table(pages: DataFrame, code_prefix: str = "HED", depth: int | None
     return with_levels(metadata, "categories", depth, "category_level")
 
 
-def schema_rows(pages: DataFrame, template: dict[str, str], found: dict[str, str], code_prefix: str = "HED") -> DataFrame:
+def schema_rows(pages: DataFrame, template: dict[str, str], found: dict[str, str], code_prefix: str = CODE_PREFIX) -> DataFrame:
     """The template's columns for every page, overlaid with what the page states."""
     return overlay(page_metadata(pages, code_prefix), template, found)

@@ -162,6 +162,17 @@ def test_code_filter_reaches_the_first_stage(spark, tmp_path):
     assert "title" not in schema and "url" not in schema
 
 
+def test_a_day_reads_its_own_folder(spark, tmp_path):
+    from shelftrail.sinks.writers import write_stocks
+    from shelftrail.sources.tables import read_stocks
+
+    write_stocks(event_stocks(spark, SF), str(tmp_path / "lake"), even_files=True)
+    products = views.product_view(read_stocks(spark, str(tmp_path / "lake")), "purchase")
+    for frame in (views.today_view(products, AS_OF), views.on_day(products, AS_OF, days_before=1)):
+        filters = plan_of(frame).split("PartitionFilters: [")[1].split("]")[0]
+        assert "import_date" in filters and "= 2024-01-" in filters
+
+
 def test_pages_are_never_shuffled(spark):
     from shelftrail.plans.metadata import page_metadata
 

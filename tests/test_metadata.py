@@ -35,6 +35,9 @@ CASES = {
     "no word boundary": ("<p>XHED777 HED7778x</p>", (None, None, "")),
     "escaped text in nested values": (
         block('{"@type":"Product","name":"x","offers":{"d":"say \\"HED\\"\\nHED444 \\u00e9"}}'), ("HED444", "x", "HED444")),
+    "keys differing in case": (
+        block(product(name="x", productId="HED002", productID="HED001")), ("HED001", "x", "HED001")),
+    "null and false values": (block(product(name="x", sku=None, mpn=False, id=["HED003"])), ("HED003", "x", "HED003")),
     "number is no code": (block(product(name="x", sku=12345)), (None, "x", "")),
     "graph": (
         block({"@graph": [crumbs("Home", " Spirits ", "X"), product(name="X", sku="HED001")]}),
@@ -82,6 +85,15 @@ def test_page(found, name):
     assert (r["hed_id"], r["product_name"], r["category_path"]) == CASES[name][1]
 
 
+def test_long_values(spark):
+    """Long strings, many escapes and long runs of blanks neither overflow nor crawl."""
+    long = 'a\\"b ' * 100_000
+    doc = product(name="n", offers={"description": long, "more": ["HED4321"]})
+    html = block(json.dumps(doc) + " " * 100_000) + "<title>" + " " * 100_000 + "t</title>"
+    row = page_metadata(spark.createDataFrame([("u", html)], "url string, html string")).first()
+    assert (row["hed_id"], row["product_name"]) == ("HED4321", "n")
+
+
 def test_levels_follow_the_longest_list(pages):
     table = metadata_table(pages)
     assert [c for c in table.columns if c.startswith("category_level")] == [f"category_level_{i}" for i in (1, 2, 3)]

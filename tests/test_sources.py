@@ -1,5 +1,6 @@
 """CSV layouts, table writes and incremental ingest."""
 
+import os
 from datetime import date
 
 import pytest
@@ -165,6 +166,15 @@ def test_incremental(spark, tmp_path):
     assert spark.read.parquet(table + "_undated").count() == 1
 
 
+def test_newest_of_one_batch_counts(spark, tmp_path):
+    folder = tmp_path / "in"
+    put(folder, "full-stock-list_2024_01_01.csv", OLD + "A,t,s,d,FR,Whisky,3,10\n")
+    put(folder, "a_2024_01_01.csv", OLD + "B,t,s,d,FR,Whisky,3,10\n")
+    os.utime(folder / "a_2024_01_01.csv", (1, 1))
+    ingest_new_snapshots(spark, str(folder), str(tmp_path / "t"), str(tmp_path / "s"))
+    assert [r["code"] for r in tables.read_stocks(spark, str(tmp_path / "t")).collect()] == ["A"]
+
+
 def test_daily_run(spark, tmp_path):
     folder, lake = tmp_path / "in", str(tmp_path / "lake")
     put(folder, "full-stock-list_2024_01_01.csv", OLD + "A,t,s,d,FR,Whisky,3,20\nB,t,s,d,FR,Wine,1,9\n")

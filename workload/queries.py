@@ -289,7 +289,7 @@ def page_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_crumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = metadata.page_documents(product_pages(spark, sf_dir), "HED")
+    docs = metadata.page_documents(product_pages(spark, sf_dir))
     crumbs = jsonld.breadcrumbs(F.col("docs"))
     return docs.select(
         "url", F.array_join(crumbs, "|").alias("crumbs"),
