@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from shelftrail.operators.spread_join import hot_keys, merge_hot_copies
+
 # 0-based positions of the two middle values among `__known` ordered values.
 _LOWER = "(__known - 1) div 2"
 _UPPER = "__known div 2"
@@ -45,27 +47,29 @@ def exact_median(
 ) -> DataFrame:
     """One row per group: keys, `median`, `highest`, `row_count` and the given sums.
 
-    The median is that of the known values, interpolated. Copies of a value are
-    counted before the shuffle, and the counting is spread over (keys, value), so a
-    hot group costs no more than its distinct values. The middle is then found by
-    running counts in value order, which sort and spill instead of holding a group
-    in memory. `large_groups` is for one group per calendar day at most, each a large
-    part of the table: see `_median_by_bands`.
+    The median is that of the known values, interpolated: the middle is found by
+    running counts in value order, which sort and spill instead of holding a group in
+    memory. The first key is the one that may be hot: equal rows of its frequent
+    values are merged before the shuffle, so a hot group costs no more than its
+    distinct rows, and all other rows are shuffled once. `large_groups` is for one
+    group per calendar day at most, each a large part of the table: see
+    `_median_by_bands`.
     """
     sums = sums or {}
     if large_groups:
         return _median_by_bands(df, keys, value, sums)
-    counted = (
-        df.groupBy(*keys, F.col(value).cast("double").alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__n"), *[F.sum(e).alias(n) for n, e in sums.items()])
-        .withColumn("__valid", F.when(F.col("__value").isNotNull(), F.col("__n")).otherwise(0))
+    rows = df.select(
+        *keys, F.col(value).cast("double").alias("__value"), *[e.alias(n) for n, e in sums.items()]
+    )
+    counted = merge_hot_copies(rows, keys[0], hot_keys(df, keys[0]), "__n").withColumn(
+        "__valid", F.when(F.col("__value").isNotNull(), F.col("__n")).otherwise(0)
     )
     per_group = _running(counted, keys, "__value").groupBy(*keys).agg(
         F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
         F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
         F.max("__value").alias("highest"),
         F.sum("__n").alias("row_count"),
-        *[F.sum(n).alias(n) for n in sums],
+        *[F.sum(F.col(n) * F.col("__n")).alias(n) for n in sums],
     )
     return per_group.select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
 

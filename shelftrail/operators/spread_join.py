@@ -21,10 +21,12 @@ def _splits(df: DataFrame) -> int:
 
 
 def hot_keys(rows: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
-    """The keys of `rows` worth splitting (HOT_ROWS rows or more): at most HOT_KEYS."""
+    """The keys of `rows` worth splitting (HOT_ROWS rows or more): at most HOT_KEYS.
+
+    NULL may be among them.
+    """
     return (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+        rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
         .where(F.col("__rows") >= (HOT_ROWS if hot_rows is None else hot_rows))
         .orderBy(F.col("__rows").desc(), F.col(key)).limit(HOT_KEYS)
         .select(key)
@@ -65,10 +67,10 @@ def merge_hot_copies(rows: DataFrame, key: str, hot: DataFrame, copies: str = "c
     Spares the ordinary rows a shuffle. Without hot keys AQE drops the second branch
     before it is read.
     """
-    few = F.broadcast(hot.select(key))
-    ordinary = rows.join(few, key, "left_anti").withColumn(copies, F.lit(1).cast("bigint"))
-    merged = with_copies(rows.join(few, key, "left_semi"), copies)
-    return ordinary.unionByName(merged).select(*rows.columns, copies)
+    few = F.broadcast(hot.select(F.col(key).alias("__key")))
+    is_hot = F.col(key).eqNullSafe(F.col("__key"))
+    ordinary = rows.join(few, is_hot, "left_anti").withColumn(copies, F.lit(1).cast("bigint"))
+    return ordinary.unionByName(with_copies(rows.join(few, is_hot, "left_semi"), copies))
 
 
 def repeat_rows(df: DataFrame, copies: str = "copies") -> DataFrame:

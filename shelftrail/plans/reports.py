@@ -115,7 +115,7 @@ def code_series(
     if codes is not None:
         products = products.where(code_contains(codes) if contains else code_in(codes))
     series = group_medians(
-        products, ["import_date", "code"], "price_gbp", median,
+        products, ["code", "import_date"], "price_gbp", median,
         sums={"total_availability": to_number("availability", strict)},
     ).where(F.col("code").isNotNull())
     # A code has one row per day here. The distinct medians of a code are the ranks
