@@ -10,6 +10,7 @@ from shelftrail.functions.dates import as_date, file_date
 from shelftrail.functions.text import drop_punctuation, strip, title_age, title_distillery
 from shelftrail.operators import filters, history, movement, quality, ranking, reshape, views
 from shelftrail.plans import reports
+from shelftrail.plans.shop import StockReports
 
 D1, D2, D3, D4 = (date(2024, 3, d) for d in (1, 2, 3, 4))
 
@@ -241,3 +242,19 @@ def test_overlay(spark):
 
 def test_empty_check(spark):
     assert filters.is_empty(spark.range(0)) and not filters.is_empty(spark.range(5))
+
+
+def test_reports_of_a_shop(spark, stocks_of, tmp_path):
+    stocks = stocks_of(row("A", D1, 50.0, "3"), row("A", D2, 40.0), row("B", D1), row("B", D2), row("C", D1, type="Wine"))
+    shop = StockReports(stocks, "Whisky", D2)
+    assert [r["code"] for r in shop.query_discounted_items().collect()] == ["A"]
+    assert {r["import_date"] for r in shop.stocks_and_median_values().collect()} == {"2024-03-01", "2024-03-02"}
+    assert shop.stocks_and_median_values_by_code(["A"]).count() == 2
+    assert shop.stocks_and_median_values_by_code([]).isEmpty()
+    sold = [("2024-03-02", "A", 2.0, 2)]
+    columns = ["import_date", "code", "units_sold", "price_changes_count"]
+    assert [tuple(r) for r in shop.previous_day_units_sold(str(tmp_path)).select(*columns).collect()] == sold
+    assert (tmp_path / "sales_2024-03-02.csv").is_dir()
+    assert shop.units_sold_all_time().count() == 1
+    assert shop.price_search().count() == shop.today().count() == 2
+    assert StockReports(stocks, "Whisky").query_discounted_items().isEmpty()
