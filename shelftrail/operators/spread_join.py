@@ -46,7 +46,9 @@ def spread_join(
     """
     key = keys[0]
     hot = F.broadcast((hot_keys(rows, key) if hot is None else hot).withColumn("__hot", F.lit(True)))
-    splits = _splits(rows)
+    # Salts hash to reducers unevenly; more of them even that out. With a single key the
+    # other side has few rows per key, which are cheap to repeat.
+    splits = _splits(rows) * (4 if len(keys) == 1 else 1)
     spread = F.col("__hot") | F.col(key).isNull()
     salt = F.when(spread, F.pmod(F.xxhash64(*rows.columns), F.lit(splits))).otherwise(0)
     salted = rows.join(hot, key, "left").withColumn(_SALT, salt.cast("int"))
