@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftrail.llm import exact_dedup, jaccard_join, packing, substring_dedup
+from shelftrail.llm import exact_dedup, jaccard_join, packing, secret_scan, sentencepiece_codec, substring_dedup, token_frames
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,15 +26,48 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def _tokenizer(name: str) -> str:
+    """Place of a public tokenizer file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentencepiece_codec.round_trip(_documents(spark, sf_dir), _tokenizer("piece_bpe_32k.model"))
+    return out.select(
+        "doc_id", F.expr("cast(length(ids) div 4 as long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    out = secret_scan.scan(docs, secret_scan.fit(docs))
+    listed = "concat_ws(',', transform({}, x -> concat_ws(':', x.kind, x.start, x.end)))"
+    counts = [F.expr(f"cast(size(filter(found, x -> x.kind = '{k}')) as long)").alias(f"n_{k}") for k in secret_scan.KINDS]
+    base = F.expr(listed.format("filter(found, x -> x.kind <> 'random')"))
+    return out.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), F.expr(listed.format("found")).alias("spans"))
+
+
+def op9_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    files = token_frames.write_tokens(docs, token_frames.new_folder(docs), _tokenizer("word_bpe_49k.json"), end_id=2)
+    return token_frames.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_token_frames": op9_token_frames,
 }
 
 def _packing_sql(buckets: int = 8, bins: int = 2048, budget: int = 32768) -> str:
