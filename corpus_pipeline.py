@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelftrail.llm import exact_dedup, jaccard_join, packing
+from shelftrail.llm import exact_dedup, jaccard_join, packing, quality, secret_scan
 from shelftrail.llm.tables import written
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on `docs`, accepts. Null and blank ones stay."""
+    return quality.accepted(docs, quality.fit(docs))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal normalised texts stays."""
+    """One row of each group of equal normalised texts stays; null and blank texts are one group."""
     return exact_dedup.kept_documents(docs)
 
 
@@ -18,14 +23,25 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return jaccard_join.kept_documents(docs, size=5, least=80, of=100)
 
 
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with secrets replaced in text and n_chars counted again."""
+    return secret_scan.redacted(docs, secret_scan.fit(docs))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Batch and slot of each row."""
-    return packing.pack(docs)
+    """doc_id, n_tokens, bucket, boundary, batch and slot of all rows."""
+    return packing.pack(docs, budget=32768, buckets=8)
 
 
-STAGES = [("exact_dedup", exact), ("jaccard_join", near), ("packing", packed)]
+STAGES = [
+    ("quality_classifier", good),
+    ("exact_dedup", exact),
+    ("ngram_jaccard_join", near),
+    ("secret_scans", redacted),
+    ("packing", packed),
+]
 
-#: Fitted models decide in some stages, which SQL can't express.
+#: Fitted models decide in the first and fourth stage, which SQL can't express.
 ORACLE_SQL = None
 
 

@@ -60,9 +60,12 @@ def text_buffer(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndar
 
 
 class Words:
-    """The words of a text column: byte spans, 64-bit hashes, and each row's first word."""
+    """The words of a text column: byte spans, 64-bit hashes, and each row's first word.
 
-    def __init__(self, column, lower: bool = False):
+    With `longest`, words of more bytes are cut into pieces of that many.
+    """
+
+    def __init__(self, column, lower: bool = False, longest: int | None = None):
         self.data, self.bounds = text_buffer(column)
         ink = ~WHITE[self.data]
         edge = self.bounds[(self.bounds > 0) & (self.bounds < len(ink))]
@@ -71,6 +74,11 @@ class Words:
         before[edge], after[edge - 1] = False, False
         self.starts = np.flatnonzero(ink & ~before)
         self.ends = np.flatnonzero(ink & ~after) + 1
+        if longest and len(self.starts):
+            pieces = -(-(self.ends - self.starts) // longest)
+            order = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            self.starts = np.repeat(self.starts, pieces) + longest * order
+            self.ends = np.minimum(self.starts + longest, np.repeat(self.ends, pieces))
         self.offsets = np.searchsorted(self.starts, self.bounds)
         self.counts = np.diff(self.offsets)
         self.hashes = self._hash(LOWER[self.data] if lower else self.data)

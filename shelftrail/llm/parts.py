@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from shelftrail.llm.hashing import group_starts
 
 #: Text bytes per part: what one task holds at a time, together with a few arrays as long.
-PART_BYTES = 12 << 20
+PART_BYTES = 8 << 20
 
 PAYLOAD = "bucket long, part long, keys binary, flags binary, owners binary"
 ANSWER = "part long, round int, bucket long, bits binary"

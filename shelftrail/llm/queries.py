@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelftrail.llm import exact_dedup, jaccard_join, packing, secret_scan, sentencepiece_codec, substring_dedup, token_frames
+from shelftrail.llm import (
+    exact_dedup, jaccard_join, language_id, nearest, packing, quality, secret_scan, sentencepiece_codec, substring_dedup, token_frames,
+)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,18 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return quality.score(docs, quality.fit(docs))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    fold = F.coalesce(language_id.fold(), F.lit(-1))
+    model = language_id.fit(docs.where(fold.isin(0, 1, 3)))
+    return language_id.predict(docs, model).select("doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+
+
 def _tokenizer(name: str) -> str:
     """Place of a public tokenizer file, the same on every machine."""
     import public_tokenizers
@@ -60,14 +74,22 @@ def op9_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.read_tokens(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_quality": op4_quality,
+    "op5_language_id": op5_language_id,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_token_frames": op9_token_frames,
+    "op10_nearest": op10_nearest,
 }
 
 def _packing_sql(buckets: int = 8, bins: int = 2048, budget: int = 32768) -> str:
