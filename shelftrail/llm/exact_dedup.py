@@ -120,7 +120,8 @@ def exact_dedup(
     """
     named = identities(docs, id_col, text_col, block, key_col)
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
-    groups = named.groupBy("depth", "name").agg(best, F.count("*").alias("group_size"))
+    # Written, so that the join shuffles both sides itself and Spark may split a large group.
+    groups = written(named.groupBy("depth", "name").agg(best, F.count("*").alias("group_size")), "exact-groups")
     return named.join(groups, ["depth", "name"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256",
         *(["key"] if key_col else []),
