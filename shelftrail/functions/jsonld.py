@@ -81,10 +81,21 @@ def _unfold(pair: Column, values: Column, raw_list: Column) -> Column:
     return F.when(values.isNotNull(), _pairs(raw_list, values)).otherwise(single)
 
 
+def _readable(raw: Column) -> Column:
+    """The text itself, or with null for NaN and Infinity if it can't be parsed with them.
+
+    JSON readers commonly take these as numbers; Spark's parser doesn't. No field read
+    here is a number, so null stands for them as well.
+    """
+    spelt = F.regexp_replace(raw, r"([:\[,]\s*)-?(?:NaN|Infinity)(?=\s*[,\]}])", "$1null")
+    odd = raw.contains("NaN") | raw.contains("Infinity")
+    return F.when(odd & _parsed(raw).isNull(), spelt).otherwise(raw)
+
+
 def parse_blocks(blocks: Column) -> Column:
     """Block texts to top-level objects; blank and malformed blocks vanish."""
     pairs = F.transform(
-        F.transform(blocks, strip), lambda b: F.struct(b.alias("raw"), _parsed(b).alias("doc"))
+        F.transform(blocks, lambda b: _readable(strip(b))), lambda b: F.struct(b.alias("raw"), _parsed(b).alias("doc"))
     )
     pairs = F.filter(pairs, lambda p: p["doc"].isNotNull())
     return F.flatten(F.transform(
@@ -138,10 +149,14 @@ def find_code(text: Column, prefix: str) -> Column:
 def _code_in_json(value: Column, prefix: str) -> Column:
     """First item code in a JSON value: its text, or its strings in document order.
 
-    Works on the raw text because a VARIANT sorts its keys; key names are skipped.
+    Works on the raw text because a VARIANT sorts its keys; key names are skipped. Of a
+    repeated key the last value counts, so a string that the VARIANT no longer has is
+    skipped as well.
     """
+    kept = _parsed(value).cast("string")
     strings = F.filter(
-        F.regexp_extract_all(value, F.lit(_JSON_STRING), F.lit(0)), lambda t: ~t.endswith(":")
+        F.regexp_extract_all(value, F.lit(_JSON_STRING), F.lit(0)),
+        lambda t: ~t.endswith(":") & F.coalesce(kept.contains(t) | t.contains("\\"), F.lit(True)),
     )
     nested = first_match(F.transform(
         strings,
@@ -152,8 +167,14 @@ def _code_in_json(value: Column, prefix: str) -> Column:
 
 def product_code(docs: Column, in_page: Column, prefix: str) -> Column:
     """Code from the first Product that has one, else the one found in the page."""
-    fields = F.transform(of_type(docs, "Product"), lambda p: F.from_json(p["raw"], "map<string,string>"))
-    values = F.flatten(F.transform(fields, lambda f: F.array(*[f[key] for key in CODE_KEYS])))
+    fields = F.transform(
+        of_type(docs, "Product"), lambda p: F.map_entries(F.from_json(p["raw"], "map<string,string>"))
+    )
+
+    def last(entries: Column, key: str) -> Column:
+        return F.try_element_at(F.filter(entries, lambda e: e["key"] == key), F.lit(-1))["value"]
+
+    values = F.flatten(F.transform(fields, lambda f: F.array(*[last(f, key) for key in CODE_KEYS])))
     return F.coalesce(first_match(F.transform(values, lambda v: _code_in_json(v, prefix))), in_page)
 
 

@@ -36,5 +36,7 @@ def price_changes(products: DataFrame, median: str = "exact") -> DataFrame:
     return code_history(products, median).select("code", "price_changes_count")
 
 
-def max_prices(products: DataFrame, key: str = "code") -> DataFrame:
+def max_prices(products: DataFrame, key: str = "code", until=None) -> DataFrame:
+    if until is not None:
+        products = products.where(F.col("import_date") <= day(until))
     return products.groupBy(key).agg(F.max(F.col("price_gbp").cast("double")).alias("max_price"))

@@ -9,6 +9,7 @@ from shelftrail.functions.dates import as_date, day
 from shelftrail.operators.spread_join import hot_keys, merge_hot_copies, repeat_rows, spread_join
 from shelftrail.operators.views import on_day, unified_price
 from shelftrail.schema import CANONICAL_COLUMNS
+from shelftrail.sinks.writers import reload_days
 
 # What makes two rows of a code the same item.
 IDENTITY = ["code", "title", "size", "style", "country", "type"]
@@ -74,6 +75,11 @@ def repaired_day(stocks: DataFrame, as_of, digits: int | None = None) -> DataFra
     )
 
 
+def repair_day(stocks: DataFrame, path: str, as_of, digits: int | None = None) -> None:
+    """`repaired_day`, written over that day of the table at `path`."""
+    reload_days(repaired_day(stocks, as_of, digits), path, [as_of])
+
+
 def replace_subset(rows: DataFrame, corrected: DataFrame, key: str = "code") -> DataFrame:
     """`rows` without the keys of `corrected`, plus `corrected`."""
     return delete_by_key(rows, corrected, key).unionByName(corrected, allowMissingColumns=True)

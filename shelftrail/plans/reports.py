@@ -32,7 +32,7 @@ def discounted_items(
     `history` is a `code_history` computed before, to be shared between reports.
     """
     if history is None:
-        history = max_prices(products) if plain else code_history(products, median, until)
+        history = max_prices(products, until=until) if plain else code_history(products, median, until)
     offers = spread_join(with_copies(today_view(products, as_of)), history, ["code"], "inner")
     price = F.col("price_gbp").cast("double")
     discount = F.col("max_price") - price

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,6 +18,8 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_temporary: dict[str, str] = {}
+
 
 def build(app_name: str = "shelftrail", master: str | None = None, **settings: str) -> SparkSession:
     """Session with this library's settings; `settings` uses `_` for `.` in keys."""
@@ -31,19 +34,38 @@ def build(app_name: str = "shelftrail", master: str | None = None, **settings: s
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local session (tests, bench) may fall back on a temporary folder.
+    A session whose tasks all run in this process needs none: it gets one temporary
+    folder, once. Anything else, `local-cluster` included, must name a folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="shelftrail-")
+    if context.applicationId not in _temporary:
+        _temporary[context.applicationId] = tempfile.mkdtemp(prefix="shelftrail-")
+    return _temporary[context.applicationId]
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/shelftrail/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet inside the shared folder."""
-    return f"{shared_folder(spark)}/shelftrail/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application; DataFrames on them end with it."""
+    delete_path(spark, _scratch(spark))
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark reaches it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, functions as F
 
+from shelftrail import session
 from shelftrail.functions.dates import as_date
 
 
@@ -38,14 +41,26 @@ def append_rows(df: DataFrame, path: str, by_day: bool = True) -> None:
     (writer.partitionBy("import_date") if by_day else writer).parquet(path)
 
 
-def reload_days(stocks: DataFrame, path: str) -> None:
-    """Replace exactly the days that `stocks` holds; every other day stays.
+def reload_days(stocks: DataFrame, path: str, days: Iterable | None = None) -> None:
+    """Replace the days that `stocks` holds; every other day stays.
 
-    Days are swapped in when the job commits, so a rerun after a failure is safe.
+    `days` names the days being replaced: one of them that `stocks` has no rows for
+    (any more) becomes empty, and rows of other days are an error. Days are swapped in
+    when the job commits, so a rerun after a failure is safe.
     """
+    if days is not None:
+        # Written first: the rows may come from the table itself, and are looked at twice.
+        stocks = session.materialize(stocks, "reload")
+        present = {r[0] for r in stocks.select("import_date").distinct().collect()}
+        emptied = {as_date(d) for d in days}
+        if not present <= emptied:
+            raise ValueError(f"rows of days that aren't reloaded: {sorted(map(str, present - emptied))}")
+        emptied -= present
     stocks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "import_date"
     ).parquet(path)
+    for empty_day in emptied if days is not None else ():
+        session.delete_path(stocks.sparkSession, f"{path.rstrip('/')}/import_date={empty_day.isoformat()}")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import csv
 import re
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -63,13 +63,25 @@ def _csv(spark: SparkSession, multi_line: bool):
     )
 
 
-def _header(spark: SparkSession, files: list[str]) -> tuple[str, ...]:
-    """First header found among the files of a snapshot; empty files have none."""
-    for file in sorted(files):
-        columns = _csv(spark, False).csv(_literal(file)).columns
-        if columns:
-            return tuple(columns)
-    return ()
+def file_headers(spark: SparkSession, files: list[str]) -> list[tuple[str, str]]:
+    """(path, first line) of every file that has one, all read in one distributed pass.
+
+    The file's first block has its first line, and lines are numbered in order within a
+    block, so the line of the smallest number is the header.
+    """
+    lines = spark.read.text([_literal(f) for f in files]).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    first = (
+        lines.where(F.col("start") == 0).withColumn("line", F.monotonically_increasing_id())
+        .groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    )
+    return [(unquote(r["path"]), r["header"]) for r in first.collect()]
+
+
+def _columns(header: str) -> tuple[str, ...]:
+    """Column names of a header line, without a byte order mark."""
+    return tuple(next(csv.reader([header.lstrip("\ufeff")]), ()))
 
 
 def _unit_name(path: str) -> str:
@@ -77,22 +89,21 @@ def _unit_name(path: str) -> str:
     return dated.group(1) if dated else path
 
 
-def header_groups(spark: SparkSession, path: str, parallel: int = 32) -> dict[tuple[str, ...], list[str]]:
-    """File paths by header line.
+def header_groups(spark: SparkSession, path: str, files: list[str] | None = None) -> dict[tuple[str, ...], list[str]]:
+    """File paths by header line; Spark applies one header to a whole CSV read.
 
-    Spark applies one header to a whole CSV read, so files are grouped first. One file
-    of each snapshot has its first line read, many snapshots at a time; that the
-    other part files of a snapshot have the same header is checked by `read_group`.
+    `files` limits this to some files below `path`. The part files of a snapshot must
+    agree on their header.
     """
-    units: dict[str, list[str]] = {}
-    for file in snapshot_paths(spark, path):
-        units.setdefault(_unit_name(file), []).append(file)
-    with ThreadPoolExecutor(parallel) as pool:
-        headers = list(pool.map(lambda files: _header(spark, files), units.values()))
+    files = snapshot_paths(spark, path) if files is None else files
     groups: dict[tuple[str, ...], list[str]] = {}
-    for header, files in sorted(zip(headers, units.values())):
+    units: dict[str, tuple[str, ...]] = {}
+    for file, line in sorted(file_headers(spark, files)) if files else ():
+        header = _columns(line)
+        if header and units.setdefault(_unit_name(file), header) != header:
+            raise ValueError(f"the header of {file} differs from that of its snapshot")
         if header:
-            groups.setdefault(header, []).extend(sorted(files))
+            groups.setdefault(header, []).append(file)
     return groups
 
 
@@ -138,19 +149,21 @@ def canonical_by_name(raw: DataFrame) -> DataFrame:
     )
 
 
-def stocks_by_name(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def stocks_by_name(
+    spark: SparkSession, path: str, multi_line: bool = False, files: list[str] | None = None
+) -> DataFrame:
     """Canonical table of all snapshots, whatever their column order.
 
     Each header group is brought into canonical form by itself, so that only the
     columns it has are parsed, and the groups are then put together.
     """
-    groups = header_groups(spark, path)
+    groups = header_groups(spark, path, files)
     frames = [canonical_by_name(read_group(spark, h, files, multi_line)) for h, files in groups.items()]
     empty = spark.createDataFrame([], CANONICAL)
     return reduce(DataFrame.unionByName, frames) if frames else empty
 
 
-def read_positional(spark: SparkSession, path: str, escape: str = '"') -> DataFrame:
+def read_positional(spark: SparkSession, path: str | list[str], escape: str = '"') -> DataFrame:
     """All snapshots as the 12 text columns of the newer layout, whatever their header.
 
     Shorter rows are padded with NULL. One scan over all files and layouts.
@@ -209,13 +222,19 @@ def canonical_by_position(raw: DataFrame) -> DataFrame:
     ).select(*CANONICAL_COLUMNS)
 
 
-def stocks_by_position(spark: SparkSession, path: str, escape: str = '"') -> DataFrame:
-    return canonical_by_position(read_positional(spark, path, escape))
+def stocks_by_position(
+    spark: SparkSession, path: str, escape: str = '"', files: list[str] | None = None
+) -> DataFrame:
+    paths = path if files is None else [_literal(f) for f in files]
+    return canonical_by_position(read_positional(spark, paths, escape))
 
 
-def build_stocks(spark: SparkSession, path: str, layout: str = "by_name") -> DataFrame:
+def build_stocks(
+    spark: SparkSession, path: str, layout: str = "by_name", files: list[str] | None = None
+) -> DataFrame:
+    """Canonical table of the snapshots below `path`, or of some of their files."""
     readers = {"by_name": stocks_by_name, "positional": stocks_by_position}
-    return readers[layout](spark, path)
+    return readers[layout](spark, path, files=files)
 
 
 def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -223,11 +242,16 @@ def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
     return _csv(spark, False).option("inferSchema", True).csv(path)
 
 
-def new_files(listing: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Files of a listing whose name was not loaded before (batch form of the stream)."""
-    def name(path: Column) -> Column:
-        return F.regexp_extract(path, r"([^/]+)$", 1)
+def file_key(path: Column) -> Column:
+    """What tells a file from others: from the name with the date on, else its own name.
 
-    return listing.withColumn("file_name", name(F.col(SOURCE_PATH))).join(
-        loaded.select(name(F.col(SOURCE_PATH)).alias("file_name")).distinct(), "file_name", "left_anti"
-    )
+    Part files have the same names in every snapshot folder, so the folder counts.
+    """
+    dated = F.regexp_extract(path, r"([^/]*\d{4}_\d{2}_\d{2}[^/]*(?:/[^/]+)?)$", 1)
+    return F.when(dated == "", F.regexp_extract(path, r"([^/]+)$", 1)).otherwise(dated)
+
+
+def new_files(listing: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Files of a listing that were not loaded before (batch form of the stream)."""
+    key = file_key(F.col(SOURCE_PATH)).alias("file_name")
+    return listing.withColumn("file_name", key).join(loaded.select(key).distinct(), "file_name", "left_anti")

@@ -65,6 +65,12 @@ CASES = {
         '<title>t</title><meta name="a" property="og:title" content="O &amp; G ">', (None, "O & G", "")),
     "empty og wins over title": ('<meta property="og:title" content=""><title>t</title>', (None, "", "")),
     "blank product name": (block(product(name="  ")) + "<TITLE>\n T&eacute; \n</TITLE>", (None, "Té", "")),
+    "repeated key, the last counts": (
+        block('{"@type":"Product","name":"x","sku":"HED111","sku":"HED222"}'), ("HED222", "x", "HED222")),
+    "repeated key in a nested value": (
+        block('{"@type":"Product","name":"x","offers":{"sku":"HED111","sku":"HED222"}}'), ("HED222", "x", "HED222")),
+    "not a number, infinity": (
+        block('{"@type":"Product","name":"n","price":NaN,"low":-Infinity,"all":[Infinity, NaN],"sku":"HED300"}'), ("HED300", "n", "HED300")),
     "nothing": ("<p></p>", (None, None, "")),
 }
 

@@ -33,6 +33,9 @@ def test_tolerant_numbers(spark):
 def test_strict_number_raises(spark):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         column(spark, ["n/a"], lambda v: to_number(v, strict=True))
+    with pytest.raises(Exception, match="not a number: 1d"):
+        column(spark, ["1d"], lambda v: to_number(v, strict=True))
+    assert column(spark, ["1", " 2.5 ", None], lambda v: to_number(v, strict=True)) == [1.0, 2.5, None]
 
 
 def test_file_dates(spark):
@@ -133,6 +136,24 @@ def test_discount_against_later_prices_too(stocks_of):
     assert reports.discounted_items(stocks, D2, until=D2).first()["old_price"] == 50.0
 
 
+def test_plain_discounts_heed_the_end_of_history(stocks_of):
+    stocks = stocks_of(row("A", D1, 50.0), row("A", D2, 40.0), row("A", D3, 80.0))
+    for plain in (False, True):
+        items = reports.discounted_items(stocks, D2, plain=plain, until=D2).collect()
+        assert [i["old_price"] for i in items] == [50.0]
+
+
+def test_order_of_reports(stocks_of):
+    """Alerts cheapest first, screens by discount or price, the two-measure summary by day."""
+    stocks = stocks_of(*[row(c, d, p) for c, p1, p2 in (("A", 90.0, 30.0), ("B", 90.0, 10.0), ("C", 50.0, 20.0)) for d, p in ((D1, p1), (D2, p2))])
+    items = reports.discounted_items(stocks, D2)
+    assert [r["code"] for r in items.collect()] == ["B", "A", "C"]
+    assert [r["code"] for r in reports.discount_alert(items).collect()] == ["B", "C", "A"]
+    assert [r["code"] for r in reports.discount_screen(items, 0, 100).collect()] == ["B", "A", "C"]
+    assert [r["code"] for r in reports.price_screen(reports.price_search(stocks, D2), 0, 100).collect()] == ["A", "C", "B"]
+    assert [r["import_date"] for r in reports.daily_counts_and_medians(stocks).collect()] == [D2, D1]
+
+
 def test_shared_history(stocks_of):
     stocks = stocks_of(row("A", D1, 50.0, "3"), row("A", D2, 40.0), row("B", D1), row("B", D2))
     shared = history.code_history(stocks)

@@ -1,11 +1,13 @@
 """CSV layouts, table writes and incremental ingest."""
 
+import glob
 import os
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelftrail import session as spark_session
 from shelftrail.operators.reshape import source_layout, to_canonical_names
 from shelftrail.plans import daily
 from shelftrail.schema import CANONICAL_COLUMNS, CURRENT_HEADERS, LEGACY_HEADERS
@@ -147,6 +149,62 @@ def test_new_files(spark, landing, tmp_path):
     assert sorted(r["file_name"] for r in fresh.collect()) == ["full-stock-list_2024_01_02.csv", "no-date.csv"]
 
 
+def test_new_files_in_folders(spark, tmp_path):
+    """Part files have the same names in every folder."""
+    for day in (20, 21):
+        put(tmp_path / "l" / f"full_2024_01_{day}.csv", "part-0.csv", OLD + "A,t,s,d,FR,Whisky,1,1\n")
+    listing = snapshots.snapshot_files(spark, str(tmp_path / "l"))
+    fresh = snapshots.new_files(listing, listing.where(F.col(snapshots.SOURCE_PATH).contains("01_20")))
+    assert [r["file_name"] for r in fresh.collect()] == ["full_2024_01_21.csv/part-0.csv"]
+
+
+def test_headers_are_read_in_one_pass(spark, tmp_path):
+    for day in range(1, 29):
+        put(tmp_path / "l", f"s_2024_02_{day:02d}.csv", (OLD if day % 2 else NEW))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "")
+    assert len(snapshots.header_groups(spark, str(tmp_path / "l"))) == 2
+    assert len(tracker.getJobIdsForGroup("headers")) <= 3
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_emptied_day(spark, tmp_path):
+    path, day = str(tmp_path / "t"), date(2024, 1, 2)
+    rows = spark.createDataFrame([("A", date(2024, 1, 1)), ("B", day), ("B", day)], "code string, import_date date")
+    writers.write_stocks(rows, path)
+    table = spark.read.parquet(path)
+    writers.reload_days(table.where((F.col("import_date") == F.lit(day)) & (F.col("code") != "B")), path, [day])
+    assert [r["code"] for r in spark.read.parquet(path).collect()] == ["A"]
+    with pytest.raises(ValueError, match="2024-01-01"):
+        writers.reload_days(rows, path, [day])
+
+
+def test_late_part_file(spark, tmp_path):
+    folder, table, state = tmp_path / "in" / "full_2024_01_20.csv", str(tmp_path / "t"), str(tmp_path / "s")
+    for name, code in (("part-0.csv", "A"), ("part-1.csv", "B")):
+        put(folder, name, OLD + f"{code},t,s,d,FR,Whisky,3,10\n")
+        ingest_new_snapshots(spark, str(tmp_path / "in"), table, state)
+    assert sorted(r["code"] for r in tables.read_stocks(spark, table).collect()) == ["A", "B"]
+
+
+def test_incremental_by_name(spark, tmp_path):
+    """Blank prices and reordered columns come out right, as in a rebuild."""
+    folder, table = tmp_path / "in", str(tmp_path / "t")
+    put(folder, "full_2024_01_01.csv", OLD + "B,No price,70cl,Dry,FR,Whisky,1,\n")
+    put(folder, "full_2024_01_02.csv", "Title,Code,Available,Price (GBP),Group\nT,A,4,2.5,Whisky\n")
+    ingest_new_snapshots(spark, str(folder), table, str(tmp_path / "s"))
+    rows = by_code(tables.read_stocks(spark, table))
+    assert (rows["B"]["type"], rows["B"]["availability"], rows["B"]["style"]) == ("Whisky", "1", "Dry")
+    assert (rows["A"]["title"], rows["A"]["price_gbp"], rows["A"]["type"]) == ("T", 2.5, "Whisky")
+
+
+def test_scratch_is_deleted(spark, tmp_path):
+    spark_session.materialize(spark.range(3), "trial")
+    assert glob.glob(f"{spark_session.shared_folder(spark)}/shelftrail/*/trial-*".removeprefix("file:"))
+    spark_session.clear_scratch(spark)
+    assert not glob.glob(f"{spark_session.shared_folder(spark)}/shelftrail/*/trial-*".removeprefix("file:"))
+
+
 def test_incremental(spark, tmp_path):
     folder, table, state = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "s")
 
