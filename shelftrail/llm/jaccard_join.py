@@ -287,7 +287,8 @@ def jaccard_join(
         .select(*name, "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component"))
     )
     rows = table.select("row", "key", "doc_id", *name).join(classes, name, "left").withColumn("component", F.coalesce("component", "row"))
-    best = rows.groupBy("component").agg(F.min(order).alias("best"))
+    # Written, so that the join shuffles both sides itself and Spark may split a large component.
+    best = written(rows.groupBy("component").agg(F.min(order).alias("best")), "jaccard-best")
     return rows.join(best, "component").select(
         "doc_id", "n_shingles", F.col("best.doc_id").alias("component_id"),
         F.when(F.col("copies").isNull(), 0).otherwise(F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"),
