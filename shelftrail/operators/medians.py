@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelftrail.operators.spread_join import hot_keys, merge_hot_copies
+from shelftrail.operators import spread_join
+from shelftrail.operators.spread_join import hot_keys
 
 # 0-based positions of the two middle values among `__known` ordered values.
 _LOWER = "(__known - 1) div 2"
 _UPPER = "__known div 2"
 
 
-def _band(value: Column) -> Column:
-    """Coarse whole number that never decreases with the value: 64 bands per doubling."""
-    size = F.floor(F.log2(F.abs(value) + 1) * 64)
-    return F.when(F.isnan(value), F.lit(1 << 40)).otherwise(F.signum(value).cast("bigint") * size)
+# The middle is sought between two approximate quantiles this far from it, which is ten
+# times as far as they may be wrong.
+_MARGIN, _ACCURACY = 0.001, 10_000
 
 
 def _running(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -38,6 +38,13 @@ def _middle() -> Column:
     return F.col("__lower") * 0.5 + F.col("__upper") * 0.5
 
 
+def _same(left: list[str], right: list[str]) -> Column:
+    same = F.lit(True)
+    for a, b in zip(left, right):
+        same &= F.col(a).eqNullSafe(F.col(b))
+    return same
+
+
 def exact_median(
     df: DataFrame,
     keys: list[str],
@@ -47,83 +54,71 @@ def exact_median(
 ) -> DataFrame:
     """One row per group: keys, `median`, `highest`, `row_count` and the given sums.
 
-    The median is that of the known values, interpolated: the middle is found by
-    running counts in value order, which sort and spill instead of holding a group in
-    memory. The first key is the one that may be hot: equal rows of its frequent
-    values are merged before the shuffle, so a hot group costs no more than its
-    distinct rows, and all other rows are shuffled once. `large_groups` is for one
-    group per calendar day at most, each a large part of the table: see
-    `_median_by_bands`.
+    The median is that of the known values, interpolated. Ordinary groups are shuffled
+    once, and the middle is found by running counts in value order, which sort and spill
+    instead of holding a group in memory. Groups with more rows than one reducer should
+    carry are found by counting the first key, and the whole key only where the first is
+    frequent; they go through `_median_by_bracket`, and without any AQE drops that branch.
+    `large_groups` is for one group per calendar day at most, each a large part of the
+    table: all go through that branch.
     """
     sums = sums or {}
-    if large_groups:
-        return _median_by_bands(df, keys, value, sums)
     rows = df.select(
         *keys, F.col(value).cast("double").alias("__value"), *[e.alias(n) for n, e in sums.items()]
     )
-    counted = merge_hot_copies(rows, keys[0], hot_keys(df, keys[0]), "__n").withColumn(
-        "__valid", F.when(F.col("__value").isNotNull(), F.col("__n")).otherwise(0)
+    if large_groups:
+        return _median_by_bracket(rows, keys, list(sums), bounded=True)
+    names = [f"__key_{k}" for k in keys]
+    first = hot_keys(df, keys[0])
+    frequent = first.select(F.col(keys[0]).alias(names[0]))
+    of_frequent = rows.join(frequent, _same(keys[:1], names[:1]), "left_semi")
+    # Fewer than shuffle partitions, as the first keys are; see hot_keys.
+    hot = hot_keys(of_frequent, *keys).select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    ordinary = rows.join(hot, _same(keys, names), "left_anti").withColumn(
+        "__valid", F.col("__value").isNotNull().cast("int")
     )
-    per_group = _running(counted, keys, "__value").groupBy(*keys).agg(
+    per_group = _running(ordinary, keys, "__value").groupBy(*keys).agg(
         F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
         F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
         F.max("__value").alias("highest"),
-        F.sum("__n").alias("row_count"),
-        *[F.sum(F.col(n) * F.col("__n")).alias(n) for n in sums],
+        F.count(F.lit(1)).alias("row_count"),
+        *[F.sum(n).alias(n) for n in sums],
     )
-    return per_group.select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
+    per_group = per_group.select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
+    large = _median_by_bracket(rows.join(hot, _same(keys, names), "left_semi"), keys, list(sums), spread_join.SHARE is None)
+    return per_group.unionByName(large)
 
 
-def _median_by_bands(df: DataFrame, keys: list[str], value: str, sums: dict[str, Column]) -> DataFrame:
+def _median_by_bracket(rows: DataFrame, keys: list[str], sums: list[str], bounded: bool) -> DataFrame:
     """`exact_median` for few, large groups, without shuffling their values.
 
-    A first pass counts the values in coarse bands, a few thousand numbers per group.
-    A second pass reads only the one or two bands that hold the middle and puts their
-    distinct values in order.
+    A first pass brackets each group's middle between two approximate quantiles. A second
+    pass counts the values below the bracket and each distinct value within it, a few
+    thousandths of the group, and puts those in order. Both combine before the shuffle, so
+    copies and wide groups cost little, however the values are spread. With `bounded`
+    groups (one per calendar day, or fewer than shuffle partitions) the brackets are sent
+    to every task.
     """
-    price = F.col(value).cast("double")
-    banded = df.select("*", price.alias("__value"), _band(price).alias("__band"))
-    known = F.count("__value").alias("__valid")
-    bands = banded.groupBy(*keys, "__band").agg(
-        known,
-        F.count(F.lit(1)).alias("row_count"),
-        F.max("__value").alias("highest"),
-        *[F.sum(e).alias(n) for n, e in sums.items()],
-    )
-    here = F.struct(F.col("__band"), (F.col("__upto") - F.col("__valid")).alias("before"))
-    groups = _running(bands, keys, "__band").groupBy(*keys).agg(
-        F.max(_at(_LOWER, here)).alias("__low"),
-        F.max(_at(_UPPER, here)).alias("__high"),
-        F.max("__known").alias("__known"),
-        F.max("highest").alias("highest"),
-        F.sum("row_count").alias("row_count"),
-        *[F.sum(n).alias(n) for n in sums],
+    names = [f"__of_{k}" for k in keys]
+    ends = F.percentile_approx("__value", F.array(F.lit(0.5 - _MARGIN), F.lit(0.5 + _MARGIN)), _ACCURACY)
+    groups = rows.groupBy(*keys).agg(
+        ends.alias("__ends"), F.count("__value").alias("__known"), F.max("__value").alias("highest"),
+        F.count(F.lit(1)).alias("row_count"), *[F.sum(n).alias(n) for n in sums],
     )
-    carried = ["__known", "highest", "row_count", *sums]
-    # At most two rows per group, and one group per calendar day: small enough to send
-    # to every task. A group without known values picks the band of the unknown ones.
-    picks = groups.select(
-        *[F.col(k).alias(f"__key_{k}") for k in keys], *carried,
-        F.explode(F.array_distinct(F.array("__low", "__high"))).alias("__pick"),
-    ).select("*", F.col("__pick.__band").alias("__picked"), F.col("__pick.before").alias("__before"))
-    same = F.col("__band").eqNullSafe(F.col("__picked"))
-    for k in keys:
-        same &= F.col(k).eqNullSafe(F.col(f"__key_{k}"))
-    near = (
-        banded.select(*keys, "__value", "__band").join(F.broadcast(picks.drop("__pick")), same)
-        .groupBy(*keys, "__band", "__value").agg(
-            known, *[F.max(c).alias(c) for c in ["__before", *carried]]
-        )
+    brackets = groups.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__ends", "__known")
+    low, high = F.col("__ends")[0], F.col("__ends")[1]
+    near = rows.select(*keys, "__value").join(F.broadcast(brackets) if bounded else brackets, _same(keys, names))
+    counted = near.where(F.col("__value") <= high).groupBy(
+        *keys, F.when(F.col("__value") >= low, F.col("__value")).alias("__value")  # NULL: below the bracket
+    ).agg(F.count(F.lit(1)).alias("__valid"), F.max("__known").alias("__known"))
+    order = Window.partitionBy(*keys).orderBy(F.col("__value").asc_nulls_first())
+    ranked = counted.withColumn("__upto", F.sum("__valid").over(order))
+    middles = ranked.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(
+        F.max(_at(_LOWER, F.col("__value"))).alias("__lower"), F.max(_at(_UPPER, F.col("__value"))).alias("__upper")
     )
-    upto = Window.partitionBy(*keys, "__band").orderBy(F.col("__value").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = near.withColumn("__upto", F.sum("__valid").over(upto) + F.col("__before"))
-    return ranked.groupBy(*keys).agg(
-        F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
-        F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
-        *[F.max(c).alias(c) for c in carried],
-    ).select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
+    missed = (F.col("__known") > 0) & (F.col("__lower").isNull() | F.col("__upper").isNull())
+    median = F.when(missed, F.raise_error(F.lit("the middle is outside its bracket")).cast("double")).otherwise(_middle())
+    return groups.join(middles, _same(keys, names), "left").select(*keys, median.alias("median"), "highest", "row_count", *sums)
 
 
 def approximate_median(

@@ -73,15 +73,16 @@ def units_sold_all(
     median: str = "exact",
     strict: bool = False,
     count_vanished: bool = True,
-    as_rows: bool = True,
+    as_rows: bool = False,
     history: DataFrame | None = None,
 ) -> DataFrame:
     """Units sold for every day that has a snapshot, over the whole history.
 
     Title, address and price are those of the earlier day. An item missing on the
     later day is sold out unless `count_vanished` is off. Listed by day and price.
-    A code listed m times and then n times gives up to m * n rows, as joins do;
-    `as_rows=False` gives them as one row per distinct availability, with `copies`.
+    A code listed m times and then n times gives up to m * n equal rows in a join. They
+    come as one row per distinct row of the earlier and availability of the later day,
+    with their number in `copies`; `as_rows` repeats them instead.
     """
     # One row per calendar day: the DATE type bounds this list, so it may be broadcast.
     days = F.broadcast(snapshot_days(products))

@@ -4,33 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key outside the HOT_KEYS most frequent ones holds less than 1/HOT_KEYS of the
-# rows, so it cannot overload a task. This also bounds the broadcast list of hot keys.
-HOT_KEYS = 1000
-# Keys with fewer rows than this are never worth splitting.
-HOT_ROWS = 100_000
+# Rows of a key that one reducer should carry; None is an even share of all rows.
+SHARE: int | None = None
 
 # Longest run of equal rows produced from one row in one step.
 _RUN = 4096
 _SALT = "__salt"
 
 
-def _splits(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(256, partitions))
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(rows: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
-    """The keys of `rows` worth splitting (HOT_ROWS rows or more): at most HOT_KEYS.
+def hot_keys(rows: DataFrame, *keys: str, share: int | None = None) -> DataFrame:
+    """The keys with more rows than one reducer should carry, and `__splits`, how many should.
 
-    NULL may be among them.
+    With an even share as the bar there are fewer such keys than shuffle partitions,
+    whatever the volume, so the list may be sent to every task. A `share` in rows gives no
+    such bound, and Spark then joins the list as its size demands. NULL may be among them.
     """
-    return (
-        rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") >= (HOT_ROWS if hot_rows is None else hot_rows))
-        .orderBy(F.col("__rows").desc(), F.col(key)).limit(HOT_KEYS)
-        .select(key)
-    )
+    share = SHARE if share is None else share
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    if share is None:
+        total = counts.agg(F.sum("__rows")).scalar()
+        bar = F.greatest(F.ceil(total / _partitions(rows)), F.lit(1))
+    else:
+        bar = F.lit(share)
+    hot = counts.where(F.col("__rows") > bar).select(*keys, F.ceil(F.col("__rows") / bar).cast("int").alias("__splits"))
+    return F.broadcast(hot) if share is None else hot
 
 
 def spread_join(
@@ -38,22 +39,23 @@ def spread_join(
 ) -> DataFrame:
     """`rows.join(other, keys, how)` for inner, left, left_semi and left_anti.
 
-    Rows whose first key is hot are spread over several reducers by a salt taken from
-    their content, and the other side's rows of that key (only those) are repeated per
-    salt. Rows without that key match nothing and are spread as well. `hot` lists the
-    hot values of the first key; by default they are counted on `rows`. Equal rows
-    share a salt, so merge them before (`with_copies`, `merge_hot_copies`).
+    Rows whose first key is hot are spread over as many reducers as their number asks
+    for, by a salt taken from their content, and the other side's rows of that key (only
+    those) are repeated per salt. Rows without that key match nothing and are spread as
+    well. `hot` lists the hot values of the first key; by default they are counted on
+    `rows`. Equal rows share a salt, so merge them before (`with_copies`,
+    `merge_hot_copies`).
     """
     key = keys[0]
-    hot = F.broadcast((hot_keys(rows, key) if hot is None else hot).withColumn("__hot", F.lit(True)))
+    hot = hot_keys(rows, key) if hot is None else hot
     # Salts hash to reducers unevenly; more of them even that out. With a single key the
     # other side has few rows per key, which are cheap to repeat.
-    splits = _splits(rows) * (4 if len(keys) == 1 else 1)
-    spread = F.col("__hot") | F.col(key).isNull()
-    salt = F.when(spread, F.pmod(F.xxhash64(*rows.columns), F.lit(splits))).otherwise(0)
+    more = 4 if len(keys) == 1 else 1
+    splits = F.when(F.col(key).isNull(), _partitions(rows) * more).otherwise(F.col("__splits") * more)
+    salt = F.when(splits.isNotNull(), F.pmod(F.xxhash64(*rows.columns), splits)).otherwise(0)
     salted = rows.join(hot, key, "left").withColumn(_SALT, salt.cast("int"))
-    salts = F.sequence(F.lit(0), F.when(F.col("__hot"), F.lit(splits - 1)).otherwise(0))
-    repeated = other.join(hot, key, "left").withColumn(_SALT, F.explode(salts)).drop("__hot")
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("__splits") * more, F.lit(1)) - 1)
+    repeated = other.join(hot, key, "left").withColumn(_SALT, F.explode(salts)).drop("__splits")
     added = [] if how in ("left_semi", "left_anti") else [c for c in other.columns if c not in keys]
     return salted.join(repeated, [*keys, _SALT], how).select(*rows.columns, *added)
 
@@ -69,7 +71,7 @@ def merge_hot_copies(rows: DataFrame, key: str, hot: DataFrame, copies: str = "c
     Spares the ordinary rows a shuffle. Without hot keys AQE drops the second branch
     before it is read.
     """
-    few = F.broadcast(hot.select(F.col(key).alias("__key")))
+    few = hot.select(F.col(key).alias("__key"))
     is_hot = F.col(key).eqNullSafe(F.col("__key"))
     ordinary = rows.join(few, is_hot, "left_anti").withColumn(copies, F.lit(1).cast("bigint"))
     return ordinary.unionByName(with_copies(rows.join(few, is_hot, "left_semi"), copies))

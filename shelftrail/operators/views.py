@@ -43,7 +43,7 @@ def register_views(spark: SparkSession, stocks: DataFrame, product_type: str, as
         "stocks_view": stocks.select(*CANONICAL_COLUMNS),
         "product_stocks_view": products,
         "product_stocks_view_today": today_view(products, as_of),
-        "product_units_sold_all_time": units_sold_all(products),
+        "product_units_sold_all_time": units_sold_all(products, as_rows=True),
     }.items():
         frame.createOrReplaceTempView(name)
 

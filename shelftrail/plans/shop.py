@@ -23,7 +23,8 @@ class StockReports:
     """Reports on one product type as of one day (None: the session's current date).
 
     The per-code history behind several reports is computed once, on first need, and
-    kept as a table in the shared folder. Make a new object after new data arrived.
+    kept as a table in the shared folder until `session.clear_scratch`. Make a new object
+    after new data arrived. Method names are fixed values: the reports' public names.
     """
 
     def __init__(self, stocks: DataFrame, product_type: str, as_of=None, median: str = "exact"):
@@ -62,7 +63,7 @@ class StockReports:
         return self.units_sold_by_date(self.as_of, output_folder)
 
     def units_sold_all_time(self) -> DataFrame:
-        return units_sold_all(self.products, history=self.history)
+        return units_sold_all(self.products, as_rows=True, history=self.history)
 
     def price_search(self) -> DataFrame:
         return reports.price_search(self.products, self.as_of, history=self.history)

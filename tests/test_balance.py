@@ -29,16 +29,15 @@ def test_spread_join_is_a_join(spark, how):
     )
     other = spark.createDataFrame([(k, d, k * 10 + d) for k in range(1, 8) for d in range(3) if (k + d) % 4], "k int, d int, w int")
     for keys, right in ((["k", "d"], other), (["k"], other.where("d = 0").drop("d"))):
-        hot = spread_join.hot_keys(rows, "k", hot_rows=20)
+        hot = spread_join.hot_keys(rows, "k", share=20)
         assert hot.count() > 1
         got = spread_join.spread_join(rows, right, keys, how, hot)
         expected = rows.join(right, keys, how).select(*got.columns)
         assert Counter(map(tuple, got.collect())) == Counter(map(tuple, expected.collect()))
 
 
-def test_hot_rows_are_spread(spark, monkeypatch):
+def test_hot_rows_are_spread(spark):
     """A code with a third of the rows does not reach the join in one partition."""
-    monkeypatch.setattr(spread_join, "HOT_ROWS", 1000)
     rows = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), "id")).alias("code"), "id"
     )
@@ -57,10 +56,33 @@ def test_hot_rows_are_spread(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-def test_hot_keys_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(spread_join, "HOT_KEYS", 3)
-    rows = spark.range(100).select((F.col("id") % 10).alias("k"))
-    assert spread_join.hot_keys(rows, "k", hot_rows=1).count() == 3
+def test_hot_keys_follow_the_volume(spark):
+    """With an even share as the bar, fewer keys than partitions are hot; a bar in rows has no such cap."""
+    rows = spark.range(6000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id") % 1500).alias("k"))
+    assert [tuple(r) for r in spread_join.hot_keys(rows, "k").collect()] == [(-1, 2)]
+    many = spark.range(12_000).select((F.col("id") % 1200).alias("k"))
+    hot = spread_join.hot_keys(many, "k", share=4)
+    assert hot.count() == 1200 and {r["__splits"] for r in hot.collect()} == {3}
+    joined = spread_join.spread_join(many, many.distinct().withColumn("n", F.lit(1)), ["k"], "left", hot)
+    assert joined.where("n = 1").count() == 12_000
+
+
+def test_a_key_gets_as_many_salts_as_it_needs(spark):
+    rows = spark.range(200_000).select(F.lit("hot").alias("k"), "id")
+    hot = spread_join.hot_keys(rows, "k", share=400)
+    assert hot.first()["__splits"] == 500
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        joined = spread_join.spread_join(rows, spark.createDataFrame([("hot", 1)], "k string, n int"), ["k"], "inner", hot)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in sizes) == 200_000
+        assert len(sizes) > 450 and max(r["count"] for r in sizes) < 1500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_repeat_rows(spark):
@@ -78,14 +100,21 @@ def test_copies_round_trip(spark):
 
 def test_only_copies_of_hot_keys_are_merged(spark):
     rows = spark.createDataFrame([("a", 1)] * 5 + [("b", 1)] * 2 + [(None, 1)] * 4, "k string, v int")
-    merged = spread_join.merge_hot_copies(rows, "k", spread_join.hot_keys(rows, "k", hot_rows=3))
+    merged = spread_join.merge_hot_copies(rows, "k", spread_join.hot_keys(rows, "k", share=2))
     assert Counter(map(tuple, merged.collect())) == Counter({("a", 1, 5): 1, ("b", 1, 1): 2, (None, 1, 4): 1})
 
 
+def test_median_of_values_close_together(spark):
+    """100,000 distinct prices within one pound: few of them reach the ordering."""
+    rows = spark.range(100_001).select(F.lit(1).alias("g"), (1000 + F.pmod(F.col("id") * 7919, F.lit(100_001)) / 100_001).alias("v"))
+    got = medians.exact_median(rows, ["g"], "v", large_groups=True)
+    assert got.first()["median"] == 1000 + 50_000 / 100_001
+
+
 @pytest.mark.parametrize("large_groups", [False, True])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_exact_median(spark, monkeypatch, seed, large_groups):
-    monkeypatch.setattr(spread_join, "HOT_ROWS", 200)
+    monkeypatch.setattr(spread_join, "SHARE", 200)
     rng = random.Random(seed)
     rows = []
     for _ in range(3000):
@@ -108,9 +137,8 @@ def test_exact_median(spark, monkeypatch, seed, large_groups):
     assert len(got) == len({r[0] for r in rows})
 
 
-def test_one_code_with_a_third_of_all_rows(spark, monkeypatch):
+def test_one_code_with_a_third_of_all_rows(spark):
     """Reports on skewed input agree with plain Spark SQL over the same rows."""
-    monkeypatch.setattr(spread_join, "HOT_ROWS", 500)
     rng = random.Random(3)
     rows = []
     for i in range(6000):
@@ -126,9 +154,9 @@ def test_one_code_with_a_third_of_all_rows(spark, monkeypatch):
         FROM skewed y JOIN (SELECT DISTINCT import_date AS d FROM skewed) t ON y.import_date = date_sub(t.d, 1)
         LEFT JOIN skewed c ON c.code = y.code AND c.import_date = t.d
         WHERE double(y.availability) - coalesce(double(c.availability), 0) > 0""")
-    got = movement.units_sold_all(df).drop("price_changes_count")
+    got = movement.units_sold_all(df, as_rows=True).drop("price_changes_count")
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
-    merged = movement.units_sold_all(df, as_rows=False)
+    merged = movement.units_sold_all(df)
     assert merged.agg(F.sum("copies")).first()[0] == expected.count()
     offers = reports.discounted_items(df, AS_OF)
     assert offers.count() == spark.sql(f"""

@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import subprocess
 import sys
 
@@ -15,7 +16,10 @@ def test_entry(spark):
 
 
 def test_same_keys():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    """Only corpus operators, where they are installed, may lack SQL."""
+    corpus = {k for k in entry_module.queries() if re.match(r"op\d+_|pipeline$", k)}
+    assert set(entry_module.queries()) - corpus == set(entry_module.oracle_sql()) - corpus
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
 def test_bench_prints_one_json_line():

@@ -51,8 +51,8 @@ def random_rows(seed):
 
 KEYS = {
     "price_changes": history.price_changes,
-    "units_sold_all": movement.units_sold_all,
-    "units_sold_all_present": lambda w: movement.units_sold_all(w, count_vanished=False),
+    "units_sold_all": lambda w: movement.units_sold_all(w, as_rows=True),
+    "units_sold_all_present": lambda w: movement.units_sold_all(w, count_vanished=False, as_rows=True),
     "units_sold_by_date": lambda w: movement.units_sold_by_date(w, AS_OF),
     "units_sold_missing_day": lambda w: movement.units_sold_by_date(w, NO_SNAPSHOT),
     "units_moved": lambda w: movement.units_moved(w, AS_OF),
@@ -71,10 +71,10 @@ KEYS = {
 }
 
 
-@pytest.mark.parametrize("seed, hot_rows", [(1, 100_000), (2, 100_000), (3, 3)])
-def test_random_tables(spark, duck, monkeypatch, seed, hot_rows):
+@pytest.mark.parametrize("seed, share", [(1, 100_000), (2, None), (3, 3)])
+def test_random_tables(spark, duck, monkeypatch, seed, share):
     """With a low bar for hot keys the salted joins carry almost every row."""
-    monkeypatch.setattr(spread_join, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(spread_join, "SHARE", share)
     rows = random_rows(seed)
     table = pa.Table.from_arrays([pa.array(c) for c in zip(*rows)], names=CANONICAL_COLUMNS)
     duck.register("given", table)

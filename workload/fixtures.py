@@ -59,17 +59,52 @@ SELECT CAST(NULL AS DOUBLE) AS abv,
 FROM {lineitem} l
 """
 
-PAGES_SQL = """
+# The stock table with its days moved, so that the last one is the current date.
+MOVED_UP_SQL = """
+SELECT abv, availability, code, country, type, url, price_gbp, price_ex_vat, price_incl_vat, size, style, title, vintage,
+       CAST(import_date + {days} AS DATE) AS import_date
+FROM {stocks}
+"""
+
+# The stock table with unreadable and missing availabilities and missing prices.
+DIRTY_SQL = """
+SELECT abv, CASE WHEN CAST(availability AS INT) % 7 = 0 THEN 'sold out' WHEN CAST(availability AS INT) % 11 = 0 THEN NULL
+                 WHEN CAST(availability AS INT) % 13 = 0 THEN concat(availability, 'd') ELSE availability END AS availability,
+       code, country, type, url,
+       CASE WHEN CAST(availability AS INT) % 5 = 0 THEN NULL ELSE price_gbp END AS price_gbp, price_ex_vat,
+       CASE WHEN CAST(availability AS INT) % 5 = 0 THEN NULL ELSE price_incl_vat END AS price_incl_vat,
+       size, style, title, vintage, import_date
+FROM {stocks}
+"""
+
+_SCRIPT = '<script type="application/ld+json">'
+# By page_id % 8: one product; a graph; nothing; a list of products; a malformed block and
+# one with entities; a repeated key and NaN; crumbs ending in the name; a nested repeated key.
+PAGES_SQL = f"""
 SELECT page_id, url, concat(html,
-  CASE page_id % 3
-    WHEN 0 THEN concat('<script type="application/ld+json">{{"@type":"Product","name":"Item ', CAST(page_id AS STRING),
-                       '","sku":"hed', lpad(CAST(page_id AS STRING), 5, '0'), '"}}</script>')
-    WHEN 1 THEN concat('<SCRIPT id="ld" type="application/ld+json">{{"@graph":[{{"@type":["BreadcrumbList"],"itemListElement":',
-                       '[{{"name":"Home"}},{{"item":{{"name":" Spirits "}}}},{{"name":"Cat ', CAST(page_id % 5 AS STRING), '"}}]}},',
-                       '{{"@type":"Product","name":"Item ', CAST(page_id AS STRING),
-                       '","offers":{{"sku":["HED', lpad(CAST(page_id AS STRING), 5, '0'), '"]}}}}]}}</SCRIPT>')
+  CASE page_id % 8
+    WHEN 0 THEN concat('{_SCRIPT}{{{{"@type":"Product","name":"Item ', CAST(page_id AS STRING),
+                       '","sku":"hed', lpad(CAST(page_id AS STRING), 5, '0'), '"}}}}</script>')
+    WHEN 1 THEN concat('<SCRIPT id="ld" type="application/ld+json">{{{{"@graph":[{{{{"@type":["BreadcrumbList"],"itemListElement":',
+                       '[{{{{"name":"Home"}}}},{{{{"item":{{{{"name":" Spirits "}}}}}}}},{{{{"name":"Cat ', CAST(page_id % 5 AS STRING), '"}}}}]}}}},',
+                       '{{{{"@type":"Product","name":"Item ', CAST(page_id AS STRING),
+                       '","offers":{{{{"sku":["HED', lpad(CAST(page_id AS STRING), 5, '0'), '"]}}}}}}}}]}}}}</SCRIPT>')
+    WHEN 3 THEN concat('{_SCRIPT}[{{{{"@type":"Product","name":"First ', CAST(page_id AS STRING),
+                       '"}}}},{{{{"@type":"Product","name":"Second","id":"HED', lpad(CAST(page_id AS STRING), 5, '0'), '"}}}}]</script>')
+    WHEN 4 THEN concat('{_SCRIPT}{{{{"@type":"Product",}}}}</script>',
+                       '{_SCRIPT}{{{{"@type":"Product","name":"Salt &amp; Sons ', CAST(page_id AS STRING),
+                       '","mpn":"HED', lpad(CAST(page_id AS STRING), 5, '0'), '"}}}}</script>')
+    WHEN 5 THEN concat('{_SCRIPT}{{{{"@type":"Product","name":"Item ', CAST(page_id AS STRING),
+                       '","price":NaN,"sku":"HED1', lpad(CAST(page_id AS STRING), 5, '0'),
+                       '","sku":"HED8', lpad(CAST(page_id AS STRING), 5, '0'), '"}}}}</script>')
+    WHEN 6 THEN concat('{_SCRIPT}[{{{{"@type":"BreadcrumbList","itemListElement":[{{{{"name":"Shop"}}}},{{{{"name":"ITEM ', CAST(page_id AS STRING),
+                       '"}}}}]}}}},{{{{"@type":"Product","name":"Item ', CAST(page_id AS STRING),
+                       '","sku":"HED', lpad(CAST(page_id AS STRING), 5, '0'), '"}}}}]</script>')
+    WHEN 7 THEN concat('{_SCRIPT}{{{{"@type":"Product","name":"Item ', CAST(page_id AS STRING),
+                       '","offers":{{{{"sku":"HED1', lpad(CAST(page_id AS STRING), 5, '0'),
+                       '","sku":"HED9', lpad(CAST(page_id AS STRING), 5, '0'), '"}}}}}}}}</script>')
     ELSE '' END) AS html
-FROM {pages}
+FROM {{pages}}
 """
 
 
@@ -96,6 +131,23 @@ def line_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, LINE_STOCKS_SQL, "lineitem")
 
 
+# Days from the last one of the fixture to the current date.
+SPARK_DAYS = "datediff(current_date(), DATE '2024-01-30')"
+DUCK_DAYS = "CAST(current_date - DATE '2024-01-30' AS INTEGER)"
+
+
+def _derived(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    return product_view(spark.sql(text, stocks=event_stocks(spark, sf_dir)), PRODUCT_TYPE)
+
+
+def current_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derived(spark, sf_dir, MOVED_UP_SQL.replace("{days}", SPARK_DAYS))
+
+
+def dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derived(spark, sf_dir, DIRTY_SQL)
+
+
 def event_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return product_view(event_stocks(spark, sf_dir), PRODUCT_TYPE)
 

@@ -16,12 +16,11 @@ from shelftrail.sinks import writers
 from shelftrail.sources import snapshots, tables
 from shelftrail.streaming import incremental
 from workload.fixtures import (
-    AS_OF, LINE_DAY, NO_SNAPSHOT, PRODUCT_TYPE, RELANDED, event_products, event_stocks, land_both_layouts, land_csv,
-    line_products, product_pages,
+    AS_OF, LINE_DAY, NO_SNAPSHOT, PRODUCT_TYPE, RELANDED, current_products, dirty_products, event_products, event_stocks,
+    land_both_layouts, land_csv, line_products, product_pages,
 )
 
 CODES = ["SKU00001", " SKU00002 ", "SKU00003", "SKU00001", ""]
-PRICE_POINTS = [12.31, 1.63]
 
 
 def _on_products(fn):
@@ -32,6 +31,14 @@ def _on_stocks(fn):
     return lambda spark, sf_dir: fn(event_stocks(spark, sf_dir))
 
 
+def _on_dirty(fn):
+    return lambda spark, sf_dir: fn(dirty_products(spark, sf_dir))
+
+
+def _on_current(fn):
+    return lambda spark, sf_dir: fn(current_products(spark, sf_dir))
+
+
 def _on_lines(fn):
     return lambda spark, sf_dir: fn(line_products(spark, sf_dir))
 
@@ -72,10 +79,7 @@ def typed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.write_csv(
         event_stocks(spark, sf_dir).select("code", "availability", "import_date"), path
     )
-    return snapshots.read_typed_csv(spark, path).select(
-        "code", F.col("availability").cast("bigint").alias("availability"),
-        F.col("import_date").cast("date").alias("import_date"),
-    )
+    return snapshots.read_typed_csv(spark, path)
 
 
 def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +110,49 @@ def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(day).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def late_part_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's snapshot in two part files of one folder, the second landing a run later."""
+    landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "stocks", "ingest"))
+    stocks = event_stocks(spark, sf_dir)
+    half = F.pmod(F.xxhash64("code"), F.lit(2))
+    for part in (0, 1):
+        rows = stocks.where(half == part)
+        snapshot = F.concat(F.lit("full-stock-list_"), F.date_format("import_date", "yyyy_MM_dd"), F.lit(".csv"))
+        out = reshape.source_layout(rows.withColumn("snapshot", snapshot), {**CURRENT_HEADERS, "snapshot": "snapshot"})
+        out.hint("rebalance", F.col("snapshot")).write.mode("append").option("header", True).option("escape", '"').partitionBy(
+            "snapshot"
+        ).csv(landing)
+        incremental.ingest_new_snapshots(spark, landing, table, checkpoint)
+    return tables.read_stocks(spark, table)
+
+
+def new_files_in_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the days after RELANDED, whose part files are told apart by their folder."""
+    landing = scratch_path(spark, "landing")
+    land_csv(event_stocks(spark, sf_dir), landing, CURRENT_HEADERS)
+    listing = snapshots.snapshot_files(spark, landing)
+    # Names as a single writer would give them in every folder.
+    same = listing.withColumn(snapshots.SOURCE_PATH, F.regexp_replace(snapshots.SOURCE_PATH, "[^/]+$", "part-0.csv")).distinct()
+    loaded = same.where(file_date(F.col(snapshots.SOURCE_PATH)) <= F.lit(RELANDED))
+    fresh = snapshots.new_files(same, loaded).select(snapshots.snapshot_unit(F.col(snapshots.SOURCE_PATH)).alias("unit"))
+    rows = snapshots.read_positional(spark, landing).withColumn("unit", snapshots.snapshot_unit(F.col(snapshots.SOURCE_PATH)))
+    day = file_date(F.col("unit")).alias("import_date")
+    return rows.join(fresh, "unit", "left_semi").groupBy(day).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def incremental_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both layouts, the older with blank prices and its columns in another order."""
+    landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "stocks", "ingest"))
+    stocks = event_stocks(spark, sf_dir)
+    newer = F.col("price_gbp").isNull()
+    blank = reshape.set_cell(stocks.where(~newer), to_number("availability") % 5 == 0, "price_gbp", F.lit(None).cast("double"))
+    land_csv(blank, f"{landing}/older", dict(reversed(LEGACY_HEADERS.items())))
+    incremental.ingest_new_snapshots(spark, landing, table, checkpoint)
+    land_csv(stocks.where(newer), f"{landing}/newer", CURRENT_HEADERS)
+    incremental.ingest_new_snapshots(spark, landing, table, checkpoint)
+    return tables.read_stocks(spark, table)
+
+
 # --- tables and sinks -----------------------------------------------------------
 
 
@@ -149,6 +196,22 @@ def partition_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_stocks(spark, path)
 
 
+def emptied_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All codes of the last day deleted, written and read back."""
+    path = scratch_path(spark, "emptied")
+    writers.write_stocks(event_stocks(spark, sf_dir), path, even_files=True)
+    day = views.on_day(tables.read_stocks(spark, path), AS_OF)
+    writers.reload_days(quality.delete_by_key(day, day.select("code")), path, [AS_OF])
+    return tables.read_stocks(spark, path)
+
+
+def repair_written_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "repaired")
+    writers.write_stocks(event_stocks(spark, sf_dir), path, even_files=True)
+    quality.repair_day(tables.read_stocks(spark, path), path, AS_OF, 6)
+    return tables.read_stocks(spark, path)
+
+
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "sales")
     sales = movement.units_sold_by_date(event_products(spark, sf_dir), AS_OF)
@@ -242,10 +305,16 @@ def first_listed(products: DataFrame) -> DataFrame:
     )
 
 
+def units_sold_counted(products: DataFrame) -> DataFrame:
+    """Equal sales as one row; rows that differ only in the earlier day's unused columns are added up."""
+    sold = movement.units_sold_all(products)
+    return sold.groupBy(*[c for c in sold.columns if c != "copies"]).agg(F.sum("copies").alias("copies"))
+
+
 def price_points(products: DataFrame) -> DataFrame:
-    return products.where(filters.price_is_one_of("price_gbp", PRICE_POINTS)).select(
-        "code", "title", "price_gbp", "url"
-    ).distinct()
+    """Offers at the lowest and at the highest price there is."""
+    points = products.agg(F.min("price_gbp"), F.max("price_gbp")).first()
+    return products.where(filters.price_is_one_of("price_gbp", points)).select("code", "title", "price_gbp", "url").distinct()
 
 
 def discounts_by_title(products: DataFrame) -> DataFrame:
@@ -313,13 +382,18 @@ QUERIES = {
     "legacy_flags": legacy_flags,
     "typed_csv": typed_csv,
     "incremental_ingest": incremental_ingest,
+    "late_part_file": late_part_file,
     "new_files": new_files,
+    "new_files_in_folders": new_files_in_folders,
+    "incremental_by_name": incremental_by_name,
     # tables and sinks
     "parquet_day": parquet_day,
     "named_views": named_views,
     "replaced_table": replaced_table,
     "appended_rows": appended_rows,
     "partition_reload": partition_reload,
+    "emptied_day": emptied_day,
+    "repair_written_back": repair_written_back,
     "csv_export": csv_export,
     "csv_by_day": csv_by_day,
     # views
@@ -329,8 +403,11 @@ QUERIES = {
     # history and movement
     "price_changes": _on_products(history.price_changes),
     "price_changes_approx": _on_products(lambda w: history.price_changes(w, "approx")),
-    "units_sold_all": _on_products(movement.units_sold_all),
-    "units_sold_all_present": _on_products(lambda w: movement.units_sold_all(w, count_vanished=False)),
+    "units_sold_all": _on_products(lambda w: movement.units_sold_all(w, as_rows=True)),
+    "units_sold_all_present": _on_products(lambda w: movement.units_sold_all(w, count_vanished=False, as_rows=True)),
+    "units_sold_counted": _on_products(units_sold_counted),
+    "units_sold_by_date_plain": _on_products(lambda w: movement.units_sold_by_date(w, AS_OF, with_counts=False)),
+    "units_sold_today": _on_current(movement.units_sold_by_date),
     "units_sold_by_date": _on_products(lambda w: movement.units_sold_by_date(w, AS_OF)),
     "units_sold_missing_day": _on_products(lambda w: movement.units_sold_by_date(w, NO_SNAPSHOT)),
     "units_moved": _on_products(lambda w: movement.units_moved(w, AS_OF)),
@@ -338,6 +415,10 @@ QUERIES = {
     # reports
     "discounted_items": _on_products(lambda w: reports.discounted_items(w, AS_OF)),
     "discounted_items_plain": _on_products(lambda w: reports.discounted_items(w, AS_OF, plain=True)),
+    "discounted_items_until": _on_products(
+        lambda w: reports.discounted_items(w, RELANDED, plain=True, until=RELANDED)
+    ),
+    "discounted_items_today": _on_current(reports.discounted_items),
     "discount_screen": _on_products(
         lambda w: reports.discount_screen(reports.discounted_items(w, AS_OF), 10, 500, 10.0, "small|hot")
     ),
@@ -355,6 +436,12 @@ QUERIES = {
     "code_series_approx": _on_products(lambda w: reports.code_series(w, median="approx")),
     "code_series_contains": _on_products(lambda w: reports.code_series(w, ["sku00001", "0007"], contains=True)),
     "price_search": _on_products(lambda w: reports.price_search(w, AS_OF)),
+    "price_search_plain": _on_products(lambda w: reports.price_search(w, AS_OF, with_counts=False)),
+    "dirty_units_sold_all": _on_dirty(lambda w: movement.units_sold_all(w, as_rows=True)),
+    "dirty_daily_summary": _on_dirty(reports.daily_stock_summary),
+    "dirty_code_series": _on_dirty(reports.code_series),
+    "dirty_discounted_items": _on_dirty(lambda w: reports.discounted_items(w, AS_OF)),
+    "dirty_price_ranks": _on_dirty(ranking.price_ranks),
     "price_search_screen": _on_products(
         lambda w: reports.price_screen(reports.price_search(w, AS_OF), 0, 5000, "SMALL")
     ),
@@ -404,7 +491,7 @@ QUERIES = {
     "line_price_changes": _on_lines(history.price_changes),
     "line_daily_summary": _on_lines(reports.daily_stock_summary),
     "line_code_series": _on_lines(reports.code_series),
-    "line_units_sold_all": _on_lines(movement.units_sold_all),
+    "line_units_sold_all": _on_lines(lambda w: movement.units_sold_all(w, as_rows=True)),
     "line_units_sold_by_date": _on_lines(lambda w: movement.units_sold_by_date(w, LINE_DAY)),
     "line_discounted_items": _on_lines(lambda w: reports.discounted_items(w, LINE_DAY)),
     "line_new_lows": _on_lines(lambda w: ranking.new_lows(w, LINE_DAY)),
