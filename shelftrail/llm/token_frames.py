@@ -12,8 +12,9 @@ A file is a valid zstandard stream:
 A reader takes the two tables from the end of the file and decompresses only the frames of
 the documents it was asked for.
 
-Encoding uses a table of distinct words: the tokenizer drops white space and cuts the rest
-into runs before merging, so ids of a text are those of its runs in order.
+Encoding uses a table of distinct runs: the tokenizer drops white space and cuts the rest
+into runs before merging, so ids of a text are those of its runs in order. The table lives
+as long as the Python worker and starts afresh when it is full.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import os
 import re
 import struct
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +41,14 @@ from shelftrail.llm.tables import written
 SKIPPABLE, SEEKABLE, HAS_CHECKSUMS = 0x184D2A50, 0x8F92EAB1, 0x80
 SEEK_FRAME = SKIPPABLE + 14
 
-#: Words in the table, and the longest that is kept there.
-TABLE, LONGEST = 400_000, 128
-#: How the word tokenizer cuts lower-case ASCII text; others are cut by the library itself.
-_RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Runs in the table, and the longest that is kept there.
+TABLE, LONGEST = 800_000, 128
+#: How the word tokenizer cuts ASCII text. Words with other characters, and texts with
+#: control characters or marks of special tokens, are left to the library.
+_CUT = r"'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|[A-Za-z]+|[0-9]|[^A-Za-z0-9\x20\x09-\x0D]+"
+_RUNS = re.compile(_CUT)
+_RUNS_AND_WORDS = re.compile(r"[^\x20\x09-\x0D]*[^\x00-\x7F][^\x20\x09-\x0D]*|" + _CUT)
+_ODD = re.compile(r"<\||[\x00-\x08\x0E-\x1F\x7F]")
 _CODERS: dict[str, WordCoder] = {}
 
 _MANIFEST = "place long, path string, first long, n_docs long, n_tokens long"
@@ -52,7 +57,7 @@ _READ_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_toke
 
 
 class WordCoder:
-    """A tokenizer that lowers text, drops white space and cuts it as _RUNS does; one per Python worker."""
+    """A tokenizer that lowers text, drops white space and cuts it as _CUT does; one per Python worker."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,8 +65,10 @@ class WordCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.table: dict[str, bytes] = {}
+        # The library takes long texts much faster than many short ones, so runs are handed
+        # over with a special token between them, at which their ids are cut apart again.
+        self.between, self.mark = next((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
 
     @classmethod
     def of(cls, path: str) -> WordCoder:
@@ -69,40 +76,30 @@ class WordCoder:
             _CODERS[path] = cls(path)
         return _CODERS[path]
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: Iterable[bytes]) -> None:
-        plain, whole, missing = [], [], set()
-        for word in words:
-            text = word.decode()
-            if word.isascii() and b"<|" not in word:
-                runs = _RUNS.findall(text.lower())
-                missing.update(r for r in runs if r not in self.runs)
-                plain.append((word, runs))
-            else:
-                whole.append((word, text))
-        missing = list(missing)
-        self.runs.update(zip(missing, self._library(missing)))
-        self.words.update(zip((w for w, _ in whole), self._library([t for _, t in whole])))
-        self.words.update((w, b"".join(map(self.runs.__getitem__, runs))) for w, runs in plain)
-        for run in missing:
-            if len(run) > LONGEST:
-                del self.runs[run]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _segment(self, runs: list[str]) -> list[bytes]:
+        joined = [self.mark.join(runs[i : i + 256]) for i in range(0, len(runs), 256)]
+        out = []
+        for found in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(found.ids, self.kind)
+            out += [x.tobytes() for x in np.split(ids, np.flatnonzero(ids == self.between))]
+        # All but the first of a text begin with the mark.
+        return [x[self.kind.itemsize :] if i % 256 else x for i, x in enumerate(out)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, `kind` each."""
-        if len(self.words) > TABLE:
-            self.words.clear()
-        if len(self.runs) > TABLE:
-            self.runs.clear()
-        split = [t.encode().split() for t in texts]
-        new = {w for words in split for w in words if w not in self.words}
-        self._learn(new)
-        out = [b"".join(map(self.words.__getitem__, words)) for words in split]
-        for word in new:
-            if len(word) > LONGEST:
-                del self.words[word]
+        if len(self.table) > TABLE:
+            self.table.clear()
+        odd = [bool(_ODD.search(t)) for t in texts]
+        split = [() if o else (_RUNS if t.isascii() else _RUNS_AND_WORDS).findall(t) for t, o in zip(texts, odd)]
+        new = list(set().union(*split).difference(self.table))
+        self.table.update(zip(new, self._segment(new)))
+        out = [self._whole(t) if o else b"".join(map(self.table.__getitem__, runs)) for t, runs, o in zip(texts, split, odd)]
+        for run in new:
+            if len(run) > LONGEST:
+                del self.table[run]
         return out
 
 
