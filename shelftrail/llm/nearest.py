@@ -32,9 +32,9 @@ BEAM, OPENED = 400, 80
 #: Rows whose projections' medians cut the cells.
 CUT_SAMPLE = 4000
 
-_LISTS = "block long, node long, vector binary, ids binary, dists binary, fresh binary, worst double"
+_LISTS = "block long, node long, owners binary, vector binary, ids binary, dists binary, fresh binary, worst double"
 _LISTS_ARROW = pa.schema([
-    ("block", pa.int64()), ("node", pa.int64()), ("vector", pa.binary()), ("ids", pa.binary()), ("dists", pa.binary()),
+    ("block", pa.int64()), ("node", pa.int64()), ("owners", pa.binary()), ("vector", pa.binary()), ("ids", pa.binary()), ("dists", pa.binary()),
     ("fresh", pa.binary()), ("worst", pa.float64()),
 ])
 
@@ -93,7 +93,20 @@ def _lists(owner, other, dist, fresh, keep: int = 0, vectors: dict[int, bytes] |
     for node in found if vectors is None else vectors:
         ids, dists, new = found.get(node, none)
         worst = float(dists[-1]) if keep and len(dists) >= keep else float("inf")
-        rows.append((None, node, vectors[node] if vectors else None, ids.astype(np.int64).tobytes(), dists.astype(np.float32).tobytes(), new.tobytes(), worst))
+        rows.append((None, node, None, vectors[node] if vectors else None, ids.astype(np.int64).tobytes(), dists.astype(np.float32).tobytes(), new.tobytes(), worst))
+    columns = list(zip(*rows)) if rows else [[]] * len(_LISTS_ARROW)
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, _LISTS_ARROW)], schema=_LISTS_ARROW)
+
+
+def _packed(block, owner, other, dist) -> pa.Table:
+    """Rows of _LISTS, one per block, from parallel arrays: introductions of many nodes, all fresh."""
+    order = np.argsort(block, kind="stable")
+    block, owner, other, dist = block[order], owner[order].astype(np.int64), other[order].astype(np.int64), dist[order].astype(np.float32)
+    starts = group_starts(block)
+    rows = [
+        (int(block[a]), None, owner[a:b].tobytes(), None, other[a:b].tobytes(), dist[a:b].tobytes(), np.ones(b - a, bool).tobytes(), None)
+        for a, b in zip(starts, [*starts[1:], len(block)])
+    ]
     columns = list(zip(*rows)) if rows else [[]] * len(_LISTS_ARROW)
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, _LISTS_ARROW)], schema=_LISTS_ARROW)
 
@@ -103,7 +116,10 @@ def _flat(table: pa.Table):
     ids = [np.frombuffer(x, np.int64) for x in table["ids"].to_pylist()]
     if not ids:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, bool)
-    owner = np.repeat(table["node"].to_numpy(), [len(x) for x in ids])
+    owner = np.concatenate([
+        np.frombuffer(many, np.int64) if many is not None else np.full(len(x), node)
+        for node, many, x in zip(table["node"].to_pylist(), table["owners"].to_pylist(), ids)
+    ])
     dists = np.concatenate([np.frombuffer(x, np.float32) for x in table["dists"].to_pylist()])
     return owner, np.concatenate(ids), dists, np.concatenate([np.frombuffer(x, bool) for x in table["fresh"].to_pylist()])
 
@@ -183,14 +199,16 @@ def _start(packed: DataFrame, count: int, keep: int) -> DataFrame:
 
 
 def _introduce(keep: int):
-    """Distances among the members that each node of the block brings together; the best few of each member."""
+    """Distances among the members that each node of the block brings together.
+
+    The best few of each member, in a row for each block that they go to.
+    """
     def run(edges, needed):
-        none = [np.zeros(0, kind) for kind in (np.int64, np.int64, np.float32, bool)]
         if not edges.num_rows:
-            return _lists(*none)
+            return _LISTS_ARROW.empty_table()
         order = np.argsort(needed["node"].to_numpy())
         ids, x, worst = needed["node"].to_numpy()[order], _floats(needed["vector"])[order], needed["worst"].to_numpy()[order]
-        squares = (x * x).sum(1)
+        squares, target = (x * x).sum(1), needed["target"].to_numpy()[order]
         host, member, fresh = (edges[c].to_numpy() for c in ("host", "member", "fresh"))
         order = np.lexsort((member, ~fresh, host))
         host, place, fresh = host[order], np.searchsorted(ids, member[order]), fresh[order]
@@ -205,8 +223,8 @@ def _introduce(keep: int):
         left, right, dist = (np.concatenate(c) for c in zip(*out))
         owner, other, dist = np.concatenate((left, right)), np.concatenate((right, left)), np.concatenate((dist, dist))
         better = dist < worst[owner]
-        owner, other, dist = owner[better], other[better], dist[better]
-        return _lists(*_nearest(ids[owner], ids[other], dist, np.ones(len(owner), bool), keep))
+        owner, other, dist, _ = _nearest(owner[better], ids[other[better]], dist[better], np.ones(better.sum(), bool), keep)
+        return _packed(target[owner], ids[owner], other, dist)
 
     return run
 
@@ -222,15 +240,15 @@ def build(base: DataFrame, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, r
     count = packed.count()
     blocks = max(1, -(-count // BLOCK))
     empty = F.lit(bytearray())
-    graph = packed.select("node", "vector", empty.alias("ids"), empty.alias("dists"), empty.alias("fresh"), F.lit(float("inf")).alias("worst"))
+    graph = packed.select("node", F.lit(None).cast("binary").alias("owners"), "vector", empty.alias("ids"), empty.alias("dists"), empty.alias("fresh"), F.lit(float("inf")).alias("worst"))
     if not count:
         return graph
 
     def merged(found: DataFrame, turn: int) -> DataFrame:
-        lists = _in_block(graph, blocks).unionByName(_in_block(found, blocks))
+        lists = _in_block(graph, blocks).unionByName(found)
         return written(lists.groupBy("block").applyInArrow(_merge(neighbours, sample, turn), _LISTS).drop("block"), "ann-graph")
 
-    graph = merged(_start(packed, count, neighbours), 0)
+    graph = merged(_in_block(_start(packed, count, neighbours), blocks), 0)
     for turn in range(rounds):
         edges = graph.mapInArrow(_edges(sample, turn), "host long, member long, fresh boolean")
         back = edges.select(F.col("member").alias("host"), F.col("host").alias("member"), "fresh")
@@ -238,7 +256,7 @@ def build(base: DataFrame, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, r
         both = edges.unionByName(back.withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank"))
         # Mutual neighbours come twice, perhaps only once as fresh.
         both = written(_in_block(both.groupBy("host", "member").agg(F.max("fresh").alias("fresh")), blocks, "host"), "ann-edges")
-        vectors = graph.select("node", "vector", "worst")
+        vectors = _in_block(graph, blocks).select("node", "vector", "worst", F.col("block").alias("target"))
         needed = both.select(F.col("block").alias("home"), F.col("member").alias("node")).distinct().join(vectors, "node")
         graph = merged(both.groupBy("block").cogroup(needed.groupBy("home")).applyInArrow(_introduce(neighbours), _LISTS), turn)
     return graph
