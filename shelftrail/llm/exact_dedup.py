@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelftrail.llm.tables import keyed, written
+from shelftrail.llm.tables import Scratch, keyed, written
 
 #: Bytes of normalised text per block.
 BLOCK = 4096
@@ -74,7 +74,7 @@ def _named(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def identities(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, key_col: str | None = None
+    docs: DataFrame, steps: Scratch, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, key_col: str | None = None
 ) -> DataFrame:
     """row, key, doc_id, n_chars, text_sha256, depth and name; the last two are equal for equal texts.
 
@@ -83,9 +83,9 @@ def identities(
     """
     key = F.col(key_col) if key_col else F.lit(None)
     docs = docs.select(key.cast("string").alias("key"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    cut = written(docs.mapInArrow(_cut(block), _CUT), "exact-blocks")
+    cut = steps.written(docs.mapInArrow(_cut(block), _CUT), "exact-blocks")
     docs, blocks = cut.where("row is not null"), cut.where("row is null").select("home", "slot", "block")
-    level = written(
+    level = steps.written(
         docs.select("row", "home", F.size("slots").alias("n"), F.posexplode("slots").alias("place", "slot"))
         .join(_named(blocks, "block").drop("block"), ["home", "slot"])
         .select("row", "n", "place", "name"),
@@ -102,8 +102,8 @@ def identities(
             F.max(F.when(F.col("place") % 2 == 0, F.col("name"))).alias("a"),
             F.coalesce(F.max(F.when(F.col("place") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b"),
         )
-        pairs = written(pairs, "exact-pairs")
-        level = written(pairs.join(_named(pairs.select("a", "b").distinct(), "a", "b"), ["a", "b"]).select("row", "n", "place", "name"), "exact-level")
+        pairs = steps.written(pairs, "exact-pairs")
+        level = steps.written(pairs.join(_named(pairs.select("a", "b").distinct(), "a", "b"), ["a", "b"]).select("row", "n", "place", "name"), "exact-level")
         depth += 1
     return docs.select("row", "key", "doc_id", "n_chars", "text_sha256").join(names, "row", "left").fillna(-1, ["depth", "name"])
 
@@ -118,14 +118,18 @@ def exact_dedup(
     id comes after all others. Null and empty texts are one group. Other columns are ignored,
     whatever their names; an empty table gives an empty result; texts have no length limit.
     """
-    named = identities(docs, id_col, text_col, block, key_col)
+    with Scratch(docs.sparkSession) as steps:
+        return _grouped(identities(docs, steps, id_col, text_col, block, key_col), steps, bool(key_col))
+
+
+def _grouped(named: DataFrame, steps: Scratch, with_key: bool) -> DataFrame:
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
     # Written, so that the join shuffles both sides itself and Spark may split a large group.
-    groups = written(named.groupBy("depth", "name").agg(best, F.count("*").alias("group_size")), "exact-groups")
-    return named.join(groups, ["depth", "name"]).select(
+    groups = steps.written(named.groupBy("depth", "name").agg(best, F.count("*").alias("group_size")), "exact-groups")
+    return written(named.join(groups, ["depth", "name"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), "text_sha256",
-        *(["key"] if key_col else []),
-    )
+        *(["key"] if with_key else []),
+    ), "exact-dedup")
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from shelftrail.llm import parts as P
 from shelftrail.llm.hashing import Words, group_starts, mix
-from shelftrail.llm.tables import components, keyed, written
+from shelftrail.llm.tables import Scratch, components, keyed, written
 
 #: Classes per tile of a large cluster.
 TILE = 256
@@ -203,16 +203,22 @@ def jaccard_join(
     component of null ids has a null component_id. Other columns are ignored, whatever their
     names; an empty table gives an empty result; texts are read whole.
     """
-    spark = docs.sparkSession
+    with Scratch(docs.sparkSession) as steps:
+        return _joined(docs, steps, size, least, of, id_col, text_col, key_col)
+
+
+def _joined(docs: DataFrame, steps: Scratch, size: int, least: int, of: int, id_col: str, text_col: str, key_col: str | None) -> DataFrame:
     dealt, buckets = P.dealt(docs, id_col, text_col, key_col)
     by_part = dealt.groupBy("part")
 
     def offer(key, table):
+        table = P.unpacked(table)
         part = _Part(table, size, Bands(least, of))
         several = part.sizes > 1
         return P.payload(key[0].as_py(), part.keys, buckets, (several, np.ones(len(several), bool)))
 
     def sets(key, table, answers):
+        table = P.unpacked(table)
         part = _Part(table, size, Bands(least, of))
         shared = np.zeros(len(part.hashes), bool)
         shared[part.order] = np.repeat(P.answered(answers, 1, part.keys, buckets), part.sizes)
@@ -232,26 +238,26 @@ def jaccard_join(
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _SETS_ARROW)], schema=_SETS_ARROW)
 
     hits = by_part.applyInArrow(offer, P.PAYLOAD).groupBy("bucket").applyInArrow(lambda t: P.shared_keys(t, 1), P.ANSWER)
-    table = written(by_part.cogroup(hits.groupBy("part")).applyInArrow(sets, _SETS), "jaccard-sets")
+    table = steps.written(by_part.cogroup(hits.groupBy("part")).applyInArrow(sets, _SETS), "jaccard-sets")
 
     name = ["n_shingles", "name1", "name2"]
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    classes = written(
+    classes = steps.written(
         table.where("n_shingles > 0").groupBy(*name).agg(F.min_by("row", order).alias("node"), F.count("*").alias("copies")), "jaccard-classes"
     )
     heads = classes.select(F.col("node").alias("row"), "copies")
     slices = table.where("slices is not null").select("row", "slices").join(heads, "row").select("row", F.explode("slices").alias("slice"))
-    slices = written(slices, "jaccard-slices")
+    slices = steps.written(slices, "jaccard-slices")
     least_row = slices.groupBy("slice").agg(F.min("row").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
     edges = slices.join(least_row, "slice").select(F.col("row").alias("a"), "b").where("a <> b").distinct()
-    clusters = components(edges)
+    clusters = components(edges, steps)
 
     # A tile per cluster if it is small, else per pair of tiles in the same or adjacent bands.
     low = Bands(least, of)
     low.band(table.agg(F.coalesce(F.max("n_shingles"), F.lit(0))).first()[0])
     band = F.expr(f"size(filter(array({','.join(map(str, low.lows))}), x -> x <= n_shingles))")
     members = classes.select(F.col("node"), "copies", "n_shingles").join(clusters, "node").withColumnRenamed("component", "cluster").withColumn("band", band)
-    members = written(members, "jaccard-members")
+    members = steps.written(members, "jaccard-members")
     per_band = members.groupBy("cluster", "band").agg(F.count("*").alias("n"))
     tiles = per_band.groupBy("cluster").agg(
         F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("n") / TILE).cast("int")))).alias("tiles")
@@ -276,24 +282,24 @@ def jaccard_join(
         F.xxhash64("cluster", F.when(F.col("meet.side") == 2, F.col("band") - F.col("meet.up")).otherwise(F.col("band")), "meet.up", "meet.t1", "meet.t2").alias("work"),
     )
     grams = table.where("shingles is not null").select(F.col("row").alias("node"), "shingles")
-    found = written(
+    found = steps.written(
         small.unionByName(large).join(grams, "node").groupBy("work").applyInArrow(_tile(least, of), _FOUND), "jaccard-links"
     )
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b"))
+    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b"), steps)
     classes = (
         classes.join(links, "node", "left").join(roots, "node", "left")
         .select(*name, "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component"))
     )
     rows = table.select("row", "key", "doc_id", *name).join(classes, name, "left").withColumn("component", F.coalesce("component", "row"))
     # Written, so that the join shuffles both sides itself and Spark may split a large component.
-    best = written(rows.groupBy("component").agg(F.min(order).alias("best")), "jaccard-best")
-    return rows.join(best, "component").select(
+    best = steps.written(rows.groupBy("component").agg(F.min(order).alias("best")), "jaccard-best")
+    return written(rows.join(best, "component").select(
         "doc_id", "n_shingles", F.col("best.doc_id").alias("component_id"),
         F.when(F.col("copies").isNull(), 0).otherwise(F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"),
         (F.col("row") == F.col("best.row")).alias("kept"), *(["key"] if key_col else []),
-    )
+    ), "jaccard-join")
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **limits: int) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelftrail.llm.hashing import group_starts, mix
-from shelftrail.llm.tables import written
+from shelftrail.llm.tables import Scratch, written
 
 #: Neighbours per node, and of those how many a node introduces in a round, new and old each.
 NEIGHBOURS, SAMPLE, ROUNDS = 24, 12, 3
@@ -46,7 +46,7 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(numbers, lambda x: x != 0), F.lit(False))
 
 
-def nodes(vectors: DataFrame, id_col: str, vector_col: str, copies: int) -> DataFrame:
+def nodes(vectors: DataFrame, steps: Scratch, id_col: str, vector_col: str, copies: int) -> DataFrame:
     """node (the smallest id), vector (doubles) and the `copies` smallest ids of each distinct usable vector.
 
     Vectors whose length isn't the most frequent one take no part.
@@ -57,7 +57,7 @@ def nodes(vectors: DataFrame, id_col: str, vector_col: str, copies: int) -> Data
     rows = rows.where(F.size("vector") == (size[0] if size else 0)).select("id", F.transform("vector", lambda x: x.cast("double") + F.lit(0.0)).alias("vector"))
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     rows = rows.withColumn("rank", rank).where(F.col("rank") <= copies)
-    return written(rows.groupBy("vector").agg(F.min("id").alias("node"), F.sort_array(F.collect_list("id")).alias("ids")), "ann-nodes")
+    return steps.written(rows.groupBy("vector").agg(F.min("id").alias("node"), F.sort_array(F.collect_list("id")).alias("ids")), "ann-nodes")
 
 
 def _floats(column) -> np.ndarray:
@@ -229,40 +229,42 @@ def _introduce(keep: int):
     return run
 
 
-def build(base: DataFrame, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
+def build(base: DataFrame, steps: Scratch, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
     """The graph over (node, vector): node, vector (32-bit floats) and packed ids, dists of its neighbours, nearest first."""
     def pack(batches):
         for batch in batches:
             x = [np.array(v, np.float32).tobytes() for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.binary())], names=["node", "vector"])
 
-    packed = written(base.select("node", "vector").mapInArrow(pack, "node long, vector binary"), "ann-vectors")
+    packed = steps.written(base.select("node", "vector").mapInArrow(pack, "node long, vector binary"), "ann-vectors")
     count = packed.count()
     blocks = max(1, -(-count // BLOCK))
     empty = F.lit(bytearray())
-    graph = packed.select("node", F.lit(None).cast("binary").alias("owners"), "vector", empty.alias("ids"), empty.alias("dists"), empty.alias("fresh"), F.lit(float("inf")).alias("worst"))
+    graph = steps.written(packed, "ann-graph").select("node", F.lit(None).cast("binary").alias("owners"), "vector", empty.alias("ids"), empty.alias("dists"), empty.alias("fresh"), F.lit(float("inf")).alias("worst"))
     if not count:
         return graph
 
     def merged(found: DataFrame, turn: int) -> DataFrame:
         lists = _in_block(graph, blocks).unionByName(found)
-        return written(lists.groupBy("block").applyInArrow(_merge(neighbours, sample, turn), _LISTS).drop("block"), "ann-graph")
+        new = lists.groupBy("block").applyInArrow(_merge(neighbours, sample, turn), _LISTS).drop("block")
+        return steps.written(new, "ann-graph", graph)
 
     graph = merged(_in_block(_start(packed, count, neighbours), blocks), 0)
     for turn in range(rounds):
-        edges = graph.mapInArrow(_edges(sample, turn), "host long, member long, fresh boolean")
-        back = edges.select(F.col("member").alias("host"), F.col("host").alias("member"), "fresh")
+        ahead = graph.mapInArrow(_edges(sample, turn), "host long, member long, fresh boolean")
+        back = ahead.select(F.col("member").alias("host"), F.col("host").alias("member"), "fresh")
         rank = F.row_number().over(Window.partitionBy("host", "fresh").orderBy(F.xxhash64("host", "member", F.lit(turn)), "member"))
-        both = edges.unionByName(back.withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank"))
+        both = ahead.unionByName(back.withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank"))
         # Mutual neighbours come twice, perhaps only once as fresh.
-        both = written(_in_block(both.groupBy("host", "member").agg(F.max("fresh").alias("fresh")), blocks, "host"), "ann-edges")
+        both = _in_block(both.groupBy("host", "member").agg(F.max("fresh").alias("fresh")), blocks, "host")
+        edges = both = steps.written(both, "ann-edges", edges if turn else None)
         vectors = _in_block(graph, blocks).select("node", "vector", "worst", F.col("block").alias("target"))
         needed = both.select(F.col("block").alias("home"), F.col("member").alias("node")).distinct().join(vectors, "node")
         graph = merged(both.groupBy("block").cogroup(needed.groupBy("home")).applyInArrow(_introduce(neighbours), _LISTS), turn)
     return graph
 
 
-def linked(graph: DataFrame, back: int = 2 * NEIGHBOURS) -> DataFrame:
+def linked(graph: DataFrame, steps: Scratch, back: int = 2 * NEIGHBOURS) -> DataFrame:
     """node, vector and links: its neighbours, and the `back` nearest of those that have it as a neighbour."""
     def flat(batches):
         for batch in batches:
@@ -273,7 +275,7 @@ def linked(graph: DataFrame, back: int = 2 * NEIGHBOURS) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("node").orderBy("dist", "link"))
     behind = ahead.select(F.col("link").alias("node"), F.col("node").alias("link"), "dist").withColumn("rank", rank).where(F.col("rank") <= back)
     links = ahead.select("node", "link").unionByName(behind.select("node", "link")).groupBy("node").agg(F.collect_set("link").alias("links"))
-    return written(graph.select("node", "vector").join(links, "node", "left"), "ann-links")
+    return steps.written(graph.select("node", "vector").join(links, "node", "left"), "ann-links")
 
 
 _STATE = "block long, node long, vector binary, ids binary, dists binary, opened binary, open int"
@@ -330,7 +332,7 @@ def _step(beam: int, width: int):
     return run
 
 
-def search(index: DataFrame, starts: DataFrame, beam: int = BEAM, width: int = OPENED) -> DataFrame:
+def search(index: DataFrame, starts: DataFrame, steps: Scratch, beam: int = BEAM, width: int = OPENED) -> DataFrame:
     """(query, node) for the nodes in sight of each node of `starts` when no nearer one is left to open."""
     queries = index.select("node", "vector").join(starts.select("node").distinct(), "node")
     blocks = max(1, -(-starts.select("node").distinct().count() // QUERY_BLOCK))
@@ -342,15 +344,16 @@ def search(index: DataFrame, starts: DataFrame, beam: int = BEAM, width: int = O
             yield batch.append_column("ids", pa.array(own, pa.binary()))
 
     state = _in_block(queries, blocks).select("block", "node", "vector").mapInArrow(pack, "block long, node long, vector binary, ids binary")
-    state = written(state.select("*", zero.alias("dists"), no.alias("opened"), F.lit(1).alias("open")), "ann-state")
+    state = steps.written(state.select("*", zero.alias("dists"), no.alias("opened"), F.lit(1).alias("open")), "ann-state")
     links, vectors = index.select("node", "links"), index.select("node", "vector")
+    opened = None
     while not state.where("open > 0").isEmpty():
-        opened = written(state.where("open > 0").mapInArrow(_opening(width), "block long, query long, node long").join(links, "node"), "ann-opened")
+        opened = steps.written(state.where("open > 0").mapInArrow(_opening(width), "block long, query long, node long").join(links, "node"), "ann-opened", opened)
         met = opened.select("block", F.explode("links").alias("node")).distinct().join(vectors, "node")
         news = opened.select("block", "query", F.lit(None).cast("long").alias("node"), F.lit(None).cast("binary").alias("vector"), "links").unionByName(
             met.select("block", F.lit(None).cast("long").alias("query"), "node", "vector", F.lit(None).cast("array<long>").alias("links"))
         )
-        state = written(state.groupBy("block").cogroup(news.groupBy("block")).applyInArrow(_step(beam, width), _STATE), "ann-state")
+        state = steps.written(state.groupBy("block").cogroup(news.groupBy("block")).applyInArrow(_step(beam, width), _STATE), "ann-state", state)
 
     def flat(batches):
         for batch in batches:
@@ -371,11 +374,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     distance 0. A repeated id is a candidate once per row; a query's own id is none. Other columns are ignored, whatever their names; an empty table gives an
     empty result.
     """
-    base = nodes(vectors, id_col, vector_col, k + 1)
+    with Scratch(vectors.sparkSession) as steps:
+        return _nearest_rows(vectors, queries, steps, k, id_col, vector_col, search_limits)
+
+
+def _nearest_rows(vectors: DataFrame, queries: DataFrame, steps: Scratch, k: int, id_col: str, vector_col: str, search_limits: dict) -> DataFrame:
+    base = nodes(vectors, steps, id_col, vector_col, k + 1)
     doubles = F.transform(F.col(vector_col), lambda x: x.cast("double") + F.lit(0.0))
     asked = queries.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("query_id"), doubles.alias("vector")).distinct()
-    asked = written(asked.join(base.select("vector", "node"), "vector").select("query_id", "node"), "ann-queries")
-    found = search(linked(build(base)), asked, **search_limits)
+    asked = steps.written(asked.join(base.select("vector", "node"), "vector").select("query_id", "node"), "ann-queries")
+    found = search(linked(build(base, steps), steps), asked, steps, **search_limits)
     left, right = base.select(F.col("node").alias("query"), F.col("vector").alias("a")), base.select("node", F.col("vector").alias("b"), "ids")
     square = F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y)
     scored = found.join(right, "node").join(left, "query").select("query", F.sqrt(square).alias("score"), F.explode("ids").alias("vec_id"))
@@ -383,7 +391,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     few = F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))
     scored = scored.withColumn("place", few).where(F.col("place") <= k + 1).drop("place")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return (
+    return written(
         asked.withColumnRenamed("node", "query").join(scored, "query").where("vec_id <> query_id")
-        .withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        .withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"),
+        "nearest",
     )

@@ -9,13 +9,15 @@ third of the corpus is one entry per part, so no bucket is overfull.
 from __future__ import annotations
 
 import math
+import struct
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelftrail.llm.hashing import group_starts
+from shelftrail.llm.hashing import group_starts, text_buffer
 
 #: Text bytes per part: what one task holds at a time, together with a few arrays as long.
 PART_BYTES = 8 << 20
@@ -24,13 +26,59 @@ PAYLOAD = "bucket long, part long, keys binary, flags binary, owners binary"
 ANSWER = "part long, round int, bucket long, bits binary"
 
 
+_PACKED = "part long, rows binary"
+
+
 def dealt(docs: DataFrame, id_col: str, text_col: str, key_col: str | None = None) -> tuple[DataFrame, int]:
-    """(doc_id, text, key, part) and the number of parts, which follows the volume of text."""
+    """Documents packed by part (see unpacked), and the number of parts, which follows the volume of text.
+
+    The text is shuffled once in compressed form; passes that group by part share it.
+    """
     key = F.col(key_col) if key_col else F.lit(None)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), key.cast("string").alias("key"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / PART_BYTES))
-    return docs.withColumn("part", F.pmod(F.xxhash64("doc_id", F.coalesce(F.length("text"), F.lit(-1))), F.lit(parts))), parts
+    docs = docs.withColumn("part", F.pmod(F.xxhash64("doc_id", F.coalesce(F.length("text"), F.lit(-1))), F.lit(parts)))
+
+    def pack(batches):
+        for batch in batches:
+            part = batch.column(3).to_numpy()
+            order = np.argsort(part, kind="stable")
+            cuts = [*group_starts(part[order]), len(order)]
+            rows = [_packed(batch.take(pa.array(order[a:b]))) for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(part[order[cuts[:-1]]], pa.int64()), pa.array(rows, pa.binary())], names=["part", "rows"])
+
+    return docs.mapInArrow(pack, _PACKED), parts
+
+
+def _packed(batch: pa.RecordBatch) -> bytes:
+    """Compressed: number of rows; id and whether it is known; lengths (-1: null) and bytes of texts and of keys."""
+    ids = batch.column(0)
+    out = [struct.pack("<I", len(ids)), ids.fill_null(0).to_numpy().astype("<i8").tobytes(), (~ids.is_null().to_numpy(False)).tobytes()]
+    for column in batch.columns[1:3]:
+        data, bounds = text_buffer(column)
+        out += [np.where(column.is_null().to_numpy(False), -1, np.diff(bounds)).astype("<i8").tobytes(), data.tobytes()]
+    return zstandard.compress(b"".join(out), 1)
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    """doc_id, text and key of a part's documents."""
+    tables = []
+    for packed in table["rows"].to_pylist():
+        data = zstandard.decompress(packed)
+        n = struct.unpack_from("<I", data)[0]
+        known = np.frombuffer(data, bool, n, 4 + 8 * n)
+        columns, at = [pa.array(np.frombuffer(data, "<i8", n, 4), mask=~known)], 4 + 9 * n
+        for _ in range(2):
+            sizes = np.frombuffer(data, "<i8", n, at)
+            bounds = np.concatenate(([0], np.cumsum(np.maximum(sizes, 0))))
+            at += 8 * n
+            text = pa.LargeStringArray.from_buffers(n, pa.py_buffer(bounds), pa.py_buffer(data[at : at + bounds[-1]]), pa.array(sizes >= 0).buffers()[1])
+            columns.append(text)
+            at += int(bounds[-1])
+        tables.append(pa.table(columns, ["doc_id", "text", "key"]))
+    empty = pa.schema([("doc_id", pa.int64()), ("text", pa.large_string()), ("key", pa.large_string())]).empty_table()
+    return pa.concat_tables(tables).combine_chunks() if tables else empty
 
 
 def payload(part: int, keys: np.ndarray, buckets: int, flags=(), owners: np.ndarray | None = None, wide: bool = False) -> pa.Table:

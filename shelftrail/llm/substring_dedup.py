@@ -31,6 +31,7 @@ class _Part:
     """Keys of one part's documents."""
 
     def __init__(self, table: pa.Table, window: int):
+        table = P.unpacked(table)
         ids = table["doc_id"]
         self.table, self.known = table, ~ids.is_null().to_numpy()
         self.ids = ids.fill_null(0).to_numpy()

@@ -5,19 +5,48 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftrail import session
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a compressed table in the shared folder; later steps don't depend on its tasks."""
-    path = session.scratch_path(df.sparkSession, name)
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a compressed table in the shared folder; later steps don't depend on its tasks.
+
+    It stays until session.clear_scratch.
+    """
+    return _write(df, session.scratch_path(df.sparkSession, name))
+
+
+class Scratch:
+    """Tables in the shared folder that are deleted on leaving the `with` block.
+
+    An operator writes its result with `written` before it leaves.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, session.scratch_path(spark, "steps")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *error) -> None:
+        session.delete_path(self.spark, self.folder)
+
+    def written(self, df: DataFrame, name: str, instead_of: DataFrame | None = None) -> DataFrame:
+        """`df` as a table; the table `instead_of`, which is no longer needed, goes."""
+        out = _write(df, f"{self.folder}/{name}-{uuid.uuid4().hex}")
+        for file in (instead_of.inputFiles()[:1] if instead_of is not None else ()):
+            session.delete_path(self.spark, file.rpartition("/")[0])
+        return out
+
+
 def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     """`docs` with a column, of an unused name, that tells every stored row from all others.
 
@@ -34,7 +63,7 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     return written(docs, "rows").select("*", place), name
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, steps: Scratch) -> DataFrame:
     """(node, component) for all nodes of the edges (a, b): the smallest node reachable.
 
     Each round points every node to its smallest neighbour or itself, follows the pointers
@@ -44,23 +73,23 @@ def components(edges: DataFrame) -> DataFrame:
     Minima per node are combined before the shuffle, and Spark splits a hub's share of a
     join. When no edge is left, all of a component point to its smallest node.
     """
-    edges = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    edges = steps.written(edges.select("a", "b").where("a <> b").distinct(), "edges")
     labels = None
     while labels is None or not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        points = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("to")), "points")
+        points = steps.written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("to")), "points")
         for _ in range(2):
             on = points.select(F.col("node").alias("to"), F.col("to").alias("end"))
-            points = written(points.join(on, "to").select("node", F.col("end").alias("to")), "points")
-        edges = written(
+            points = steps.written(points.join(on, "to").select("node", F.col("end").alias("to")), "points", points)
+        edges = steps.written(
             edges.join(points.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
             .join(points.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
             .where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
-            "edges",
+            "edges", edges,
         )
         if labels is None:
             labels = points.withColumnRenamed("to", "component")
         else:
             on = points.select(F.col("node").alias("component"), "to")
-            labels = written(labels.join(on, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
+            labels = steps.written(labels.join(on, "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels", labels)
     return labels
