@@ -32,7 +32,8 @@ def marks_lead(model: sentencepiece.SentencePieceProcessor) -> bool:
     crossing = re.compile(f"[^{MARK}]{MARK}")
     probe = "  a  b\tc ﬁ é Ａ\n "
     return (
-        not any(crossing.search(model.id_to_piece(i)) for i in range(model.vocab_size()))
+        model.piece_to_id(MARK) != model.unk_id()
+        and not any(crossing.search(model.id_to_piece(i)) for i in range(model.vocab_size()))
         and model.normalize(probe) == MARK + probe.replace(" ", MARK)
     )
 
@@ -52,8 +53,8 @@ class Codec:
         return _CODECS[path]
 
     def _segment(self, words: list[str]) -> list[bytes]:
-        # The library adds the first mark itself; a mark alone is a piece of its own.
-        alone = self.model.encode(MARK)[1:] if MARK in words else []
+        # The library adds the first mark itself, but not to nothing: a mark alone is a piece.
+        alone = [self.model.piece_to_id(MARK)]
         found = self.model.encode([w[1:] for w in words], num_threads=1)
         return [np.array(alone if w == MARK else ids, "<u4").tobytes() for w, ids in zip(words, found)]
 
