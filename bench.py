@@ -1,6 +1,6 @@
 """Times the headline queries and prints one JSON line.
 
-$BENCH_SF_DIR (default /root/testdata/sf0.1) and $BENCH_CPUS (default 4) choose data
+$BENCH_SF_DIR (default /root/testdata/sf0.1) and $BENCH_CPUS (default 8) choose data
 and cores. Each query is run once to warm up, then BENCH_RUNS times (default 3), its
 whole result forced by a noop write; the median counts.
 """
@@ -34,7 +34,7 @@ def run(spark, key: str, sf_dir: str) -> float:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus = os.environ.get("BENCH_CPUS", "4")
+    cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = session.build(
         "bench", f"local[{cpus}]", spark_sql_shuffle_partitions=cpus, spark_driver_memory="8g"

@@ -105,20 +105,25 @@ def _median_by_bracket(rows: DataFrame, keys: list[str], sums: list[str], bounde
         ends.alias("__ends"), F.count("__value").alias("__known"), F.max("__value").alias("highest"),
         F.count(F.lit(1)).alias("row_count"), *[F.sum(n).alias(n) for n in sums],
     )
-    brackets = groups.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__ends", "__known")
+    carried = ["__known", "highest", "row_count", *sums]
+    brackets = groups.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__ends", *carried)
     low, high = F.col("__ends")[0], F.col("__ends")[1]
     near = rows.select(*keys, "__value").join(F.broadcast(brackets) if bounded else brackets, _same(keys, names))
-    counted = near.where(F.col("__value") <= high).groupBy(
+    # A group without known values has no bracket and keeps its rows, which count nothing.
+    counted = near.where((F.col("__value") <= high) | high.isNull()).groupBy(
         *keys, F.when(F.col("__value") >= low, F.col("__value")).alias("__value")  # NULL: below the bracket
-    ).agg(F.count(F.lit(1)).alias("__valid"), F.max("__known").alias("__known"))
+    ).agg(F.count(F.lit(1)).alias("__rows"), *[F.max(c).alias(c) for c in carried])
+    counted = counted.withColumn("__valid", F.when(F.col("__known") > 0, F.col("__rows")).otherwise(0))
     order = Window.partitionBy(*keys).orderBy(F.col("__value").asc_nulls_first())
     ranked = counted.withColumn("__upto", F.sum("__valid").over(order))
-    middles = ranked.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(
-        F.max(_at(_LOWER, F.col("__value"))).alias("__lower"), F.max(_at(_UPPER, F.col("__value"))).alias("__upper")
+    result = ranked.groupBy(*keys).agg(
+        F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
+        F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
+        *[F.max(c).alias(c) for c in carried],
     )
     missed = (F.col("__known") > 0) & (F.col("__lower").isNull() | F.col("__upper").isNull())
     median = F.when(missed, F.raise_error(F.lit("the middle is outside its bracket")).cast("double")).otherwise(_middle())
-    return groups.join(middles, _same(keys, names), "left").select(*keys, median.alias("median"), "highest", "row_count", *sums)
+    return result.select(*keys, median.alias("median"), "highest", "row_count", *sums)
 
 
 def approximate_median(
