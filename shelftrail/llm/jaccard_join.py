@@ -8,8 +8,9 @@ A document is its set of distinct word n-grams, as a sorted array of 64-bit hash
    see parts.py); their number follows the size band, and a band meets itself and the next.
    A few slices more than needed are cut, so that a non-empty one is always shared, unless
    a set has more empty slices than that; those sets offer their empty slices too.
-2. Documents that share slices form candidate clusters; equal sets enter once, as a class.
-3. Within a cluster, tiles of one size band meet tiles of the same and the next band. In a
+2. Documents that share slices form candidate clusters, for each band by itself with the
+   documents of the next; equal sets enter once, as a class.
+3. Within a cluster, tiles of the band meet one another and tiles of the next band. In a
    tile pair, bitmaps of the sets give an upper bound of the overlap (a bit set on one side
    only stands for an n-gram missing on the other); pairs that pass are counted exactly on
    the sorted arrays. Tasks return links per class and the smallest member of each local
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelftrail.llm import parts as P
@@ -35,10 +36,13 @@ _BATCH = 2048
 #: Slices beyond those that may differ.
 _SPARE = 1
 
-_SETS = "row long, key string, doc_id long, n_shingles long, name1 long, name2 long, slices array<long>, shingles binary"
+#: Bits of a row's number for its place within its part, and of a node's for its band.
+_ROW_BITS, _BAND_BITS = 27, 11
+
+_SETS = "row long, key string, doc_id long, n_shingles long, name1 long, name2 long, band int, slices array<long>, lower array<long>, shingles binary"
 _SETS_ARROW = pa.schema([
     ("row", pa.int64()), ("key", pa.string()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("name1", pa.int64()), ("name2", pa.int64()),
-    ("slices", pa.list_(pa.int64())), ("shingles", pa.binary()),
+    ("band", pa.int32()), ("slices", pa.list_(pa.int64())), ("lower", pa.list_(pa.int64())), ("shingles", pa.binary()),
 ])
 _FOUND = "node long, links long, root long"
 
@@ -79,16 +83,17 @@ def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
     return out
 
 
-def slice_hashes(grams: np.ndarray, bands: Bands) -> np.ndarray:
+def slice_hashes(grams: np.ndarray, bands: Bands) -> list[np.ndarray]:
     """Hashes of the slices that a set offers in its own band's and in the lower band's tiles."""
     n, out = len(grams), []
     if not n:
-        return np.zeros(0, np.uint64)
+        return [np.zeros(0, np.uint64)] * 2
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(mix(grams), out=total[1:])
     own = bands.band(n)
     for band in (own, own - 1):
         if band < 0:
+            out.append(np.zeros(0, np.uint64))
             continue
         count = bands.slices(band)
         place = ((grams >> np.uint64(32)) * np.uint64(count)) >> np.uint64(32)
@@ -97,13 +102,13 @@ def slice_hashes(grams: np.ndarray, bands: Bands) -> np.ndarray:
         hashes = mix(content + mix(np.arange(count, dtype=np.uint64) + np.uint64(band << 32)))
         empty = cuts[1:] == cuts[:-1]
         out.append(hashes if empty.sum() > _SPARE else hashes[~empty])
-    return np.concatenate(out)
+    return out
 
 
 class _Part:
     def __init__(self, table: pa.Table, size: int, bands: Bands):
         self.sets = shingle_sets(Words(table["text"], lower=True), size)
-        offered = [slice_hashes(s, bands) for s in self.sets]
+        offered = [x for s in self.sets for x in slice_hashes(s, bands)]  # two for each set
         self.cuts = np.cumsum([0, *map(len, offered)])
         hashes = np.concatenate(offered) if offered else np.zeros(0, np.uint64)
         self.order = np.argsort(hashes, kind="stable")
@@ -146,23 +151,14 @@ def _pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least: i
 
 
 def _link(nodes: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], side: np.ndarray, least: int, of: int) -> list[tuple[int, int, int]]:
-    """(node, links, smallest node of its component here) for all nodes with a link."""
-    if (side == 0).all():
-        a, b = [], []
-        order = np.argsort([len(s) for s in sets], kind="stable")
-        lengths = np.array([len(sets[i]) for i in order])
-        for lo in range(0, len(order), TILE):
-            mine = order[lo : lo + TILE]
-            a_, b_ = _pairs(sets, mine, None, least, of)
-            a.append(a_), b.append(b_)
-            for at in range(lo + TILE, len(order), TILE):
-                if lengths[at] * least > lengths[lo + len(mine) - 1] * of:
-                    break
-                a_, b_ = _pairs(sets, mine, order[at : at + TILE], least, of)
-                a.append(a_), b.append(b_)
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
-    else:
-        a, b = _pairs(sets, np.flatnonzero(side == 1), np.flatnonzero(side == 2), least, of)
+    """(node, links, smallest node of its component here) for all nodes with a link.
+
+    Sides 0 meet one another, and sides 0 and 1 meet sides 2.
+    """
+    within, left, right = (np.flatnonzero(x) for x in (side == 0, side < 2, side == 2))
+    found = [_pairs(sets, within, None, least, of)] if len(within) > 1 else []
+    found += [_pairs(sets, left, right, least, of)] if len(left) and len(right) else []
+    a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
     links = np.bincount(a, copies[b], len(nodes)) + np.bincount(b, copies[a], len(nodes))
     root = nodes.copy()
     while True:  # smallest label over all links until nothing changes
@@ -222,18 +218,19 @@ def _joined(docs: DataFrame, steps: Scratch, size: int, least: int, of: int, id_
         part = _Part(table, size, Bands(least, of))
         shared = np.zeros(len(part.hashes), bool)
         shared[part.order] = np.repeat(P.answered(answers, 1, part.keys, buckets), part.sizes)
-        rows, seen, first = [], set(), key[0].as_py() << 32
+        bands, rows, seen, first = Bands(least, of), [], set(), key[0].as_py() << _ROW_BITS
         order = np.argsort(table["doc_id"].fill_null(2**63 - 1).to_numpy(), kind="stable")
         ids, keys = table["doc_id"].to_pylist(), table["key"].to_pylist()
         for row, i in enumerate(order):
             grams = part.sets[i]
             scrambled = mix(grams)
             name = (int(np.sum(scrambled).view(np.int64)), int(np.bitwise_xor.reduce(mix(scrambled + np.uint64(7))).view(np.int64))) if len(grams) else (0, 0)
-            a, b = part.cuts[i], part.cuts[i + 1]
-            mine = np.unique(part.hashes[a:b][shared[a:b]]).view(np.int64)
-            whole = len(mine) > 0 and (len(grams), name) not in seen
+            a, b, c = part.cuts[2 * i : 2 * i + 3]
+            own, lower = (np.unique(part.hashes[x:y][shared[x:y]]).view(np.int64) for x, y in ((a, b), (b, c)))
+            whole = len(own) + len(lower) > 0 and (len(grams), name) not in seen
             seen.add((len(grams), name))
-            rows.append((first + row, keys[i], ids[i], len(grams), *name, mine if whole else None, grams.tobytes() if whole else None))
+            band = bands.band(len(grams)) if len(grams) else None
+            rows.append((first + row, keys[i], ids[i], len(grams), *name, band, *((own, lower, grams.tobytes()) if whole else (None,) * 3)))
         columns = list(zip(*rows)) if rows else [[]] * len(_SETS_ARROW)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _SETS_ARROW)], schema=_SETS_ARROW)
 
@@ -242,44 +239,53 @@ def _joined(docs: DataFrame, steps: Scratch, size: int, least: int, of: int, id_
 
     name = ["n_shingles", "name1", "name2"]
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    classes = steps.written(
-        table.where("n_shingles > 0").groupBy(*name).agg(F.min_by("row", order).alias("node"), F.count("*").alias("copies")), "jaccard-classes"
+    best = F.min_by(F.struct("row", "band"), order).alias("head")
+    classes = table.where("n_shingles > 0").groupBy(*name).agg(best, F.count("*").alias("copies"))
+    classes = steps.written(classes.select(*name, "head.band", F.col("head.row").alias("node"), "copies"), "jaccard-classes")
+
+    # A place is a class in the tiles of its own or of the lower band.
+    def place(band: Column) -> Column:
+        return F.shiftleft("row", _BAND_BITS) + band
+
+    heads = classes.select(F.col("node").alias("row"))
+    offers = F.concat(
+        F.transform("slices", lambda x: F.struct(place(F.col("band")).alias("place"), x.alias("slice"))),
+        F.transform("lower", lambda x: F.struct(place(F.col("band") - 1).alias("place"), x.alias("slice"))),
     )
-    heads = classes.select(F.col("node").alias("row"), "copies")
-    slices = table.where("slices is not null").select("row", "slices").join(heads, "row").select("row", F.explode("slices").alias("slice"))
+    slices = table.where("slices is not null").select("row", offers.alias("offers")).join(heads, "row").select(F.inline("offers"))
     slices = steps.written(slices, "jaccard-slices")
-    least_row = slices.groupBy("slice").agg(F.min("row").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    edges = slices.join(least_row, "slice").select(F.col("row").alias("a"), "b").where("a <> b").distinct()
-    clusters = components(edges, steps)
-
-    # A tile per cluster if it is small, else per pair of tiles in the same or adjacent bands.
-    low = Bands(least, of)
-    low.band(table.agg(F.coalesce(F.max("n_shingles"), F.lit(0))).first()[0])
-    band = F.expr(f"size(filter(array({','.join(map(str, low.lows))}), x -> x <= n_shingles))")
-    members = classes.select(F.col("node"), "copies", "n_shingles").join(clusters, "node").withColumnRenamed("component", "cluster").withColumn("band", band)
-    members = steps.written(members, "jaccard-members")
-    per_band = members.groupBy("cluster", "band").agg(F.count("*").alias("n"))
-    tiles = per_band.groupBy("cluster").agg(
-        F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("band", F.ceil(F.col("n") / TILE).cast("int")))).alias("tiles")
+    first = slices.groupBy("slice").agg(F.min("place").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    edges = slices.join(first, "slice").select(F.col("place").alias("a"), "b").where("a <> b").distinct()
+    clusters = components(edges, steps).select(
+        F.shiftright("node", _BAND_BITS).alias("node"), F.col("component").alias("cluster"), (F.col("node") % (1 << _BAND_BITS)).alias("tiles_of")
+    )
+
+    # One task call for small clusters together; a large one is cut into tiles that meet pairwise.
+    members = classes.select("node", "copies", "band").join(clusters, "node").withColumn("upper", F.col("band") > F.col("tiles_of"))
+    members = steps.written(members.select("node", "copies", "cluster", "upper"), "jaccard-members")
+    sizes = members.groupBy("cluster").agg(
+        F.count("*").alias("all"),
+        F.ceil(F.count_if(~F.col("upper")) / TILE).cast("int").alias("low"), F.ceil(F.count_if("upper") / TILE).cast("int").alias("up"),
     )
     batches = -(-max(members.count(), 1) // _BATCH)
-    placed = members.join(tiles, "cluster").withColumns({
-        "here": F.expr("tiles[band]"), "above": F.expr("coalesce(tiles[band + 1], 0)"), "below": F.expr("coalesce(tiles[band - 1], 0)"),
-    }).withColumn("tile", F.expr("cast(pmod(xxhash64(node), here) as int)"))
+    placed = members.join(sizes.where("low > 0"), "cluster").withColumn(
+        "tile", F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.when(F.col("upper"), F.col("up")).otherwise(F.col("low")))).cast("int")
+    )
     meets = F.expr("""
-        concat(
-            array(struct(tile as t1, 0 as up, tile as t2, 0 as side)),
-            transform(filter(sequence(0, here - 1), x -> x > tile), x -> struct(tile as t1, 0 as up, x as t2, 1 as side)),
-            transform(filter(sequence(0, here - 1), x -> x < tile), x -> struct(x as t1, 0 as up, tile as t2, 2 as side)),
-            transform(filter(sequence(0, above), x -> x < above), x -> struct(tile as t1, 1 as up, x as t2, 1 as side)),
-            transform(filter(sequence(0, below), x -> x < below), x -> struct(x as t1, 1 as up, tile as t2, 2 as side)))
+        if(upper,
+           transform(sequence(0, low - 1), x -> struct(x as t1, 1 as kind, tile as t2, 2 as side)),
+           concat(
+               array(struct(tile as t1, 0 as kind, tile as t2, 0 as side)),
+               transform(filter(sequence(0, low - 1), x -> x > tile), x -> struct(tile as t1, 0 as kind, x as t2, 1 as side)),
+               transform(filter(sequence(0, low - 1), x -> x < tile), x -> struct(x as t1, 0 as kind, tile as t2, 2 as side)),
+               transform(filter(sequence(0, up), x -> x < up), x -> struct(tile as t1, 1 as kind, x as t2, 1 as side))))
     """)
     small = placed.where(F.col("all") <= TILE).select(
-        "cluster", "node", "copies", F.lit(0).alias("side"), F.pmod(F.xxhash64("cluster"), F.lit(batches)).alias("work")
+        "cluster", "node", "copies", F.when(F.col("upper"), 2).otherwise(0).alias("side"),
+        F.pmod(F.xxhash64("cluster"), F.lit(batches)).alias("work"),
     )
     large = placed.where(F.col("all") > TILE).withColumn("meet", F.explode(meets)).select(
-        "cluster", "node", "copies", F.col("meet.side").alias("side"),
-        F.xxhash64("cluster", F.when(F.col("meet.side") == 2, F.col("band") - F.col("meet.up")).otherwise(F.col("band")), "meet.up", "meet.t1", "meet.t2").alias("work"),
+        "cluster", "node", "copies", F.col("meet.side").alias("side"), F.xxhash64("cluster", "meet.kind", "meet.t1", "meet.t2").alias("work"),
     )
     grams = table.where("shingles is not null").select(F.col("row").alias("node"), "shingles")
     found = steps.written(
