@@ -2,12 +2,15 @@
 
 A document is its set of distinct word n-grams, as a sorted array of 64-bit hashes.
 
-1. Which documents can link at all. Two sets of similarity t differ in at most
-   |x| * (1 - t) / t n-grams, so if the hash space is cut into more slices than that, some
-   slice is the same in both. Slices are hashed and compared across all documents (packed,
-   see parts.py); their number follows the size band, and a band meets itself and the next.
-   A few slices more than needed are cut, so that a non-empty one is always shared, unless
-   a set has more empty slices than that; those sets offer their empty slices too.
+1. Which documents can link at all: no overlap exceeds a set's n-grams that some other
+   document has too (compared across all documents, packed, see parts.py), so a document of
+   which too few are shared has no links.
+   Of the others, two sets of similarity t differ in at most |x| * (1 - t) / t n-grams. If
+   the hash space is cut into more slices than that, some slice is the same in both. Slices
+   are hashed and compared the same way; their number follows the size band, and a band
+   meets itself and the next. A few slices more than needed are cut, so that a non-empty
+   one is always shared, unless a set has more empty slices than that; those sets offer
+   their empty slices too.
 2. Documents that share slices form candidate clusters, for each band by itself with the
    documents of the next; equal sets enter once, as a class.
 3. Within a cluster, tiles of the band meet one another and tiles of the next band. In a
@@ -29,10 +32,10 @@ from shelftrail.llm import parts as P
 from shelftrail.llm.hashing import Words, group_starts, mix
 from shelftrail.llm.tables import Scratch, components, keyed, written
 
-#: Classes per tile of a large cluster.
-TILE = 256
-#: Classes of small clusters that share a task call.
-_BATCH = 2048
+#: N-grams per tile of a large cluster, and of small clusters that share a task call.
+TILE = 1 << 20
+#: Sets whose bitmaps are compared at once.
+_BLOCK = 256
 #: Slices beyond those that may differ.
 _SPARE = 1
 
@@ -105,17 +108,43 @@ def slice_hashes(grams: np.ndarray, bands: Bands) -> list[np.ndarray]:
     return out
 
 
+class _Keys:
+    """Distinct keys of lists of keys, and the way back to the lists."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        self.cuts = np.cumsum([0, *map(len, lists)])
+        self.all = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
+        self.order = np.argsort(self.all, kind="stable")
+        ordered = self.all[self.order]
+        first = group_starts(ordered)
+        self.keys, self.sizes = ordered[first], np.diff([*first, len(ordered)])
+
+    def payload(self, part: int, buckets: int) -> pa.Table:
+        return P.payload(part, self.keys, buckets, (self.sizes > 1, np.ones(len(self.keys), bool)))
+
+    def shared(self, answers: pa.Table, round_no: int, buckets: int) -> np.ndarray:
+        """A flag per key of the lists: other documents have it too."""
+        out = np.zeros(len(self.all), bool)
+        out[self.order] = np.repeat(P.answered(answers, round_no, self.keys, buckets), self.sizes)
+        return out
+
+
 class _Part:
-    def __init__(self, table: pa.Table, size: int, bands: Bands):
+    """The sets of a part's documents, and slices of those that may link."""
+
+    def __init__(self, table: pa.Table, size: int):
         self.sets = shingle_sets(Words(table["text"], lower=True), size)
-        offered = [x for s in self.sets for x in slice_hashes(s, bands)]  # two for each set
-        self.cuts = np.cumsum([0, *map(len, offered)])
-        hashes = np.concatenate(offered) if offered else np.zeros(0, np.uint64)
-        self.order = np.argsort(hashes, kind="stable")
-        ordered = hashes[self.order]
-        self.first = group_starts(ordered)
-        self.keys, self.hashes = ordered[self.first], hashes
-        self.sizes = np.diff([*self.first, len(hashes)])
+        self.grams = _Keys(self.sets)
+
+    def offer(self, answers: pa.Table, buckets: int, least: int, of: int) -> _Keys:
+        """Two lists for each set; empty ones if too few of its n-grams are shared."""
+        shared = np.concatenate(([0], np.cumsum(self.grams.shared(answers, 1, buckets))))
+        shared = shared[self.grams.cuts[1:]] - shared[self.grams.cuts[:-1]]
+        bands, none = Bands(least, of), np.zeros(0, np.uint64)
+        self.slices = _Keys([
+            x for s, k in zip(self.sets, shared) for x in (slice_hashes(s, bands) if of * k >= least * len(s) else (none, none))
+        ])
+        return self.slices
 
 
 def _pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least: int, of: int) -> tuple[np.ndarray, np.ndarray]:
@@ -123,15 +152,15 @@ def _pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least: i
     n = np.array([len(s) for s in sets], np.int64)
     used = left if right is None else np.concatenate((left, right))
     width = int(min(1 << 14, max(64, 1 << int(4 * n[used].mean() - 1).bit_length())))
-    bits = np.zeros((len(sets), width), np.float32)
-    for i in used:
-        bits[i, (sets[i] & np.uint64(width - 1)).astype(np.int64)] = 1
+    bits = np.zeros((len(used), width), np.float32)
+    for k, i in enumerate(used):
+        bits[k, (sets[i] & np.uint64(width - 1)).astype(np.int64)] = 1
     ones = bits.sum(1).astype(np.int64)
-    over = left if right is None else right
-    both = (bits[left] @ bits[over].T).astype(np.int64)
+    over, at = (left, 0) if right is None else (right, len(left))
+    both = (bits[: len(left)] @ bits[at:].T).astype(np.int64)
     a, b = n[left][:, None], n[over][None, :]
     # A bit on one side only means at least one n-gram that the other side lacks.
-    bound = np.minimum(a - (ones[left][:, None] - both), b - (ones[over][None, :] - both))
+    bound = np.minimum(a - (ones[: len(left)][:, None] - both), b - (ones[at:][None, :] - both))
     may = of * bound >= least * (a + b - bound)
     if right is None:
         may &= np.arange(len(left))[:, None] < np.arange(len(left))[None, :]
@@ -155,9 +184,19 @@ def _link(nodes: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], side: n
 
     Sides 0 meet one another, and sides 0 and 1 meet sides 2.
     """
-    within, left, right = (np.flatnonzero(x) for x in (side == 0, side < 2, side == 2))
-    found = [_pairs(sets, within, None, least, of)] if len(within) > 1 else []
-    found += [_pairs(sets, left, right, least, of)] if len(left) and len(right) else []
+    lengths = np.array([len(s) for s in sets])
+    by_size = np.argsort(lengths, kind="stable")
+    blocks = [[by_size[x[by_size]][i : i + _BLOCK] for i in range(0, x.sum(), _BLOCK)] for x in (side == 0, side < 2, side == 2)]
+    found = []
+    for k, block in enumerate(blocks[0]):
+        found.append(_pairs(sets, block, None, least, of))
+        for other in blocks[0][k + 1 :]:
+            if lengths[other[0]] * least <= lengths[block[-1]] * of:
+                found.append(_pairs(sets, block, other, least, of))
+    for block in blocks[1]:
+        for other in blocks[2]:
+            if lengths[other[0]] * least <= lengths[block[-1]] * of and lengths[block[0]] * least <= lengths[other[-1]] * of:
+                found.append(_pairs(sets, block, other, least, of))
     a, b = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
     links = np.bincount(a, copies[b], len(nodes)) + np.bincount(b, copies[a], len(nodes))
     root = nodes.copy()
@@ -207,17 +246,17 @@ def _joined(docs: DataFrame, steps: Scratch, size: int, least: int, of: int, id_
     dealt, buckets = P.dealt(docs, id_col, text_col, key_col)
     by_part = dealt.groupBy("part")
 
-    def offer(key, table):
-        table = P.unpacked(table)
-        part = _Part(table, size, Bands(least, of))
-        several = part.sizes > 1
-        return P.payload(key[0].as_py(), part.keys, buckets, (several, np.ones(len(several), bool)))
+    def grams(key, table):
+        return _Part(P.unpacked(table), size).grams.payload(key[0].as_py(), buckets)
+
+    def offer(key, table, answers):
+        return _Part(P.unpacked(table), size).offer(answers, buckets, least, of).payload(key[0].as_py(), buckets)
 
     def sets(key, table, answers):
         table = P.unpacked(table)
-        part = _Part(table, size, Bands(least, of))
-        shared = np.zeros(len(part.hashes), bool)
-        shared[part.order] = np.repeat(P.answered(answers, 1, part.keys, buckets), part.sizes)
+        part = _Part(table, size)
+        slices = part.offer(answers, buckets, least, of)
+        shared = slices.shared(answers, 2, buckets)
         bands, rows, seen, first = Bands(least, of), [], set(), key[0].as_py() << _ROW_BITS
         order = np.argsort(table["doc_id"].fill_null(2**63 - 1).to_numpy(), kind="stable")
         ids, keys = table["doc_id"].to_pylist(), table["key"].to_pylist()
@@ -225,8 +264,8 @@ def _joined(docs: DataFrame, steps: Scratch, size: int, least: int, of: int, id_
             grams = part.sets[i]
             scrambled = mix(grams)
             name = (int(np.sum(scrambled).view(np.int64)), int(np.bitwise_xor.reduce(mix(scrambled + np.uint64(7))).view(np.int64))) if len(grams) else (0, 0)
-            a, b, c = part.cuts[2 * i : 2 * i + 3]
-            own, lower = (np.unique(part.hashes[x:y][shared[x:y]]).view(np.int64) for x, y in ((a, b), (b, c)))
+            a, b, c = slices.cuts[2 * i : 2 * i + 3]
+            own, lower = (np.unique(slices.all[x:y][shared[x:y]]).view(np.int64) for x, y in ((a, b), (b, c)))
             whole = len(own) + len(lower) > 0 and (len(grams), name) not in seen
             seen.add((len(grams), name))
             band = bands.band(len(grams)) if len(grams) else None
@@ -234,8 +273,12 @@ def _joined(docs: DataFrame, steps: Scratch, size: int, least: int, of: int, id_
         columns = list(zip(*rows)) if rows else [[]] * len(_SETS_ARROW)
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _SETS_ARROW)], schema=_SETS_ARROW)
 
-    hits = by_part.applyInArrow(offer, P.PAYLOAD).groupBy("bucket").applyInArrow(lambda t: P.shared_keys(t, 1), P.ANSWER)
-    table = steps.written(by_part.cogroup(hits.groupBy("part")).applyInArrow(sets, _SETS), "jaccard-sets")
+    def shared(offered: DataFrame, round_no: int) -> DataFrame:
+        return offered.groupBy("bucket").applyInArrow(lambda t: P.shared_keys(t, round_no), P.ANSWER)
+
+    first = shared(by_part.applyInArrow(grams, P.PAYLOAD), 1)
+    second = shared(by_part.cogroup(first.groupBy("part")).applyInArrow(offer, P.PAYLOAD), 2)
+    table = steps.written(by_part.cogroup(first.unionByName(second).groupBy("part")).applyInArrow(sets, _SETS), "jaccard-sets")
 
     name = ["n_shingles", "name1", "name2"]
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
@@ -261,13 +304,14 @@ def _joined(docs: DataFrame, steps: Scratch, size: int, least: int, of: int, id_
     )
 
     # One task call for small clusters together; a large one is cut into tiles that meet pairwise.
-    members = classes.select("node", "copies", "band").join(clusters, "node").withColumn("upper", F.col("band") > F.col("tiles_of"))
-    members = steps.written(members.select("node", "copies", "cluster", "upper"), "jaccard-members")
+    members = classes.select("node", "copies", "band", F.col("n_shingles").alias("n")).join(clusters, "node").withColumn("upper", F.col("band") > F.col("tiles_of"))
+    members = steps.written(members.select("node", "copies", "cluster", "upper", "n"), "jaccard-members")
     sizes = members.groupBy("cluster").agg(
-        F.count("*").alias("all"),
-        F.ceil(F.count_if(~F.col("upper")) / TILE).cast("int").alias("low"), F.ceil(F.count_if("upper") / TILE).cast("int").alias("up"),
+        F.sum("n").alias("all"),
+        F.ceil(F.sum(F.when(F.col("upper"), 0).otherwise(F.col("n"))) / TILE).cast("int").alias("low"),
+        F.ceil(F.sum(F.when(F.col("upper"), F.col("n")).otherwise(0)) / TILE).cast("int").alias("up"),
     )
-    batches = -(-max(members.count(), 1) // _BATCH)
+    batches = -(-(members.agg(F.sum("n")).first()[0] or 1) // TILE)
     placed = members.join(sizes.where("low > 0"), "cluster").withColumn(
         "tile", F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.when(F.col("upper"), F.col("up")).otherwise(F.col("low")))).cast("int")
     )
@@ -287,9 +331,9 @@ def _joined(docs: DataFrame, steps: Scratch, size: int, least: int, of: int, id_
     large = placed.where(F.col("all") > TILE).withColumn("meet", F.explode(meets)).select(
         "cluster", "node", "copies", F.col("meet.side").alias("side"), F.xxhash64("cluster", "meet.kind", "meet.t1", "meet.t2").alias("work"),
     )
-    grams = table.where("shingles is not null").select(F.col("row").alias("node"), "shingles")
+    contents = table.where("shingles is not null").select(F.col("row").alias("node"), "shingles")
     found = steps.written(
-        small.unionByName(large).join(grams, "node").groupBy("work").applyInArrow(_tile(least, of), _FOUND), "jaccard-links"
+        small.unionByName(large).join(contents, "node").groupBy("work").applyInArrow(_tile(least, of), _FOUND), "jaccard-links"
     )
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

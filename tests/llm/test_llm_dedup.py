@@ -125,10 +125,10 @@ def variants(seed, groups, copies, count):
 
 
 @pytest.mark.parametrize("tile, size, least, rows", [
-    (256, 3, 90, ROWS),
-    (256, 5, 80, variants(1, 6, 9, 60)),
-    (5, 3, 80, variants(2, 3, 25, 50)),
-    (4, 2, 60, variants(3, 2, 30, 12) + [(100 + i, words(i, i % 7, 2), None, None, None) for i in range(30)]),
+    (1 << 20, 3, 90, ROWS),
+    (1 << 20, 5, 80, variants(1, 6, 9, 60)),
+    (300, 3, 80, variants(2, 3, 25, 50)),
+    (50, 2, 60, variants(3, 2, 30, 12) + [(100 + i, words(i, i % 7, 2), None, None, None) for i in range(30)]),
 ])
 def test_jaccard_join(spark, monkeypatch, tile, size, least, rows):
     monkeypatch.setattr(jaccard_join, "TILE", tile)
