@@ -349,7 +349,11 @@ ORACLES = {
     "with_parameters": _w(
         f"SELECT *, DATE '2024-01-30' AS target_date, '2024-01-30' AS target_text FROM ({_TODAY.format(day='2024-01-30')})"
     ),
+    "empty_checks": _w(
+        "SELECT kind AS type, kind NOT IN (SELECT type FROM stocks) AS is_empty FROM (VALUES ('purchase'), ('no such type')) v(kind)"
+    ),
     # pages
+    "page_table": "SELECT url, html FROM pages",
     "page_heads": _pages(f"SELECT page_id, {_CLEAN_TITLE} AS page_title, CAST(NULL AS VARCHAR) AS og_title FROM p"),
     "page_blocks": _pages(
         "SELECT page_id, CAST([1, 1, 0, 1, 2, 1, 1, 1][page_id % 8 + 1] AS INT) AS block_count,"

@@ -328,6 +328,13 @@ def with_parameters(products: DataFrame) -> DataFrame:
     })
 
 
+def empty_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether there are products of a known and of an unknown type."""
+    stocks = event_stocks(spark, sf_dir)
+    kinds = {name: views.product_view(stocks, name) for name in (PRODUCT_TYPE, "no such type")}
+    return spark.createDataFrame([(name, filters.is_empty(df)) for name, df in kinds.items()], "type string, is_empty boolean")
+
+
 # --- pages ----------------------------------------------------------------------
 
 
@@ -481,7 +488,9 @@ QUERIES = {
     "renamed_source": renamed_source,
     "first_listed": _on_products(first_listed),
     "with_parameters": _on_products(with_parameters),
+    "empty_checks": empty_checks,
     # pages
+    "page_table": lambda spark, sf_dir: tables.read_pages(spark, f"{sf_dir}/pages.parquet"),
     "page_heads": page_heads,
     "page_blocks": page_blocks,
     "page_crumbs": page_crumbs,
