@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelftrail.llm.tables import Scratch, keyed, written
+from shelftrail.llm.tables import Scratch, keyed, only, written
 
 #: Bytes of normalised text per block.
 BLOCK = 4096
@@ -136,4 +136,4 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of `docs`, all columns, that exact_dedup keeps."""
     docs, key = keyed(docs)
     keep = exact_dedup(docs, id_col, text_col, key_col=key).where("kept").select(F.col("key").alias(key))
-    return docs.join(keep, key, "left_semi").drop(key)
+    return only(docs, key, keep)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from shelftrail.llm import parts as P
 from shelftrail.llm.hashing import Words, group_starts, mix
-from shelftrail.llm.tables import Scratch, components, keyed, written
+from shelftrail.llm.tables import Scratch, components, keyed, only, written
 
 #: N-grams per tile of a large cluster, and of small clusters that share a task call.
 TILE = 1 << 20
@@ -356,4 +356,4 @@ def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of `docs`, all columns, that are the first of their component."""
     docs, key = keyed(docs)
     keep = jaccard_join(docs, id_col=id_col, text_col=text_col, key_col=key, **limits).where("kept").select(F.col("key").alias(key))
-    return docs.join(keep, key, "left_semi").drop(key)
+    return only(docs, key, keep)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftrail import session
@@ -63,6 +63,28 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
     return written(docs, "rows").select("*", place), name
 
 
+def only(docs: DataFrame, key: str, keep: DataFrame) -> DataFrame:
+    """The rows of `docs` (from `keyed`) whose key is in column `key` of `keep`, without that column.
+
+    The kept rows travel as a bitmap per 32768 rows of a file, 4 kB each, so the join is small
+    enough for Spark to broadcast at most sizes; beyond, Spark shuffles the documents.
+    """
+    def place(name: str) -> tuple[Column, Column]:
+        row = F.substring_index(name, ":", -1)
+        return F.expr(f"left({name}, length({name}) - length(substring_index({name}, ':', -1)) - 1)"), row.cast("long") + 1
+
+    file, row = place(key)
+    names = [f"{key}_{x}" for x in ("file", "bucket", "bits")]
+    bits = keep.groupBy(file.alias(names[0]), F.bitmap_bucket_number(row).alias(names[1])).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(row)).alias(names[2])
+    )
+    bits = written(bits, "kept-rows")
+    here = docs.withColumns({names[0]: file, names[1]: F.bitmap_bucket_number(row)}).join(bits, names[:2])
+    at = f"bitmap_bit_position(cast(substring_index({key}, ':', -1) as long) + 1)"
+    byte = f"cast(conv(hex(substring({names[2]}, cast({at} div 8 as int) + 1, 1)), 16, 10) as int)"
+    return here.where(F.expr(f"(shiftright({byte}, cast({at} % 8 as int)) & 1) = 1")).select(*[c for c in docs.columns if c != key])
+
+
 def components(edges: DataFrame, steps: Scratch) -> DataFrame:
     """(node, component) for all nodes of the edges (a, b): the smallest node reachable.
 

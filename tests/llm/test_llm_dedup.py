@@ -12,7 +12,7 @@ from cases import ROWS, SF, empty, frame, words
 import check_oracles
 from shelftrail.llm import exact_dedup, jaccard_join, queries, substring_dedup
 from shelftrail.llm.hashing import Words
-from shelftrail.llm.tables import Scratch, components
+from shelftrail.llm.tables import Scratch, components, keyed, only
 
 
 def test_words_and_windows():
@@ -188,3 +188,14 @@ def test_sql(spark, monkeypatch, key):
     monkeypatch.setattr(check_oracles, "QUERIES", queries.QUERIES)
     monkeypatch.setattr(check_oracles, "ORACLES", queries.ORACLES)
     assert check_oracles.compare(spark, check_oracles.connect(SF), SF, key) == ""
+
+
+def test_only_kept_rows(spark, tmp_path):
+    """Rows on both sides of the limits of bytes and of bitmaps."""
+    spark.range(70_000).repartition(2).write.parquet(str(tmp_path / "t"))
+    docs, key = keyed(spark.read.parquet(str(tmp_path / "t")))
+    keep = docs.where("id % 7 = 3 or id < 40").select(key)
+    got = only(docs, key, keep)
+    assert got.columns == ["id"]
+    assert sorted(r.id for r in got.collect()) == [i for i in range(70_000) if i % 7 == 3 or i < 40]
+    assert only(docs, key, keep.where("false")).count() == 0
