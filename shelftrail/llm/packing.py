@@ -1,9 +1,10 @@
 """Packing documents into token-budget batches over optimal length buckets.
 
-The global histogram of lengths, in at most `bins` bins, is all that reaches the driver. A
-dynamic program over it places the bucket boundaries so that the padding up to the
-boundaries is least. Rows then get their place within the bucket from counts per slice and
-ranks inside slices, so no bucket passes through one task.
+The global histogram of exact lengths is all that reaches the driver: documents of d distinct
+lengths have d * (d - 1) / 2 tokens at least, so it has no more rows than the root of twice
+the corpus' tokens. A dynamic program over it places the bucket boundaries so that the
+padding up to the boundaries is least. Rows then get their place within the bucket from
+counts per slice and ranks inside slices, so no bucket passes through one task.
 """
 
 from __future__ import annotations
@@ -16,8 +17,36 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 50_000
 
 
+def _last_bucket(cost: np.ndarray, ends: np.ndarray, rows: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For lengths 0..j-1, the least cost with a last bucket from length i >= 1, and the smallest such i.
+
+    The cost is Monge, so i doesn't fall as j rises: each level halves the distance between
+    the j known and looks only between their i, which takes n log n steps in all.
+    """
+    n = len(ends)
+    best, came = np.full(n + 1, np.iinfo(np.int64).max), np.zeros(n + 1, np.int64)
+    step = 1 << (n.bit_length() - 1)
+    while step:
+        j = np.arange(step, n + 1, 2 * step)
+        j = j[j >= 2]
+        low = np.maximum(came[j - step], 1)
+        high = np.where(j + step <= n, np.minimum(came[np.minimum(j + step, n)], j - 1), j - 1)
+        sizes = high - low + 1
+        starts = np.cumsum(sizes) - sizes
+        which = np.repeat(np.arange(len(j)), sizes)
+        i = np.arange(len(which)) - starts[which] + low[which]
+        if len(j):
+            at = j[which]
+            total = cost[i] + ends[at - 1] * (rows[at] - rows[i]) - (tokens[at] - tokens[i])
+            best[j] = np.minimum.reduceat(total, starts)
+            least = np.flatnonzero(total == best[at])
+            came[j] = i[least[np.searchsorted(which[least], np.arange(len(j)))]]
+        step //= 2
+    return best, came
+
+
 def boundaries(histogram: list[tuple[int, int, int]], buckets: int) -> list[int]:
-    """Bucket ends that minimise padding, from (largest length, rows, tokens) per bin, ascending.
+    """Bucket ends that minimise padding, from (length, rows, tokens) per distinct length, ascending.
 
     Of equally good choices the one with the smallest ends is taken, looking from the last.
     """
@@ -26,19 +55,13 @@ def boundaries(histogram: list[tuple[int, int, int]], buckets: int) -> list[int]
     ends = np.array([h[0] for h in histogram], np.int64)
     rows, tokens = (np.concatenate(([0], np.cumsum([h[i] for h in histogram]))) for i in (1, 2))
     n, buckets = len(ends), min(buckets, len(ends))
-    # cost[j]: least padding of bins 0..j-1 in the buckets so far
+    # cost[j]: least padding of lengths 0..j-1 in the buckets so far
     cost = ends[np.arange(n)] * rows[1:] - tokens[1:]
     cost, back = np.concatenate(([0], cost)), []
     for _ in range(1, buckets):
-        new, from_ = cost.copy(), np.zeros(n + 1, np.int64)
-        for j in range(1, n + 1):
-            i = np.arange(1, j)
-            if len(i):
-                total = cost[i] + ends[j - 1] * (rows[j] - rows[i]) - (tokens[j] - tokens[i])
-                k = int(np.argmin(total))
-                if total[k] < new[j]:
-                    new[j], from_[j] = total[k], i[k]
-        cost = new
+        new, from_ = _last_bucket(cost, ends, rows, tokens)
+        from_ = np.where(new < cost, from_, 0)
+        cost = np.minimum(new, cost)
         back.append(from_)
     out, j = [int(ends[-1])], n
     for from_ in reversed(back):
@@ -48,13 +71,8 @@ def boundaries(histogram: list[tuple[int, int, int]], buckets: int) -> list[int]
     return out[::-1]
 
 
-def bin_of(length: Column, widest: int, bins: int) -> Column:
-    """Bins of equal width; each length has its own while the widest is below `bins`."""
-    return F.floor(length / F.lit(max(1, -(-(widest + 1) // bins)))).cast("long")
-
-
 def pack(
-    docs: DataFrame, budget: int = 32768, buckets: int = 8, bins: int = 2048, id_col: str = "doc_id", length: Column | None = None
+    docs: DataFrame, budget: int = 32768, buckets: int = 8, id_col: str = "doc_id", length: Column | None = None
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, bucket, boundary, batch, slot.
 
@@ -71,10 +89,9 @@ def pack(
     words = F.size(F.filter(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     length = F.when(F.col("text").isNull(), 0).otherwise(words) if length is None else length
     sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(length, F.lit(0)).cast("long").alias("n_tokens"))
-    n, widest = sized.agg(F.count("*"), F.coalesce(F.max("n_tokens"), F.lit(0))).first()
-    at = bin_of(F.col("n_tokens"), widest, bins)
-    histogram = sized.groupBy(at.alias("bin")).agg(F.max("n_tokens"), F.count("*"), F.sum("n_tokens")).orderBy("bin").collect()
-    ends = boundaries([tuple(h)[1:] for h in histogram], buckets) or [0]
+    histogram = sized.groupBy("n_tokens").agg(F.count("*")).orderBy("n_tokens").collect()
+    n = sum(rows for _, rows in histogram)
+    ends = boundaries([(length, rows, length * rows) for length, rows in histogram], buckets) or [0]
 
     bucket = F.lit(len(ends) - 1)
     for k in reversed(range(len(ends) - 1)):

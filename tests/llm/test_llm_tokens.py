@@ -38,6 +38,35 @@ def test_boundaries_are_optimal(seed):
         assert len(ends) <= buckets and ends[-1] == values[-1] and padding(lengths, ends) == best
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_boundaries_of_many_lengths(seed):
+    """The plain dynamic program, also where choices are equally good."""
+    rng = np.random.default_rng(seed)
+    bins = sorted(Counter(rng.choice([rng.integers(1, 300, 400), 7 * rng.integers(0, 9, 400)][seed % 2], 400).tolist()).items())
+    lengths, counts = np.array(bins).T
+    rows, tokens = np.append(0, np.cumsum(counts)), np.append(0, np.cumsum(lengths * counts))
+    cost, ways = np.append(0, lengths * rows[1:] - tokens[1:]).tolist(), [[]] + [[int(n)] for n in lengths]
+    for buckets in range(1, 9):
+        assert packing.boundaries([(int(n), int(c), int(n * c)) for n, c in bins], buckets) == ways[-1]
+        new, longer = list(cost), list(ways)
+        for j in range(2, len(lengths) + 1):
+            total = [cost[i] + int(lengths[j - 1] * (rows[j] - rows[i]) - tokens[j] + tokens[i]) for i in range(1, j)]
+            if min(total) < cost[j]:
+                i = 1 + total.index(min(total))
+                new[j], longer[j] = total[i - 1], ways[i] + [int(lengths[j - 1])]
+        cost, ways = new, longer
+
+
+def test_one_huge_text_does_not_coarsen_boundaries(spark):
+    rng = random.Random(1)
+    lengths = [rng.randrange(1, 300) for _ in range(500)] + [5_000_000]
+    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n long")
+    rows = packing.pack(docs, budget=1000, buckets=3, length=F.col("n")).collect()
+    values = sorted(set(lengths))
+    best = min(padding(lengths, [*c, values[-1]]) for c in itertools.combinations(values[:-1], 2))
+    assert sum(r.boundary - r.n_tokens for r in rows) == best
+
+
 def test_batches(spark):
     rows = packing.pack(frame(spark), budget=500, buckets=3).collect()
     assert Counter(r.doc_id for r in rows) == Counter(r[0] for r in ROWS)
