@@ -4,11 +4,13 @@ Equal vectors are one node. The graph starts from exact neighbours within cells
 projections. Then rounds of NN-descent follow: a node's neighbours, and the nodes that have it
 as a neighbour, are likely near one another, so each node introduces them, and every node
 keeps its nearest. A round joins edges with the vectors they need, one copy per block of
-nodes, and merges the introductions with the graph. Queries walk the graph from their own
-node, always opening the nearest nodes not yet opened.
+nodes, and merges the introductions with the graph, until a round leaves few neighbours new.
+Queries walk the graph from their own node, always opening the nearest nodes not yet opened.
 
 Every round is a written table. Reverse edges and introductions are sampled, as NN-descent
-does; the lists are a property of the index, and recall is what the tests measure.
+does. What that costs in recall is measured on each table: the neighbours of a bounded sample
+of the queries are also found by a scan of all nodes, and queries keep more nodes in sight
+until the walk finds enough of them.
 """
 
 from __future__ import annotations
@@ -22,13 +24,19 @@ from shelftrail.llm.hashing import group_starts, mix
 from shelftrail.llm.tables import Scratch, written
 
 #: Neighbours per node, and of those how many a node introduces in a round, new and old each.
-NEIGHBOURS, SAMPLE, ROUNDS = 24, 12, 3
+NEIGHBOURS, SAMPLE = 24, 12
+#: Rounds end when at most this share of all neighbours is new.
+SETTLED = 0.02
 #: Sets of cells to start from, and the rows of a cell, about.
 CELL_SETS, CELL = 3, 400
 #: Nodes per block of a round, and queries per block of a search.
 BLOCK, QUERY_BLOCK = 3000, 64
-#: Nodes a query keeps in sight, and nodes it opens in a round.
+#: Nodes a query keeps in sight, and nodes it opens in a round; both are doubled until recall is reached.
 BEAM, OPENED = 400, 80
+#: Least recall, and the queries it is measured on (all if there are no more).
+RECALL, MEASURED = 0.9, 200
+#: Queries that one scan of all nodes answers.
+SCAN_QUERIES = 2000
 #: Rows whose projections' medians cut the cells.
 CUT_SAMPLE = 4000
 
@@ -229,8 +237,12 @@ def _introduce(keep: int):
     return run
 
 
-def build(base: DataFrame, steps: Scratch, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, rounds: int = ROUNDS) -> DataFrame:
-    """The graph over (node, vector): node, vector (32-bit floats) and packed ids, dists of its neighbours, nearest first."""
+def build(base: DataFrame, steps: Scratch, neighbours: int = NEIGHBOURS, sample: int = SAMPLE, settled: float = SETTLED) -> DataFrame:
+    """The graph over (node, vector): node, vector (32-bit floats) and packed ids, dists of its neighbours, nearest first.
+
+    Rounds go on until at most the share `settled` of all neighbours is new or wasn't introduced
+    yet. They end, as a neighbour only ever gives way to a nearer one.
+    """
     def pack(batches):
         for batch in batches:
             x = [np.array(v, np.float32).tobytes() for v in batch.column(1).to_pylist()]
@@ -250,17 +262,20 @@ def build(base: DataFrame, steps: Scratch, neighbours: int = NEIGHBOURS, sample:
         return steps.written(new, "ann-graph", graph)
 
     graph = merged(_in_block(_start(packed, count, neighbours), blocks), 0)
-    for turn in range(rounds):
+    turn, edges = 0, None
+    new = F.length(F.hex("fresh")) - F.length(F.replace(F.hex("fresh"), F.lit("1"), F.lit("")))
+    while not graph.agg(F.sum(new) <= settled * F.sum(F.length("fresh"))).first()[0]:
         ahead = graph.mapInArrow(_edges(sample, turn), "host long, member long, fresh boolean")
         back = ahead.select(F.col("member").alias("host"), F.col("host").alias("member"), "fresh")
         rank = F.row_number().over(Window.partitionBy("host", "fresh").orderBy(F.xxhash64("host", "member", F.lit(turn)), "member"))
         both = ahead.unionByName(back.withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank"))
         # Mutual neighbours come twice, perhaps only once as fresh.
         both = _in_block(both.groupBy("host", "member").agg(F.max("fresh").alias("fresh")), blocks, "host")
-        edges = both = steps.written(both, "ann-edges", edges if turn else None)
+        edges = both = steps.written(both, "ann-edges", edges)
         vectors = _in_block(graph, blocks).select("node", "vector", "worst", F.col("block").alias("target"))
         needed = both.select(F.col("block").alias("home"), F.col("member").alias("node")).distinct().join(vectors, "node")
         graph = merged(both.groupBy("block").cogroup(needed.groupBy("home")).applyInArrow(_introduce(neighbours), _LISTS), turn)
+        turn += 1
     return graph
 
 
@@ -333,7 +348,7 @@ def _step(beam: int, width: int):
 
 
 def search(index: DataFrame, starts: DataFrame, steps: Scratch, beam: int = BEAM, width: int = OPENED) -> DataFrame:
-    """(query, node) for the nodes in sight of each node of `starts` when no nearer one is left to open."""
+    """(query, node, place) for the nodes in sight of each node of `starts`, nearest first, when no nearer one is left to open."""
     queries = index.select("node", "vector").join(starts.select("node").distinct(), "node")
     blocks = max(1, -(-starts.select("node").distinct().count() // QUERY_BLOCK))
     zero, no = F.lit(bytearray(4)), F.lit(bytearray(1))
@@ -359,19 +374,90 @@ def search(index: DataFrame, starts: DataFrame, steps: Scratch, beam: int = BEAM
         for batch in batches:
             ids = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
             owner = np.repeat(batch.column(0).to_numpy(), [len(i) for i in ids])
-            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate(ids) if ids else owner)], names=["query", "node"])
+            place = np.concatenate([np.arange(len(i)) for i in ids]) if ids else owner
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate(ids) if ids else owner), pa.array(place)], names=["query", "node", "place"])
+
+    return state.select("node", "ids").mapInArrow(flat, "query long, node long, place long")
 
-    return state.select("node", "ids").mapInArrow(flat, "query long, node long")
 
+def scanned(index: DataFrame, asked: list, k: int) -> DataFrame:
+    """(query, node, place) for the k nearest other nodes of each (node, vector) of `asked`, by a scan of all nodes."""
+    names, x = np.array([r.node for r in asked], np.int64), np.stack([np.frombuffer(r.vector, np.float32) for r in asked]).astype(float)
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", **search_limits: int) -> DataFrame:
+    def near(batches):
+        ids, dists = np.full((len(x), k), -1, np.int64), np.full((len(x), k), np.inf)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 2048):
+                node, y = batch.column(0).to_numpy()[lo : lo + 2048], _floats(batch.column(1).slice(lo, 2048)).astype(float)
+                d = np.where(names[:, None] == node, np.inf, _squares(x, y))
+                ids, dists = np.concatenate((ids, np.broadcast_to(node, d.shape)), 1), np.concatenate((dists, d), 1)
+                order = np.lexsort((ids, dists))[:, :k]
+                ids, dists = np.take_along_axis(ids, order, 1), np.take_along_axis(dists, order, 1)
+        there = np.isfinite(dists)
+        yield pa.RecordBatch.from_arrays([pa.array(np.broadcast_to(names[:, None], ids.shape)[there]), pa.array(ids[there]), pa.array(dists[there])], names=["query", "node", "dist"])
+
+    place = F.row_number().over(Window.partitionBy("query").orderBy("dist", "node"))
+    found = index.select("node", "vector").mapInArrow(near, "query long, node long, dist double")
+    return found.withColumn("place", place.cast("long")).where(F.col("place") <= k).drop("dist")
+
+
+def _reached(found: DataFrame, known: dict[int, set[int]], k: int, least: float, whole: bool) -> bool:
+    """Whether the share of known neighbours among the k nearest found is `least`, two standard errors below the mean unless the sample is whole."""
+    hits = dict.fromkeys(known, 0)
+    for r in found.where(F.col("place") <= k).select("query", "node").collect():
+        hits[r["query"]] += r["node"] in known[r["query"]]
+    shares = np.array([hits[q] / max(1, len(known[q])) for q in known if known[q]])
+    if not len(shares):
+        return True
+    return shares.mean() - (0 if whole else 2 * shares.std() / len(shares) ** 0.5) >= least
+
+
+def searched(index: DataFrame, asked: DataFrame, steps: Scratch, k: int, recall: float = RECALL, beam: int = BEAM, width: int = OPENED) -> DataFrame:
+    """(query, node) for each node of `asked`: at least its k nearest other nodes, of which the share `recall` is found.
+
+    Beam and width are doubled until a sample of the queries has that recall. Where that would
+    take a quarter of all nodes, the graph is no help and all nodes are scanned.
+    """
+    asked = steps.written(asked.select("node").distinct().join(index.select("node", "vector"), "node"), "ann-asked")
+    queries = asked.count()
+    sample = asked.orderBy(F.xxhash64("node"), "node").limit(MEASURED)
+    drawn = sample.collect()
+    if not drawn:
+        return search(index, asked, steps, beam, width).drop("place")
+    sample = steps.written(sample, "ann-sample")
+    known = {r.node: set() for r in drawn}
+    for r in scanned(index, drawn, k).collect():
+        known[r["query"]].add(r["node"])
+    count, whole = index.count(), queries <= len(drawn)
+    while True:
+        # The node itself is the nearest of all, at place 0.
+        found = steps.written(search(index, sample, steps, beam, width), "ann-found")
+        if _reached(found, known, k, recall, whole):
+            return (found if whole else search(index, asked, steps, beam, width)).drop("place")
+        if beam > max(count // 4, k):
+            break
+        beam, width = 2 * beam, 2 * width
+    parts = max(1, -(-queries // SCAN_QUERIES))
+    each = []
+    for part in range(parts):
+        some = asked.where(F.pmod(F.xxhash64("node"), F.lit(parts)) == part).collect()
+        each += [steps.written(scanned(index, some, k), "ann-scanned")] if some else []
+    found = each[0]
+    for more in each[1:]:
+        found = found.unionByName(more)
+    # Copies of a query's own vector are its neighbours too.
+    return found.select("query", "node").unionByName(asked.select(F.col("node").alias("query"), "node"))
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", **search_limits: float) -> DataFrame:
     """The k nearest other rows found for each of `queries`, which are rows of `vectors`.
 
     Returns query_id, rank (from 1), vec_id and score, the Euclidean distance in double
     precision between the original vectors; ties go to the smaller id. Vectors that are
     null, zero, not finite in all components or of another length than most take no part,
     nor do rows without an id; such queries have no result. Equal vectors are neighbours at
-    distance 0. A repeated id is a candidate once per row; a query's own id is none. Other columns are ignored, whatever their names; an empty table gives an
+    distance 0. Recall is measured on this table's queries, and the search widened until it is
+    `recall` (see `searched` for the limits). A repeated id is a candidate once per row; a query's own id is none. Other columns are ignored, whatever their names; an empty table gives an
     empty result.
     """
     with Scratch(vectors.sparkSession) as steps:
@@ -383,7 +469,7 @@ def _nearest_rows(vectors: DataFrame, queries: DataFrame, steps: Scratch, k: int
     doubles = F.transform(F.col(vector_col), lambda x: x.cast("double") + F.lit(0.0))
     asked = queries.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("query_id"), doubles.alias("vector")).distinct()
     asked = steps.written(asked.join(base.select("vector", "node"), "vector").select("query_id", "node"), "ann-queries")
-    found = search(linked(build(base, steps), steps), asked, steps, **search_limits)
+    found = searched(linked(build(base, steps), steps), asked, steps, k, **search_limits)
     left, right = base.select(F.col("node").alias("query"), F.col("vector").alias("a")), base.select("node", F.col("vector").alias("b"), "ids")
     square = F.aggregate(F.zip_with("a", "b", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda x, y: x + y)
     scored = found.join(right, "node").join(left, "query").select("query", F.sqrt(square).alias("score"), F.explode("ids").alias("vec_id"))

@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from shelftrail.llm import nearest, packing, queries, sentencepiece_codec, token_frames
+from shelftrail.llm.tables import Scratch
 
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -214,6 +215,42 @@ def test_nearest_recall_and_ties(spark):
     assert hits >= 0.9 * 10 * len(found)
 
 
+def of_random(spark, rows, size, seed=5):
+    x = np.random.default_rng(seed).normal(size=(rows, size))
+    return x, spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def hits(found, x, k):
+    """Share of the k nearest that `found` (query, neighbour) has."""
+    ids, got = np.arange(len(x)), {}
+    for query, neighbour in found:
+        got.setdefault(query, set()).add(neighbour)
+    return np.mean([len(n & {v for v, _ in brute(ids, x, (q, x[q]), k)}) / k for q, n in got.items()])
+
+
+def test_nearest_widens_a_narrow_search(spark):
+    x, df = of_random(spark, 3000, 32)
+    found = nearest.nearest(df, df.where("vec_id % 100 = 0"), 10, beam=12, width=4)
+    assert hits([(r.query_id, r.vec_id) for r in found.collect()], x, 10) >= 0.9
+
+
+def test_nearest_scans_where_the_graph_does_not_help(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "SCAN_QUERIES", 7)
+    x, df = of_random(spark, 400, 8)
+    got = nearest.nearest(df, df.where("vec_id % 10 = 0"), 10, recall=1.1).collect()
+    assert len(got) == 400 and hits([(r.query_id, r.vec_id) for r in got], x, 10) == 1
+
+
+def test_graph_rounds_go_on_until_few_neighbours_are_new(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "CELL", 20)  # a poor start
+    x, df = of_random(spark, 3000, 16)
+    with Scratch(spark) as steps:
+        rows = nearest.build(df.select(F.col("vec_id").alias("node"), F.col("embedding").alias("vector")), steps).collect()
+    new = np.concatenate([np.frombuffer(r.fresh, bool) for r in rows])
+    assert len(new) == 3000 * nearest.NEIGHBOURS and new.mean() <= 0.02
+    assert hits([(r.node, int(v)) for r in rows[::20] for v in np.frombuffer(r.ids, np.int64)[:10]], x, 10) >= 0.9
+
+
 def test_nearest_of_few(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 2.0]), (100, [-0.0, 2.0])], schema)
