@@ -93,10 +93,14 @@ class RandomStrings:
         return float(self.ratio[np.concatenate(([0], codes[:-1])), codes - 1].mean())
 
     def spans(self, text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """Runs that look random and don't overlap a known span."""
+        """Runs that look random and don't lie within known spans; a run that overlaps one is scored and given whole."""
         out, runs = [], re.compile(f"[A-Za-z0-9+/_-]{{{self.least_length},}}")
         for m in runs.finditer(text):
-            if not any(s < m.end() and m.start() < e for _, s, e in known) and self.score(m.group()) >= self.threshold:
+            at = m.start()
+            for _, start, end in sorted(known, key=lambda s: s[1]):
+                if start <= at:
+                    at = max(at, end)
+            if at < m.end() and self.score(m.group()) >= self.threshold:
                 out.append(("random", m.start(), m.end()))
         return out
 
