@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelftrail.llm import (
-    exact_dedup, jaccard_join, language_id, nearest, packing, quality, secret_scan, sentencepiece_codec, substring_dedup, token_frames,
+    conversations, exact_dedup, jaccard_join, language_id, merkle, nearest, oracles, packing, quality, secret_scan, sentencepiece_codec, sharding,
+    substring_dedup, token_frames,
 )
 
 
@@ -79,6 +80,28 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    tampered = F.when(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, merkle.leaf_hash(*fields, F.translate("text", upper, lower)),
+    )
+    out = merkle.proofs(_documents(spark, sf_dir), F.col("lang"), F.col("doc_id"), merkle.leaf_hash(*fields, F.col("text")), tampered)
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.plain(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv", "turn"))
+    draw = F.crc32(F.concat(conv, F.lit(":"), turn).cast("binary")) % 20
+    return conversations.repair(conversations.damaged(rows, draw), rows).withColumnRenamed("conv", "conv_id")
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(_documents(spark, sf_dir), shards=8)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_packing": op2_packing,
@@ -90,6 +113,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_frames": op9_token_frames,
     "op10_nearest": op10_nearest,
+    "op11_merkle": op11_merkle,
+    "op12_conversations": op12_conversations,
+    "op13_sharding": op13_sharding,
 }
 
 def _packing_sql(buckets: int = 8, bins: int = 2048, budget: int = 32768) -> str:
@@ -123,6 +149,7 @@ def _packing_sql(buckets: int = 8, bins: int = 2048, budget: int = 32768) -> str
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLES = {
+    **oracles.ORACLES,
     "op1_substring_dedup": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         p AS (SELECT doc_id, unnest(generate_series(1, len(w) - 49)) AS s, w FROM d WHERE len(w) >= 50),
