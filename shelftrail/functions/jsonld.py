@@ -3,11 +3,19 @@
 Everything stays inside one row of the page table: blocks, graph items and crumbs
 are arrays worked on with higher-order functions, so a page is never exploded and
 never shuffled, and "the first document that ..." is plain array order.
+
+Spark's JSON functions disagree about repeated keys and NaN, partly by session setting. The
+few blocks with either are rewritten as plain JSON before anything else looks at them, so
+no result depends on the session.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import json
+import math
+
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
 
 from shelftrail.functions.text import strip
 
@@ -81,22 +89,49 @@ def _unfold(pair: Column, values: Column, raw_list: Column) -> Column:
     return F.when(values.isNotNull(), _pairs(raw_list, values)).otherwise(single)
 
 
-def _readable(raw: Column) -> Column:
-    """The text itself, or with null for NaN and Infinity if it can't be parsed with them.
+def _keys(text: Column) -> Column:
+    """Number of object keys, at any depth, in JSON text."""
+    return F.size(F.filter(F.regexp_extract_all(text, F.lit(_JSON_STRING), F.lit(0)), lambda t: t.endswith(":")))
+
+
+def _is_odd(raw: Column) -> Column:
+    """Whether text isn't read by Spark's parser, or loses keys when it is (where a session allows repeated keys)."""
+    doc = _parsed(raw)
+    return (raw != "") & (doc.isNull() | (_keys(raw) != _keys(doc.cast("string"))))
+
+
+def plain_json(blocks: Column) -> Column:
+    """JSON texts without repeated keys, NaN and Infinity, in an array; malformed ones become NULL.
 
-    JSON readers commonly take these as numbers; Spark's parser doesn't. No field read
-    here is a number, so null stands for them as well.
+    Of a repeated key the last value counts, at the place of the first; NaN and Infinity
+    become null. Which object a key belongs to is a matter of nesting, which built-in
+    functions can't follow in one pass, so arrays that hold an odd text, and no others, are
+    handed to Python.
     """
-    spelt = F.regexp_replace(raw, r"([:\[,]\s*)-?(?:NaN|Infinity)(?=\s*[,\]}])", "$1null")
-    odd = raw.contains("NaN") | raw.contains("Infinity")
-    return F.when(odd & _parsed(raw).isNull(), spelt).otherwise(raw)
+
+    # Defined here so that it travels by value and workers need not import this package.
+    def rewrite(items: pd.Series) -> pd.Series:
+        def number(text: str):
+            value = float(text)
+            return value if math.isfinite(value) else None
+
+        def plain(text: str | None) -> str | None:
+            try:
+                whole = lambda digits: int(digits) if len(digits) < 4000 else None
+                return json.dumps(json.loads(text, parse_constant=lambda _: None, parse_float=number, parse_int=whole))
+            except (ValueError, TypeError, RecursionError):
+                return None
+
+        return items.map(lambda a: None if a is None else [plain(t) for t in a])
+
+    odd = F.when(F.exists(blocks, _is_odd), blocks)
+    return F.coalesce(F.pandas_udf(rewrite, T.ArrayType(T.StringType()))(odd), blocks)
 
 
 def parse_blocks(blocks: Column) -> Column:
     """Block texts to top-level objects; blank and malformed blocks vanish."""
-    pairs = F.transform(
-        F.transform(blocks, lambda b: _readable(strip(b))), lambda b: F.struct(b.alias("raw"), _parsed(b).alias("doc"))
-    )
+    plain = plain_json(F.transform(blocks, strip))
+    pairs = F.transform(plain, lambda b: F.struct(b.alias("raw"), _parsed(b).alias("doc")))
     pairs = F.filter(pairs, lambda p: p["doc"].isNotNull())
     return F.flatten(F.transform(
         pairs, lambda p: _unfold(p, F.try_variant_get(p["doc"], "$", "array<variant>"), p["raw"])
@@ -149,15 +184,9 @@ def find_code(text: Column, prefix: str) -> Column:
 def _code_in_json(value: Column, prefix: str) -> Column:
     """First item code in a JSON value: its text, or its strings in document order.
 
-    Works on the raw text because a VARIANT sorts its keys; key names are skipped. Of a
-    repeated key the last value counts, so a string that the VARIANT no longer has is
-    skipped as well.
+    Works on the raw text because a VARIANT sorts its keys; key names are skipped.
     """
-    kept = _parsed(value).cast("string")
-    strings = F.filter(
-        F.regexp_extract_all(value, F.lit(_JSON_STRING), F.lit(0)),
-        lambda t: ~t.endswith(":") & F.coalesce(kept.contains(t) | t.contains("\\"), F.lit(True)),
-    )
+    strings = F.filter(F.regexp_extract_all(value, F.lit(_JSON_STRING), F.lit(0)), lambda t: ~t.endswith(":"))
     nested = first_match(F.transform(
         strings,
         lambda t: find_code(F.get_json_object(F.concat(F.lit("["), t, F.lit("]")), "$[0]"), prefix),

@@ -12,8 +12,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # JSON-LD with a repeated key keeps the last one, as JSON readers usually do.
-    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -3,7 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from shelftrail.functions.jsonld import plain_json
 from shelftrail.plans.metadata import metadata_table, page_metadata, schema_rows
 
 
@@ -69,6 +71,27 @@ CASES = {
         block('{"@type":"Product","name":"x","sku":"HED111","sku":"HED222"}'), ("HED222", "x", "HED222")),
     "repeated key in a nested value": (
         block('{"@type":"Product","name":"x","offers":{"sku":"HED111","sku":"HED222"}}'), ("HED222", "x", "HED222")),
+    "repeated key whose dropped value occurs elsewhere": (
+        block('{"@type":"Product","name":"x","description":"not HED111","offers":{"sku":"HED111","gtin":"HED333","sku":"HED222"},"note":"HED111"}'),
+        ("HED222", "x", "HED222")),
+    "repeated key takes the place of the first": (
+        block('{"@type":"Product","name":"x","offers":{"a":"-","b":"HED222","a":"HED111"}}'), ("HED111", "x", "HED111")),
+    "repeated key holding objects": (
+        block('{"@type":"Product","name":"x","offers":{"o":{"sku":"HED111"},"o":{"k":"-"},"z":"HED222"}}'), ("HED222", "x", "HED222")),
+    "equal keys of different objects": (
+        block('{"@type":"Product","name":"x","offers":[{"sku":"-"},{"sku":"HED111"},{"sku":"HED222"}]}'), ("HED111", "x", "HED111")),
+    "repeated key spelt differently": (
+        block('{"@type":"Product","name":"x","offers":{"sku":"HED111","s\\u006bu":"HED222"}}'), ("HED222", "x", "HED222")),
+    "repeated type and name": (
+        block('{"@type":"Thing","@type":"Product","name":"x","name":"y","sku":"HED111"}'), ("HED111", "y", "HED111")),
+    "repeated graph": (
+        block('{"@graph":[{"@type":"Product","name":"old"}],"@graph":[{"@type":"Product","name":"new"}]}'), (None, "new", "")),
+    "NaN inside text stays": (
+        block('{"@type":"Product","name":"a, NaN, b","price":NaN}'), (None, "a, NaN, b", "")),
+    "odd and plain blocks together": (
+        block(product(name="first", sku="HED555")) + block('{"@type":"Product","sku":"HED1","sku":"HED666"}'), ("HED555", "first", "HED555")),
+    "colon in text, key-like text": (
+        block('{"@type":"Product","name":"\\"sku\\": \\"HED111\\"","offers":{"sku":"x:"},"id":"HED222"}'), ("HED222", '"sku": "HED111"', "HED222")),
     "not a number, infinity": (
         block('{"@type":"Product","name":"n","price":NaN,"low":-Infinity,"all":[Infinity, NaN],"sku":"HED300"}'), ("HED300", "n", "HED300")),
     "nothing": ("<p></p>", (None, None, "")),
@@ -91,6 +114,23 @@ def test_page(found, name):
     assert (r["hed_id"], r["product_name"], r["category_path"]) == CASES[name][1]
 
 
+@pytest.mark.parametrize("setting", ["true", "false"])
+def test_pages_do_not_depend_on_the_session(spark, pages, setting):
+    """Neither on whether Spark allows repeated keys nor on who made the session."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.variant.allowDuplicateKeys", setting)
+    again = other.createDataFrame([(r["url"], r["html"]) for r in pages.collect()], "url string, html string")
+    got = {r["url"]: (r["hed_id"], r["product_name"], r["category_path"]) for r in page_metadata(again).collect()}
+    assert got == {name: expected for name, (_, expected) in CASES.items()}
+
+
+def test_plain_pages_skip_python(spark):
+    """Only arrays with an odd block are handed over."""
+    texts = [['{"a": {"b": 1}, "c": [{"b": 2}]}', ""], [' {"a":1}'.strip()], ['{"a":1,"a":2}', '{"b":NaN}', '{"c":', '{"d": 1}']]
+    df = spark.createDataFrame([(t,) for t in texts], "blocks array<string>").select(plain_json(F.col("blocks")).alias("b"))
+    assert [r["b"] for r in df.collect()] == [texts[0], texts[1], ['{"a": 2}', '{"b": null}', None, '{"d": 1}']]
+
+
 def test_long_values(spark):
     """Long strings, many escapes and long runs of blanks neither overflow nor crawl."""
     long = 'a\\"b ' * 100_000
