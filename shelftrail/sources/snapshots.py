@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import csv
 import re
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -17,7 +18,7 @@ SOURCE_PATH = "source_path"
 UNIT_PATTERN = r"^(.*?\d{4}_\d{2}_\d{2}[^/]*)"
 
 
-def _listing(spark: SparkSession, path: str) -> DataFrame:
+def _listing(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(path)
@@ -35,11 +36,6 @@ def snapshot_files(spark: SparkSession, path: str) -> DataFrame:
     return _listing(listing, path).select(F.col("_metadata.file_path").alias(SOURCE_PATH), "modificationTime")
 
 
-def snapshot_paths(spark: SparkSession, path: str) -> list[str]:
-    """The same files as paths to read from, taken from the file index without a job."""
-    return [unquote(file) for file in _listing(spark, path).inputFiles()]
-
-
 def _literal(path: str) -> str:
     """A path in which no character is taken for a wildcard."""
     return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
@@ -63,25 +59,31 @@ def _csv(spark: SparkSession, multi_line: bool):
     )
 
 
-def file_headers(spark: SparkSession, files: list[str]) -> list[tuple[str, str]]:
-    """(path, first line) of every file that has one, all read in one distributed pass.
+#: Files whose heads are read at the same time.
+_OPEN = 32
+
 
-    The file's first block has its first line, and lines are numbered in order within a
-    block, so the line of the smallest number is the header.
+def file_headers(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, str]]:
+    """(URI, first line) of every CSV file that has a line, below a folder or in a list.
+
+    Only the head of a file is read, one buffer as a rule, through the same file system as
+    Spark's readers; none of those can stop early in every file. That is one short read per
+    file by threads of the driver, whose file index has an entry per file in any case.
     """
-    lines = spark.read.text([_literal(f) for f in files]).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
-    )
-    first = (
-        lines.where(F.col("start") == 0).withColumn("line", F.monotonically_increasing_id())
-        .groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    )
-    return [(unquote(r["path"]), r["header"]) for r in first.collect()]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
 
+    def head(uri: str) -> tuple[str, str | None]:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(path.getFileSystem(conf).open(path), "UTF-8"))
+        try:
+            return uri, reader.readLine()
+        finally:
+            reader.close()
 
-def _columns(header: str) -> tuple[str, ...]:
-    """Column names of a header line, without a byte order mark."""
-    return tuple(next(csv.reader([header.lstrip("\ufeff")]), ()))
+    with ThreadPoolExecutor(_OPEN) as pool:
+        heads = list(pool.map(head, sorted(_listing(spark, paths).inputFiles())))
+    # As rows have it in _metadata.file_path: one slash where a URI names no host.
+    return [(re.sub("^([^:/]+):///", r"\1:/", uri), line) for uri, line in heads if line is not None]
 
 
 def _unit_name(path: str) -> str:
@@ -89,78 +91,121 @@ def _unit_name(path: str) -> str:
     return dated.group(1) if dated else path
 
 
-def header_groups(spark: SparkSession, path: str, files: list[str] | None = None) -> dict[tuple[str, ...], list[str]]:
-    """File paths by header line; Spark applies one header to a whole CSV read.
+def _columns(header: str) -> tuple[str, ...]:
+    """Column names of a header line, without a byte order mark."""
+    return tuple(next(csv.reader([header.lstrip("\ufeff")]), ()))
+
+
+@dataclass
+class Layouts:
+    """`files`: (URI, layout) of each file with a header; `columns`: the names of each layout, by number."""
+
+    files: list[tuple[str, int]]
+    columns: list[tuple[str, ...]]
 
-    `files` limits this to some files below `path`. The part files of a snapshot must
-    agree on their header.
+
+def layouts(spark: SparkSession, paths: str | list[str]) -> Layouts:
+    """The layouts of the CSV files below a folder, or of a list of files.
+
+    The part files of a snapshot must agree on their header.
     """
-    files = snapshot_paths(spark, path) if files is None else files
-    groups: dict[tuple[str, ...], list[str]] = {}
-    units: dict[str, tuple[str, ...]] = {}
-    for file, line in sorted(file_headers(spark, files)) if files else ():
-        header = _columns(line)
-        if header and units.setdefault(_unit_name(file), header) != header:
-            raise ValueError(f"the header of {file} differs from that of its snapshot")
-        if header:
-            groups.setdefault(header, []).append(file)
+    heads = [(uri, _columns(line)) for uri, line in file_headers(spark, paths)]
+    columns = sorted({names for _, names in heads if names})
+    numbers, units, files = {names: i for i, names in enumerate(columns)}, {}, []
+    for uri, names in heads:
+        if names:
+            if units.setdefault(_unit_name(uri), names) != names:
+                raise ValueError(f"the header of {unquote(uri)} differs from that of its snapshot")
+            files.append((uri, numbers[names]))
+    return Layouts(files, columns)
+
+
+def header_groups(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """File paths by header."""
+    found, groups = layouts(spark, path), {}
+    for uri, number in found.files:
+        groups.setdefault(found.columns[number], []).append(unquote(uri))
     return groups
 
 
-def read_group(
-    spark: SparkSession, header: tuple[str, ...], files: list[str], multi_line: bool = False
-) -> DataFrame:
-    """Files sharing one header, all cells as text, with the path of each row's file.
+def _cells(spark: SparkSession, paths: str | list[str], found: Layouts, multi_line: bool) -> DataFrame:
+    """All rows of all layouts in one scan: cells c0, c1, ... as text, SOURCE_PATH and layout.
 
-    A file whose header differs after all fails the read.
+    A file whose header nobody has read fails the scan. Files and their layouts are a table of
+    two short columns, which Spark sends to every task as long as its size allows.
     """
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = _csv(spark, multi_line).option("enforceSchema", False).schema(schema).csv([_literal(f) for f in files])
-    return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+    width = max(map(len, found.columns), default=0)
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    files = spark.createDataFrame(found.files, f"{SOURCE_PATH} string, layout int")
+    rows = (
+        _csv(spark, multi_line).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).schema(schema).csv(paths)
+        .select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
+    )
+    unknown = F.raise_error(F.concat(F.lit("no header was read for "), F.col(SOURCE_PATH))).cast("int")
+    return rows.join(files, SOURCE_PATH, "left").withColumn("layout", F.coalesce("layout", unknown))
+
+
+def _by_layout(values: list[Column | None]) -> Column:
+    """The value that belongs to a row's layout; NULL for layouts without one."""
+    out = F.lit(None)
+    for number, value in enumerate(values):
+        if value is not None:
+            out = F.when(F.col("layout") == number, value).otherwise(out)
+    return out
 
 
 def read_by_name(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All snapshots, columns matched by header, absent ones NULL. Cells stay text."""
-    groups = header_groups(spark, path)
-    if not groups:
+    """All snapshots, columns matched by header, absent ones NULL. Cells stay text.
+
+    Names that differ in case only are one column; of a name given twice in a header the first counts.
+    """
+    found = layouts(spark, path)
+    if not found.columns:
         raise FileNotFoundError(f"no CSV with a header below {path}")
-    frames = [read_group(spark, header, files, multi_line) for header, files in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    names: dict[str, str] = {}
+    for columns in found.columns:
+        for name in columns:
+            names.setdefault(name.lower(), name)
+    places = [{name.lower(): i for i, name in reversed(list(enumerate(columns)))} for columns in found.columns]
+    cells = _cells(spark, path, found, multi_line)
+    return cells.select(
+        *[_by_layout([F.col(f"c{at[key]}") if key in at else None for at in places]).cast("string").alias(name) for key, name in names.items()],
+        SOURCE_PATH,
+    )
 
 
-def resolve(df: DataFrame, aliases: list[str], numeric: bool = False) -> Column:
-    """First known value among the aliases that `df` has; typed NULL if it has none."""
-    present = {c.lower(): c for c in reversed(df.columns)}
-    names = dict.fromkeys(present[a.lower()] for a in aliases if a.lower() in present)
-    columns = [F.col("`" + n.replace("`", "``") + "`") for n in names]
+def resolve(columns: tuple[str, ...], aliases: list[str], numeric: bool = False) -> Column | None:
+    """First known value among the cells whose names are aliases; None if a layout has none."""
+    places: dict[str, int] = {}
+    for i, name in enumerate(columns):
+        places.setdefault(name.lower(), i)
+    cells = [F.col(f"c{places[a]}") for a in dict.fromkeys(a.lower() for a in aliases) if a in places]
     if numeric:
-        columns = [to_number(c) for c in columns]
-    return F.coalesce(*columns) if columns else F.lit(None).cast("double" if numeric else "string")
-
-
-def canonical_by_name(raw: DataFrame) -> DataFrame:
-    """Canonical rows from columns found by any of their known headers."""
-    columns = [
-        resolve(raw, aliases, name in NUMERIC_COLUMNS).alias(name)
-        for name, aliases in HEADER_ALIASES.items()
-    ]
-    return raw.select(*columns, file_date(F.col(SOURCE_PATH)).alias("import_date")).select(
-        *CANONICAL_COLUMNS
-    )
+        cells = [to_number(c) for c in cells]
+    return F.coalesce(*cells) if cells else None
 
 
 def stocks_by_name(
     spark: SparkSession, path: str, multi_line: bool = False, files: list[str] | None = None
 ) -> DataFrame:
-    """Canonical table of all snapshots, whatever their column order.
+    """Canonical table of all snapshots (or of some files), whatever their column order.
 
-    Each header group is brought into canonical form by itself, so that only the
-    columns it has are parsed, and the groups are then put together.
+    One scan reads all layouts; which cell holds a column depends on the row's file.
     """
-    groups = header_groups(spark, path, files)
-    frames = [canonical_by_name(read_group(spark, h, files, multi_line)) for h, files in groups.items()]
-    empty = spark.createDataFrame([], CANONICAL)
-    return reduce(DataFrame.unionByName, frames) if frames else empty
+    if files is not None and not files:
+        return spark.createDataFrame([], CANONICAL)
+    paths = path if files is None else [_literal(f) for f in files]
+    found = layouts(spark, paths)
+    if not found.columns:
+        return spark.createDataFrame([], CANONICAL)
+    types = {f.name: f.dataType for f in CANONICAL}
+    columns = [
+        _by_layout([resolve(c, aliases, name in NUMERIC_COLUMNS) for c in found.columns]).cast(types[name]).alias(name)
+        for name, aliases in HEADER_ALIASES.items()
+    ]
+    return _cells(spark, paths, found, multi_line).select(
+        *columns, file_date(F.col(SOURCE_PATH)).alias("import_date")
+    ).select(*CANONICAL_COLUMNS)
 
 
 def read_positional(spark: SparkSession, path: str | list[str], escape: str = '"') -> DataFrame:

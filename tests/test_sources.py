@@ -158,16 +158,48 @@ def test_new_files_in_folders(spark, tmp_path):
     assert [r["file_name"] for r in fresh.collect()] == ["full_2024_01_21.csv/part-0.csv"]
 
 
-def test_headers_are_read_in_one_pass(spark, tmp_path):
+def test_headers_need_no_job(spark, tmp_path):
     for day in range(1, 29):
         put(tmp_path / "l", f"s_2024_02_{day:02d}.csv", (OLD if day % 2 else NEW))
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("headers", "")
     assert len(snapshots.header_groups(spark, str(tmp_path / "l"))) == 2
-    assert len(tracker.getJobIdsForGroup("headers")) <= 3
+    assert len(tracker.getJobIdsForGroup("headers")) == 0
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_headers_cost_the_same_for_any_file_size(spark, tmp_path):
+    """Bytes read from the file system, as Hadoop counts them."""
+    def read(rows):
+        folder = put(tmp_path / str(rows), "s_2024_02_01.csv", NEW + "A,t,,s,,d,FR,Whisky,1,2,1,u\n" * rows)
+        stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+        before = stats.getLong("bytesRead")
+        snapshots.file_headers(spark, folder)
+        return stats.getLong("bytesRead") - before
+
+    read(10)
+    small, large = read(30_000), read(1_000_000)
+    assert large == small
+
+
+def test_all_layouts_in_one_scan(spark, tmp_path):
+    for day in range(1, 6):
+        header = ",".join(["Code", "Title", *[f"Extra{i}" for i in range(day)], "Available"])
+        put(tmp_path / "l", f"s_2024_02_{day:02d}.csv", f"{header}\nA{day},t,{'x,' * day}{day}\n")
+    stocks = snapshots.stocks_by_name(spark, str(tmp_path / "l"))
+    assert stocks._jdf.queryExecution().sparkPlan().toString().count("FileScan csv") == 1
+    assert {r["code"]: r["availability"] for r in stocks.collect()} == {f"A{d}": str(d) for d in range(1, 6)}
+    assert snapshots.stocks_by_name(spark, str(tmp_path / "l"), files=[]).count() == 0
+
+
+def test_a_file_without_a_known_header_fails(spark, tmp_path):
+    folder = put(tmp_path / "l", "s_2024_02_01.csv", OLD + "A,t,s,d,FR,Whisky,1,1\n")
+    found = snapshots.layouts(spark, folder)
+    put(tmp_path / "l", "s_2024_02_02.csv", OLD + "B,t,s,d,FR,Whisky,1,1\n")
+    with pytest.raises(Exception, match="no header was read"):
+        snapshots._cells(spark, folder, found, False).collect()
+
+
 def test_emptied_day(spark, tmp_path):
     path, day = str(tmp_path / "t"), date(2024, 1, 2)
     rows = spark.createDataFrame([("A", date(2024, 1, 1)), ("B", day), ("B", day)], "code string, import_date date")
