@@ -23,8 +23,8 @@ from shelftrail.llm.tables import Scratch, written
 
 #: Groups per cell of the order, about, and hexadecimal digits by which cells are gathered.
 CELL, DIGITS = 4096, 3
-#: Running sizes that the driver reads in one look, about.
-POINTS = 32_768
+#: Running sizes that the driver reads in one look, about, and gaps between known ones that a look fills.
+POINTS, GAPS = 32_768, 64
 
 _SUMS = ["bytes", "rows", "groups"]
 
@@ -98,20 +98,15 @@ class Fill:
                 low = middle + 1
         return low
 
-    def brackets(self) -> tuple[int, list[tuple[int, int]]]:
-        """A capacity that is enough, and the ranges of group numbers, both ends known, in which unknown cuts may lie."""
+    def gaps(self) -> tuple[int, list[tuple[int, int]]]:
+        """A capacity that is enough, and the pairs of known group numbers between which unknown cuts may matter."""
         enough, needed = self.smallest(self.least), self.smallest(self.most)
-        out = []
+        out = set()
         for low, high in zip(self.least(needed), self.most(enough)):
-            a = bisect_right(self.ends, low) - 1
-            b = min(bisect_left(self.ends, high), len(self.ends) - 1)
-            while a < b and self.numbers[a + 1] == self.numbers[a] + 1:
-                a += 1
-            while a < b and self.numbers[b - 1] == self.numbers[b] - 1:
-                b -= 1
-            if a < b:
-                out.append((self.numbers[a], self.numbers[b]))
-        return enough, sorted(set(out))
+            first = bisect_right(self.ends, low) - 1
+            last = min(bisect_left(self.ends, high), len(self.ends) - 1)
+            out.update((self.numbers[i], self.numbers[i + 1]) for i in range(first, last) if self.numbers[i + 1] > self.numbers[i] + 1)
+        return enough, sorted(out)
 
 
 def capacity_and_cuts(sums: DataFrame, shards: int, points: int = POINTS) -> tuple[int, list[tuple[str, int]]]:
@@ -126,9 +121,10 @@ def capacity_and_cuts(sums: DataFrame, shards: int, points: int = POINTS) -> tup
     known, found = {0: 0, last[0]: last[1]}, {}
     while True:
         fill = Fill(known, shards)
-        capacity, open_ = fill.brackets()
+        capacity, open_ = fill.gaps()
         if not open_:
             break
+        open_ = sorted(open_, key=lambda g: g[0] - g[1])[:GAPS]
         per = max(2, points // len(open_))
         wanted = F.lit(False)
         for a, b in open_:
