@@ -118,8 +118,8 @@ QUERIES = {
     "op13_sharding": op13_sharding,
 }
 
-def _packing_sql(buckets: int = 8, bins: int = 2048, budget: int = 32768) -> str:
-    """The dynamic program as one CTE per bucket: c<k>(j, cost, came) over bins 0..j."""
+def _packing_sql(buckets: int = 8, budget: int = 32768) -> str:
+    """The dynamic program as one CTE per bucket: c<k>(j, cost, came) over the distinct lengths 0..j."""
     levels = ["""c1 AS (SELECT j, ends * rows - tokens AS cost, 0 AS came FROM h)"""]
     for k in range(2, buckets + 1):
         levels.append(f"""
@@ -134,9 +134,9 @@ def _packing_sql(buckets: int = 8, bins: int = 2048, budget: int = 32768) -> str
     ends = " UNION ".join(f"SELECT j FROM e{k}" for k in range(1, buckets + 1))
     return f"""
         WITH d AS (SELECT doc_id, CAST(len({_WORDS}) AS BIGINT) AS n_tokens FROM documents),
-        g AS (SELECT count(*) AS n, coalesce(max(n_tokens), 0) AS widest, greatest(1, (count(*) + 49999) // 50000) AS slices FROM d),
-        i AS (SELECT n_tokens // greatest(1, (widest + {bins}) // {bins}) AS bin, max(n_tokens) AS ends, count(*) AS rows, sum(n_tokens) AS tokens FROM d, g GROUP BY 1),
-        h AS (SELECT row_number() OVER w AS j, ends, sum(rows) OVER w AS rows, sum(tokens) OVER w AS tokens FROM i WINDOW w AS (ORDER BY bin)),
+        g AS (SELECT greatest(1, (count(*) + 49999) // 50000) AS slices FROM d),
+        i AS (SELECT n_tokens AS ends, count(*) AS rows, sum(n_tokens) AS tokens FROM d GROUP BY 1),
+        h AS (SELECT row_number() OVER w AS j, ends, sum(rows) OVER w AS rows, sum(tokens) OVER w AS tokens FROM i WINDOW w AS (ORDER BY ends)),
         {",".join(levels)}, {", ".join(walk)},
         b AS (SELECT row_number() OVER (ORDER BY ends) - 1 AS bucket, ends AS boundary FROM ({ends}) JOIN h USING (j)),
         p AS (SELECT doc_id, n_tokens, min(bucket) AS bucket, min(boundary) AS boundary, any_value(doc_id % slices) AS slice
