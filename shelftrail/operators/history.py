@@ -8,12 +8,12 @@ from shelftrail.functions.dates import day
 from shelftrail.operators.medians import group_medians
 
 
-def daily_prices(products: DataFrame, median: str = "exact") -> DataFrame:
-    """One row per (code, import_date): median price, highest price, rows."""
-    return group_medians(products, ["code", "import_date"], "price_gbp", median)
+def daily_prices(products: DataFrame, median: str = "exact", hot: DataFrame | None = None) -> DataFrame:
+    """One row per (code, import_date): median price, highest price, rows. `hot` lists hot codes."""
+    return group_medians(products, ["code", "import_date"], "price_gbp", median, hot=hot)
 
 
-def code_history(products: DataFrame, median: str = "exact", until=None) -> DataFrame:
+def code_history(products: DataFrame, median: str = "exact", until=None, hot: DataFrame | None = None) -> DataFrame:
     """One row per code: price_changes_count and max_price, from a single scan.
 
     All dates count, also those after the day being reported on, unless `until` ends
@@ -24,7 +24,7 @@ def code_history(products: DataFrame, median: str = "exact", until=None) -> Data
     # A code has one row per calendar day by now, so all of them may meet in one task:
     # one shuffle on the code serves both groupings.
     return (
-        daily_prices(products, median).repartition("code")
+        daily_prices(products, median, hot).repartition("code")
         .groupBy("code", "median").agg(F.max("highest").alias("highest"))
         .groupBy("code").agg(
             F.count("median").alias("price_changes_count"), F.max("highest").alias("max_price")
@@ -32,8 +32,8 @@ def code_history(products: DataFrame, median: str = "exact", until=None) -> Data
     )
 
 
-def price_changes(products: DataFrame, median: str = "exact") -> DataFrame:
-    return code_history(products, median).select("code", "price_changes_count")
+def price_changes(products: DataFrame, median: str = "exact", hot: DataFrame | None = None) -> DataFrame:
+    return code_history(products, median, hot=hot).select("code", "price_changes_count")
 
 
 def max_prices(products: DataFrame, key: str = "code", until=None) -> DataFrame:

@@ -51,14 +51,16 @@ def exact_median(
     value: str,
     sums: dict[str, Column] | None = None,
     large_groups: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """One row per group: keys, `median`, `highest`, `row_count` and the given sums.
 
     The median is that of the known values, interpolated. Ordinary groups are shuffled
     once, and the middle is found by running counts in value order, which sort and spill
     instead of holding a group in memory. Groups with more rows than one reducer should
-    carry are found by counting the first key, and the whole key only where the first is
-    frequent; they go through `_median_by_bracket`, and without any AQE drops that branch.
+    carry are found by counting the first key (or are among the frequent ones listed in
+    `hot`, see `hot_keys`), and the whole key only where the first is frequent. They go
+    through `_median_by_bracket`; without any, that branch isn't planned at all.
     `large_groups` is for one group per calendar day at most, each a large part of the
     table: all go through that branch.
     """
@@ -68,25 +70,34 @@ def exact_median(
     )
     if large_groups:
         return _median_by_bracket(rows, keys, list(sums), bounded=True)
+    first = hot_keys(df, keys[0]) if hot is None else hot
+    if first.isEmpty():
+        return _median_in_order(rows, keys, list(sums))
     names = [f"__key_{k}" for k in keys]
-    first = hot_keys(df, keys[0])
     frequent = first.select(F.col(keys[0]).alias(names[0]))
     of_frequent = rows.join(frequent, _same(keys[:1], names[:1]), "left_semi")
     # Fewer than shuffle partitions, as the first keys are; see hot_keys.
-    hot = hot_keys(of_frequent, *keys).select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-    ordinary = rows.join(hot, _same(keys, names), "left_anti").withColumn(
-        "__valid", F.col("__value").isNotNull().cast("int")
+    large = hot_keys(of_frequent, *keys)
+    if large.isEmpty():
+        return _median_in_order(rows, keys, list(sums))
+    large = large.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+    ordinary, of_large = (rows.join(large, _same(keys, names), how) for how in ("left_anti", "left_semi"))
+    return _median_in_order(ordinary, keys, list(sums)).unionByName(
+        _median_by_bracket(of_large, keys, list(sums), spread_join.SHARE is None)
     )
-    per_group = _running(ordinary, keys, "__value").groupBy(*keys).agg(
+
+
+def _median_in_order(rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """`exact_median` with one shuffle of all rows, each group put in order."""
+    known = rows.withColumn("__valid", F.col("__value").isNotNull().cast("int"))
+    per_group = _running(known, keys, "__value").groupBy(*keys).agg(
         F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
         F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
         F.max("__value").alias("highest"),
         F.count(F.lit(1)).alias("row_count"),
         *[F.sum(n).alias(n) for n in sums],
     )
-    per_group = per_group.select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
-    large = _median_by_bracket(rows.join(hot, _same(keys, names), "left_semi"), keys, list(sums), spread_join.SHARE is None)
-    return per_group.unionByName(large)
+    return per_group.select(*keys, _middle().alias("median"), "highest", "row_count", *sums)
 
 
 def _median_by_bracket(rows: DataFrame, keys: list[str], sums: list[str], bounded: bool) -> DataFrame:
@@ -147,9 +158,10 @@ def group_medians(
     method: str = "exact",
     sums: dict[str, Column] | None = None,
     large_groups: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     if method == "exact":
-        return exact_median(df, keys, value, sums, large_groups)
+        return exact_median(df, keys, value, sums, large_groups, hot)
     if method == "approx":
         return approximate_median(df, keys, value, sums)
     raise ValueError(f"median must be 'exact' or 'approx', not {method!r}")

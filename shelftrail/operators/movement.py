@@ -58,9 +58,9 @@ def _sold(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _changes(products: DataFrame, median: str, history: DataFrame | None) -> DataFrame:
+def _changes(products: DataFrame, median: str, history: DataFrame | None, hot: DataFrame | None = None) -> DataFrame:
     if history is None:
-        return price_changes(products, median)
+        return price_changes(products, median, hot)
     return history.select("code", "price_changes_count")
 
 
@@ -93,17 +93,17 @@ def units_sold_all(
         merge_hot_copies(earlier, "code", hot, "earlier_copies"), _later(products, units),
         ["code", "target_date"], "left" if count_vanished else "inner", hot,
     )
-    counted = spread_join(_sold(pairs), _changes(products, median, history), ["code"], "left", hot)
+    counted = spread_join(_sold(pairs), _changes(products, median, history, hot), ["code"], "left", hot)
     listed = counted.orderBy(
         F.col("import_date").desc_nulls_last(), F.col("price_gbp").desc_nulls_last(), *_TIES
     )
     return repeat_rows(listed) if as_rows else listed
 
 
-def _day_pairs(products: DataFrame, as_of, how: str, units: Column) -> DataFrame:
+def _day_pairs(products: DataFrame, as_of, how: str, units: Column, hot: DataFrame | None = None) -> DataFrame:
     earlier = _earlier(on_day(products, as_of, days_before=1), units).drop("target_date")
     later = _later(on_day(products, as_of), units).drop("target_date")
-    pairs = _match(with_copies(earlier, "earlier_copies"), later, ["code"], how)
+    pairs = _match(with_copies(earlier, "earlier_copies"), later, ["code"], how, hot)
     return pairs.withColumn("target_date", day(as_of))
 
 
@@ -123,9 +123,9 @@ def units_sold_by_date(
     """
     as_of = as_date(as_of)
     how = "left" if count_vanished else "inner"
-    sold = _sold(_day_pairs(products, as_of, how, _units("availability", strict)))
+    hot = hot_keys(on_day(products, as_of, days_before=1), "code")
+    sold = _sold(_day_pairs(products, as_of, how, _units("availability", strict), hot))
     if with_counts:
-        hot = hot_keys(on_day(products, as_of, days_before=1), "code")
         sold = spread_join(sold, _changes(products, median, history), ["code"], "left", hot)
     return repeat_rows(sold.orderBy(F.col("price_gbp").desc_nulls_last(), *_TIES))
 

@@ -19,9 +19,12 @@ def _partitions(df: DataFrame) -> int:
 def hot_keys(rows: DataFrame, *keys: str, share: int | None = None) -> DataFrame:
     """The keys with more rows than one reducer should carry, and `__splits`, how many should.
 
-    With an even share as the bar there are fewer such keys than shuffle partitions,
-    whatever the volume, so the list may be sent to every task. A `share` in rows gives no
-    such bound, and Spark then joins the list as its size demands. NULL may be among them.
+    They are counted when this is called, in one scan of the keys, so that without any
+    (`hot.isEmpty()`) callers can plan as if there were no such thing. With an even share as
+    the bar there are fewer such keys than shuffle partitions, whatever the volume, so the
+    list may come to the driver and be sent to every task. A `share` in rows gives no such
+    bound; the list then stays a query that Spark joins as its size demands. NULL may be
+    among the keys. A list of other rows than those joined is only less balanced.
     """
     share = SHARE if share is None else share
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
@@ -31,7 +34,9 @@ def hot_keys(rows: DataFrame, *keys: str, share: int | None = None) -> DataFrame
     else:
         bar = F.lit(share)
     hot = counts.where(F.col("__rows") > bar).select(*keys, F.ceil(F.col("__rows") / bar).cast("int").alias("__splits"))
-    return F.broadcast(hot) if share is None else hot
+    if share is not None:
+        return hot
+    return F.broadcast(rows.sparkSession.createDataFrame(hot.toArrow(), hot.schema))
 
 
 def spread_join(
@@ -48,6 +53,9 @@ def spread_join(
     """
     key = keys[0]
     hot = hot_keys(rows, key) if hot is None else hot
+    added = [] if how in ("left_semi", "left_anti") else [c for c in other.columns if c not in keys]
+    if hot.isEmpty():
+        return rows.join(other, keys, how).select(*rows.columns, *added)
     # Salts hash to reducers unevenly; more of them even that out. With a single key the
     # other side has few rows per key, which are cheap to repeat.
     more = 4 if len(keys) == 1 else 1
@@ -56,7 +64,6 @@ def spread_join(
     salted = rows.join(hot, key, "left").withColumn(_SALT, salt.cast("int"))
     salts = F.sequence(F.lit(0), F.coalesce(F.col("__splits") * more, F.lit(1)) - 1)
     repeated = other.join(hot, key, "left").withColumn(_SALT, F.explode(salts)).drop("__splits")
-    added = [] if how in ("left_semi", "left_anti") else [c for c in other.columns if c not in keys]
     return salted.join(repeated, [*keys, _SALT], how).select(*rows.columns, *added)
 
 
@@ -68,9 +75,10 @@ def with_copies(df: DataFrame, copies: str = "copies") -> DataFrame:
 def merge_hot_copies(rows: DataFrame, key: str, hot: DataFrame, copies: str = "copies") -> DataFrame:
     """`with_copies` for the rows of hot keys only; every other row counts as one.
 
-    Spares the ordinary rows a shuffle. Without hot keys AQE drops the second branch
-    before it is read.
+    Spares the ordinary rows a shuffle.
     """
+    if hot.isEmpty():
+        return rows.withColumn(copies, F.lit(1).cast("bigint"))
     few = hot.select(F.col(key).alias("__key"))
     is_hot = F.col(key).eqNullSafe(F.col("__key"))
     ordinary = rows.join(few, is_hot, "left_anti").withColumn(copies, F.lit(1).cast("bigint"))

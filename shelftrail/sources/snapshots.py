@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelftrail.functions.casts import to_number
@@ -136,7 +137,9 @@ def _cells(spark: SparkSession, paths: str | list[str], found: Layouts, multi_li
     """
     width = max(map(len, found.columns), default=0)
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    files = spark.createDataFrame(found.files, f"{SOURCE_PATH} string, layout int")
+    uris, numbers = zip(*found.files)
+    # From Arrow the table is part of the plan, so that Spark knows its size.
+    files = spark.createDataFrame(pa.table({SOURCE_PATH: pa.array(uris), "layout": pa.array(numbers, pa.int32())}))
     rows = (
         _csv(spark, multi_line).option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).schema(schema).csv(paths)
         .select("*", F.col("_metadata.file_path").alias(SOURCE_PATH))
