@@ -29,8 +29,10 @@ NEIGHBOURS, SAMPLE = 24, 12
 SETTLED = 0.02
 #: Sets of cells to start from, and the rows of a cell, about.
 CELL_SETS, CELL = 3, 400
-#: Nodes per block of a round, and queries per block of a search.
-BLOCK, QUERY_BLOCK = 3000, 64
+#: Nodes per block of a round, and queries per block of a search. Blocks are small against the
+#: nodes that one is linked to, so that a node is sent to about as many blocks at any table
+#: size (at most one per link) and the rows of a round grow as the nodes do.
+BLOCK, QUERY_BLOCK = 250, 64
 #: Nodes a query keeps in sight, and nodes it opens in a round; both are doubled until recall is reached.
 BEAM, OPENED = 400, 80
 #: Least recall, and the queries it is measured on (all if there are no more).
