@@ -21,10 +21,15 @@ def code_history(products: DataFrame, median: str = "exact", until=None, hot: Da
     """
     if until is not None:
         products = products.where(F.col("import_date") <= day(until))
+    return history_of_days(daily_prices(products, median, hot))
+
+
+def history_of_days(daily: DataFrame) -> DataFrame:
+    """`code_history` from one row per code and day (code, median, highest)."""
     # A code has one row per calendar day by now, so all of them may meet in one task:
     # one shuffle on the code serves both groupings.
     return (
-        daily_prices(products, median, hot).repartition("code")
+        daily.repartition("code")
         .groupBy("code", "median").agg(F.max("highest").alias("highest"))
         .groupBy("code").agg(
             F.count("median").alias("price_changes_count"), F.max("highest").alias("max_price")

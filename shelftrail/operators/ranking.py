@@ -44,6 +44,15 @@ def new_lows(products: DataFrame, as_of=None) -> DataFrame:
         F.max(F.when(F.col("price_rank") == 1, columns)).alias("now"),
         F.max(F.when(F.col("price_rank") == 2, columns)).alias("before"),
     )
+    return listed_lows(per_code, products, as_of)
+
+
+def listed_lows(per_code: DataFrame, products: DataFrame, as_of=None) -> DataFrame:
+    """The offers of `as_of` behind lows set on that day.
+
+    `per_code` has code and the price_gbp and first_date of its unique lowest price (`now`)
+    and of the one next to it (`before`).
+    """
     diff = F.col("before.price_gbp") - F.col("now.price_gbp")
     lows = per_code.where((F.col("now.first_date") == day(as_of)) & (diff > 0)).select(
         "code",

@@ -106,18 +106,21 @@ def code_series(
     median: str = "exact",
     strict: bool = False,
     contains: bool = False,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Median price and availability per day and code, with each code's price changes.
 
     `codes` limits the scan to exact codes, or with `contains` to codes in which one
-    of the texts occurs; None means all. Latest day first.
+    of the texts occurs; None means all. Latest day first. With a `state` (see
+    `operators.state`) the products aren't read.
     """
+    rows = products if state is None else state
     if codes is not None:
-        products = products.where(code_contains(codes) if contains else code_in(codes))
-    series = group_medians(
-        products, ["code", "import_date"], "price_gbp", median,
+        rows = rows.where(code_contains(codes) if contains else code_in(codes))
+    series = (rows if state is not None else group_medians(
+        rows, ["code", "import_date"], "price_gbp", median,
         sums={"total_availability": to_number("availability", strict)},
-    ).where(F.col("code").isNotNull())
+    )).where(F.col("code").isNotNull())
     # A code has one row per day here. The distinct medians of a code are the ranks
     # without gaps that its known medians take.
     by_price = Window.partitionBy("code").orderBy(F.col("median").asc_nulls_last())

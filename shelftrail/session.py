@@ -66,6 +66,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(target)) if files.exists(target) else []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 

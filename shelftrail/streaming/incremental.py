@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -28,7 +29,8 @@ def newest_files(spark: SparkSession, landing: str, days: list) -> list[str]:
 
 
 def ingest_new_snapshots(
-    spark: SparkSession, landing: str, table: str, checkpoint: str, layout: str = "by_name"
+    spark: SparkSession, landing: str, table: str, checkpoint: str, layout: str = "by_name",
+    on_days: Callable[[SparkSession, list], None] | None = None,
 ) -> StreamingQuery:
     """Load the files that landed since the last run, then stop.
 
@@ -36,7 +38,8 @@ def ingest_new_snapshots(
     under a new name replaces the old one; of several snapshots of a day only the
     newest counts. A day's part files may arrive in different runs: for every day with
     a new file all files of its newest snapshot are read again. Rows whose file name
-    holds no date go to a folder of their own.
+    holds no date go to a folder of their own. `on_days` is called with the days just
+    replaced, again after a failure, before the run counts as done.
     """
     # A listing: without its content column no file is opened. Files without rows count too.
     stream = (
@@ -51,6 +54,8 @@ def ingest_new_snapshots(
         days = sorted({r["day"] for r in dated if r["day"]})
         if days:
             reload_days(build_stocks(session, landing, layout, newest_files(session, landing, days)), table, days)
+            if on_days is not None:
+                on_days(session, days)
         undated = sorted(unquote(r[SOURCE_PATH]) for r in dated if r["day"] is None)
         if undated:
             rows = build_stocks(session, landing, layout, undated)

@@ -253,6 +253,7 @@ ORACLES = {
     "dirty_price_ranks": _w(_RANKS).replace(_STOCKS, _DIRTY),
     # reports
     "discounted_items": _w(_DISCOUNTS),
+    "maintained_discounts": _w(_DISCOUNTS),
     "discounted_items_plain": _w(_PLAIN_DISCOUNTS),
     "discounted_items_until": _w(_discounts("DATE '2024-01-20'", plain=True, until="2024-01-20")),
     "discount_screen": _w(
@@ -275,6 +276,11 @@ ORACLES = {
     ),
     "code_series": _w(_series(where="code IN ('SKU00001', 'SKU00002', 'SKU00003')")),
     "code_series_all": _w(_series()),
+    "maintained_series": _w(_series()),
+    "maintained_new_lows": _w(_new_low("2024-01-30")),
+    "maintained_history": _w("""
+        SELECT code, count(DISTINCT middle) AS price_changes_count, max(highest) AS max_price
+        FROM (SELECT code, import_date, median(price_gbp) AS middle, max(price_gbp) AS highest FROM w GROUP BY code, import_date) GROUP BY code"""),
     "code_series_approx": _w(_series("quantile_disc(price_gbp, 0.5)")),
     "code_series_contains": _w(_series(where="lower(code) LIKE '%sku00001%' OR code LIKE '%0007%'")),
     "price_search": _w(_SEARCH),

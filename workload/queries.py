@@ -8,7 +8,7 @@ from shelftrail.functions import jsonld
 from shelftrail.functions.casts import to_number
 from shelftrail.functions.dates import day_text, file_date
 from shelftrail.functions.text import drop_literal, drop_punctuation, slug_url, strip, unescape_all
-from shelftrail.operators import filters, history, movement, quality, ranking, reshape, views
+from shelftrail.operators import filters, history, movement, quality, ranking, reshape, state, views
 from shelftrail.plans import metadata, reports
 from shelftrail.schema import CURRENT_HEADERS, LEGACY_HEADERS
 from shelftrail.session import scratch_path
@@ -99,6 +99,33 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_stocks(spark, table)
 
 
+def _maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state after two runs: the first with wrong prices on its last day, the second with all days from there."""
+    products, path = event_products(spark, sf_dir), scratch_path(spark, "state")
+    days = sorted(r[0] for r in products.select("import_date").distinct().collect())
+    wrong = reshape.set_cell(products, F.col("import_date") == F.lit(RELANDED), "price_gbp", F.col("price_gbp") / 7)
+    state.update_state(wrong, path, [d for d in days if d <= RELANDED])
+    state.update_state(products, path, [d for d in days if d >= RELANDED])
+    return state.read_state(spark, path)
+
+
+def maintained_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.history_from_state(_maintained(spark, sf_dir))
+
+
+def maintained_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.code_series(None, state=_maintained(spark, sf_dir))
+
+
+def maintained_new_lows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return state.new_lows_from_state(_maintained(spark, sf_dir), event_products(spark, sf_dir), AS_OF)
+
+
+def maintained_discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history_ = state.history_from_state(_maintained(spark, sf_dir))
+    return reports.discounted_items(event_products(spark, sf_dir), AS_OF, history=history_)
+
+
 def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the files that an earlier load of the older layout has not seen."""
     folder = land_both_layouts(spark, sf_dir)
@@ -409,6 +436,10 @@ QUERIES = {
     "today_view": _on_products(lambda w: views.today_view(w, AS_OF)),
     # history and movement
     "price_changes": _on_products(history.price_changes),
+    "maintained_history": maintained_history,
+    "maintained_series": maintained_series,
+    "maintained_new_lows": maintained_new_lows,
+    "maintained_discounts": maintained_discounts,
     "price_changes_approx": _on_products(lambda w: history.price_changes(w, "approx")),
     "units_sold_all": _on_products(lambda w: movement.units_sold_all(w, as_rows=True)),
     "units_sold_all_present": _on_products(lambda w: movement.units_sold_all(w, count_vanished=False, as_rows=True)),
