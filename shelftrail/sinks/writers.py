@@ -10,21 +10,33 @@ from shelftrail import session
 from shelftrail.functions.dates import as_date
 
 
+#: Order of rows within a day's files: a filter on a type or a code then skips most row groups and pages.
+CLUSTERED = ["import_date", "type", "code"]
+
+
+def _by_day(rows: DataFrame, mode: str, row_group_bytes: int | None = None):
+    """A writer of one folder per import_date, rows in order of CLUSTERED (as far as there are such columns)."""
+    writer = rows.sortWithinPartitions(*[c for c in CLUSTERED if c in rows.columns]).write.mode("overwrite")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    return writer.option("partitionOverwriteMode", mode).partitionBy("import_date")
+
+
 def _even_files(df: DataFrame, column: str) -> DataFrame:
     """Rows of one value together, but a value with very many rows split up (AQE)."""
     return df.hint("rebalance", F.col(column))
 
 
-def write_stocks(stocks: DataFrame, path: str, even_files: bool = False) -> None:
+def write_stocks(stocks: DataFrame, path: str, even_files: bool = False, row_group_bytes: int | None = None) -> None:
     """Create or replace the Parquet table, one folder per import_date.
 
     Snapshots come one day per file, so a plain ingest writes without a shuffle.
-    `even_files` is for input in which every task holds rows of many days.
+    `even_files` is for input in which every task holds rows of many days. Rows are sorted
+    within their task only (the day's folder needs that anyway), so that what a reader
+    filters by type or code lies together; `row_group_bytes` sets how finely it may skip.
     """
     rows = _even_files(stocks, "import_date") if even_files else stocks
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        "import_date"
-    ).parquet(path)
+    _by_day(rows, "static", row_group_bytes).parquet(path)
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -36,6 +48,18 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
+def save_bucketed(stocks: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
+    """Create or replace a catalogue table with all rows of a code in the same bucket.
+
+    Read with `tables.read_bucketed`, day-over-day joins and groupings by code need no
+    shuffle. A code is in one bucket with all its days, so this suits tables without hot
+    codes; with hot ones the joins spread them, which shuffles. Files go to the warehouse, or to
+    `path`.
+    """
+    writer = stocks.repartition(buckets, "code").write.mode("overwrite").bucketBy(buckets, "code").sortBy("code", "import_date")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
 def append_rows(df: DataFrame, path: str, by_day: bool = True) -> None:
     writer = df.write.mode("append")
     (writer.partitionBy("import_date") if by_day else writer).parquet(path)
@@ -56,9 +80,7 @@ def reload_days(stocks: DataFrame, path: str, days: Iterable | None = None) -> N
         if not present <= emptied:
             raise ValueError(f"rows of days that aren't reloaded: {sorted(map(str, present - emptied))}")
         emptied -= present
-    stocks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "import_date"
-    ).parquet(path)
+    _by_day(stocks, "dynamic").parquet(path)
     for empty_day in emptied if days is not None else ():
         session.delete_path(stocks.sparkSession, f"{path.rstrip('/')}/import_date={empty_day.isoformat()}")
 

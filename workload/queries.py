@@ -126,6 +126,21 @@ def maintained_discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.discounted_items(event_products(spark, sf_dir), AS_OF, history=history_)
 
 
+def units_sold_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a table bucketed by code, without a shuffle for the joins."""
+    path = scratch_path(spark, "bucketed")
+    name = path.rpartition("/")[2].replace("-", "_")
+    writers.save_bucketed(event_products(spark, sf_dir), name, 8, path)
+    return movement.units_sold_all(tables.read_bucketed(spark, name))
+
+
+def clustered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product view of a table written in order of type and code, in small row groups."""
+    path = scratch_path(spark, "clustered")
+    writers.write_stocks(event_stocks(spark, sf_dir), path, even_files=True, row_group_bytes=1 << 16)
+    return views.product_view(tables.read_stocks(spark, path), PRODUCT_TYPE)
+
+
 def new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the files that an earlier load of the older layout has not seen."""
     folder = land_both_layouts(spark, sf_dir)
@@ -436,6 +451,8 @@ QUERIES = {
     "today_view": _on_products(lambda w: views.today_view(w, AS_OF)),
     # history and movement
     "price_changes": _on_products(history.price_changes),
+    "units_sold_bucketed": units_sold_bucketed,
+    "clustered_view": clustered_view,
     "maintained_history": maintained_history,
     "maintained_series": maintained_series,
     "maintained_new_lows": maintained_new_lows,
