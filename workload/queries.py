@@ -131,7 +131,7 @@ def units_sold_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bucketed")
     name = path.rpartition("/")[2].replace("-", "_")
     writers.save_bucketed(event_products(spark, sf_dir), name, 8, path)
-    return movement.units_sold_all(tables.read_bucketed(spark, name))
+    return movement.units_sold_all(tables.read_bucketed(spark, name), as_rows=True)
 
 
 def clustered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
