@@ -13,6 +13,7 @@ from shelftrail.operators.movement import units_sold_by_date
 from shelftrail.operators.state import build_state, history_from_state, read_state, update_state
 from shelftrail.operators.views import product_view, register_views
 from shelftrail.plans.reports import discount_alert, discounted_items
+from shelftrail.sinks import versions
 from shelftrail.sinks.writers import write_csv, write_dated_csv
 from shelftrail.sources.tables import read_stocks
 from shelftrail.streaming.incremental import ingest_new_snapshots
@@ -35,6 +36,8 @@ def run_day(
             type_, _, how = known.rpartition("+")
             update_state(product_view(read_stocks(session_, table), unquote(type_)), f"{states}/{known}", days, how)
 
+    if not session.folder_names(spark, table):
+        versions.create(spark, table)
     ingest_new_snapshots(spark, landing, table, f"{lake}/ingest_checkpoint", on_days=refresh)
     stocks = read_stocks(spark, table)
     register_views(spark, stocks, product_type, as_of)

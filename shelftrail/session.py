@@ -50,9 +50,13 @@ def _scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/shelftrail/{spark.sparkContext.applicationId}"
 
 
+def unused_name() -> str:
+    return uuid.uuid4().hex
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet inside the shared folder."""
-    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch(spark)}/{name}-{unused_name()}"
 
 
 def clear_scratch(spark: SparkSession) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelftrail import session
 from shelftrail.functions.dates import as_date
+from shelftrail.sinks import versions
 
 
 #: Order of rows within a day's files: a filter on a type or a code then skips most row groups and pages.
@@ -69,9 +70,17 @@ def reload_days(stocks: DataFrame, path: str, days: Iterable | None = None) -> N
     """Replace the days that `stocks` holds; every other day stays.
 
     `days` names the days being replaced: one of them that `stocks` has no rows for
-    (any more) becomes empty, and rows of other days are an error. Days are swapped in
-    when the job commits, so a rerun after a failure is safe.
+    (any more) becomes empty, and rows of other days are an error. In a table of
+    `versions.create` all days are replaced in one step; in a plain one they are swapped in
+    one after another when the job commits, so that a rerun after a failure is safe but
+    readers may meet some days before others.
     """
+    if versions.versions(stocks.sparkSession, path):
+        if days is None:
+            stocks = session.materialize(stocks, "reload")
+            days = [r[0] for r in stocks.select("import_date").distinct().collect()]
+        versions.replace_days(stocks, path, [as_date(d) for d in days], lambda rows, folder: _by_day(rows, "static").parquet(folder))
+        return
     if days is not None:
         # Written first: the rows may come from the table itself, and are looked at twice.
         stocks = session.materialize(stocks, "reload")

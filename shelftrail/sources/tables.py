@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelftrail.schema import CANONICAL, CANONICAL_COLUMNS
+from shelftrail.sinks import versions
 
 
 def read_stocks(spark: SparkSession, path: str) -> DataFrame:
-    """The Parquet table; a filter on import_date reads only those days' folders."""
+    """The Parquet table; a filter on import_date reads only those days' folders.
+
+    Of a table of `versions.create` the latest version is read.
+    """
+    if versions.versions(spark, path):
+        return versions.read(spark, path, CANONICAL)
     return spark.read.schema(CANONICAL).parquet(path).select(*CANONICAL_COLUMNS)
 
 

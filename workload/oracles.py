@@ -232,6 +232,7 @@ ORACLES = {
         " (SELECT code, quantile_disc(price_gbp, 0.5) AS m FROM w GROUP BY code, import_date) GROUP BY code"
     ),
     "units_sold_all": _w(_units_all("LEFT")),
+    "versioned_days": _stocks("SELECT * FROM stocks WHERE import_date <> DATE '2024-01-30'"),
     "units_sold_bucketed": _w(_units_all("LEFT")),
     "clustered_view": _w("SELECT * FROM w"),
     "units_sold_all_present": _w(_units_all("INNER")),

@@ -12,7 +12,7 @@ from shelftrail.operators import filters, history, movement, quality, ranking, r
 from shelftrail.plans import metadata, reports
 from shelftrail.schema import CURRENT_HEADERS, LEGACY_HEADERS
 from shelftrail.session import scratch_path
-from shelftrail.sinks import writers
+from shelftrail.sinks import versions, writers
 from shelftrail.sources import snapshots, tables
 from shelftrail.streaming import incremental
 from workload.fixtures import (
@@ -126,6 +126,20 @@ def maintained_discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.discounted_items(event_products(spark, sf_dir), AS_OF, history=history_)
 
 
+def versioned_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in versions: all days with wrong prices, then two replaced, one emptied, and a write that fails."""
+    stocks, path = event_stocks(spark, sf_dir), scratch_path(spark, "versioned")
+    versions.create(spark, path)
+    wrong = stocks.withColumn("price_gbp", F.when(F.col("import_date") == F.lit(RELANDED), F.lit(0.5)).otherwise(F.col("price_gbp")))
+    writers.reload_days(wrong, path)
+    writers.reload_days(stocks.where(F.col("import_date") == F.lit(RELANDED)), path, [RELANDED, AS_OF])
+    try:
+        writers.reload_days(wrong, path, [RELANDED])
+    except ValueError:
+        pass
+    return tables.read_stocks(spark, path)
+
+
 def units_sold_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a table bucketed by code, without a shuffle for the joins."""
     path = scratch_path(spark, "bucketed")
@@ -451,6 +465,7 @@ QUERIES = {
     "today_view": _on_products(lambda w: views.today_view(w, AS_OF)),
     # history and movement
     "price_changes": _on_products(history.price_changes),
+    "versioned_days": versioned_days,
     "units_sold_bucketed": units_sold_bucketed,
     "clustered_view": clustered_view,
     "maintained_history": maintained_history,
