@@ -233,6 +233,50 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     return files.mapInArrow(run, _READ)
 
 
+_INDEX = "doc_id long, path string, row long"
+_PICKED = "doc_id long, path string, row long, n_tokens long, ids binary"
+#: Documents that one task picks out of a file.
+PICKED = 4096
+
+
+def token_index(manifest: DataFrame) -> DataFrame:
+    """doc_id, path and row of every document in the files, from the ends of the files alone."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                store, name = _open(path)
+                with store.open_input_file(name) as file:
+                    ids = Reader(file).ids
+                for lo in range(0, len(ids), 1 << 16):
+                    part = ids[lo : lo + (1 << 16)]
+                    columns = [pa.array(part, pa.int64()), pa.array([path] * len(part)), pa.array(range(lo, lo + len(part)), pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "path", "row"])
+
+    files = manifest.select("path").repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
+    return files.mapInArrow(run, _INDEX)
+
+
+def read_documents(manifest: DataFrame, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """doc_id, path, row, n_tokens and ids of the documents whose id is in `wanted`.
+
+    Ids are looked up in the files' indexes, and only the frames of those found are read and
+    decompressed, by as many tasks as their number asks for. Checksums are verified. An id that
+    several documents have gives them all; ids that are null or in no file give none. Repeated
+    wanted ids count once.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        store, name = _open(table["path"][0].as_py())
+        with store.open_input_file(name) as file:
+            reader = Reader(file)
+            found = [reader.read(row) for row in table["row"].to_pylist()]
+        sizes, ids = [len(x) for x in found], [x.astype("<u4").tobytes() for x in found]
+        return table.select(["doc_id", "path", "row"]).append_column("n_tokens", pa.array(sizes, pa.int64())).append_column("ids", pa.array(ids, pa.binary()))
+
+    ids = wanted.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
+    places = token_index(manifest).join(ids, "doc_id").withColumn("piece", F.expr(f"row div {PICKED}"))
+    return places.groupBy("path", "piece").applyInArrow(run, _PICKED)
+
+
 def new_folder(docs: DataFrame) -> str:
     """A folder for files that every executor can reach."""
     return session.scratch_path(docs.sparkSession, "token-frames")

@@ -6,15 +6,17 @@ import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import public_tokenizers
 import pytest
 from cases import CLASHING, ROWS, SF, empty, frame, words
 from pyspark.sql import functions as F
 
 import check_oracles
-from shelftrail.llm import conversations, merkle, order, packing, queries, sharding
+from shelftrail.llm import conversations, merkle, order, packing, queries, sharding, token_frames
 from shelftrail.llm.tables import Scratch, written
 
 LARGER = "/root/testdata/sf0.01"
+WORD_PIECES = public_tokenizers.path("word_bpe_49k.json")
 
 
 # --- positions ------------------------------------------------------------------
@@ -311,6 +313,30 @@ def test_shards_use_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+# --- token files ----------------------------------------------------------------
+
+
+def test_only_wanted_frames_are_read(spark, tmp_path):
+    """All other frames of the files are overwritten, and nobody notices."""
+    files = token_frames.write_tokens(frame(spark), str(tmp_path / "tokens"), WORD_PIECES, end_id=2)
+    expected = Counter((r.doc_id, r.ids) for r in token_frames.read_tokens(files).collect())
+    wanted = spark.createDataFrame([(2,), (9,), (9,), (11,), (None,), (12345,)], "doc_id long")
+    picked = {2, 9, 11}
+    for r in files.collect():
+        with open(r.path, "r+b") as file:
+            reader = token_frames.Reader(file)
+            for row, doc_id in enumerate(reader.ids):
+                if doc_id not in picked:
+                    file.seek(int(reader.offsets[row]))
+                    file.write(b"\xff" * int(reader.entries[row, 0]))
+    got = token_frames.read_documents(files, wanted).collect()
+    assert Counter((r.doc_id, bytes(r.ids)) for r in got) == Counter({k: n for k, n in expected.items() if k[0] in picked})
+    assert all(4 * r.n_tokens == len(r.ids) for r in got)
+    with pytest.raises(Exception, match="zstd|Zstd|damaged"):
+        token_frames.read_tokens(files).collect()
+    assert token_frames.read_documents(files, wanted.limit(0)).count() == 0
+
+
 # --- SQL ------------------------------------------------------------------------
 
 
