@@ -3,8 +3,8 @@
 Training reads all documents once. The values that the patterns find are the samples
 labelled random; every other run of identifier characters is labelled ordinary. Tasks count
 character transitions of both, a few thousand counts at most, and the sums make two
-first-order models. A long run is a secret if its log-likelihood ratio per character is high
-enough. So the model learns what ordinary identifiers look like in the corpus at hand.
+first-order models. A run of any length is a secret if its log-likelihood ratio, summed and per
+character, is high enough. So the model learns what ordinary identifiers look like in the corpus at hand.
 """
 
 from __future__ import annotations
@@ -68,10 +68,16 @@ def _transitions(data: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class RandomStrings:
-    """Scores runs of identifier characters; `ratio` has log P(random) - log P(ordinary) per transition."""
+    """Scores runs of identifier characters; `ratio` has log P(random) - log P(ordinary) per transition.
+
+    A run of any length looks random if its ratios sum up to `evidence` and their mean is
+    `threshold` at least. The sum is what the whole run says: at 20 an ordinary run would pass once in
+    e**20, about half a billion, were the ordinary model right. The mean keeps long runs out that
+    gather it little by little.
+    """
 
     ratio: np.ndarray
-    least_length: int = 20
+    evidence: float = 20.0
     threshold: float = 1.0
 
     @classmethod
@@ -92,17 +98,45 @@ class RandomStrings:
         codes = _CODE[np.frombuffer(run.encode(), np.uint8)]
         return float(self.ratio[np.concatenate(([0], codes[:-1])), codes - 1].mean())
 
-    def spans(self, text: str, known: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-        """Runs that look random and don't lie within known spans; a run that overlaps one is scored and given whole."""
-        out, runs = [], re.compile(f"[A-Za-z0-9+/_-]{{{self.least_length},}}")
-        for m in runs.finditer(text):
-            at = m.start()
-            for _, start, end in sorted(known, key=lambda s: s[1]):
+    def runs(self, texts: pa.Array) -> list[list[tuple[int, int]]]:
+        """Per text, (start, end) in code points of the runs that look random."""
+        data, bounds = text_buffer(texts)
+        out = [[] for _ in range(len(texts))]
+        codes = _CODE[data]
+        inside, cut = codes > 0, np.zeros(len(data) + 1, bool)
+        cut[bounds] = True
+        first = inside & (cut[:-1] | np.concatenate(([True], ~inside))[:-1])
+        starts = np.flatnonzero(first)
+        if not len(starts):
+            return out
+        ends = np.flatnonzero(inside & (cut[1:] | np.concatenate((~inside, [True]))[1:])) + 1
+        before = np.where(first, 0, np.concatenate(([0], codes))[:-1])
+        gain = np.where(inside, self.ratio[before, codes - 1], 0.0)
+        total = np.add.reduceat(gain, starts)
+        good = (total >= self.evidence) & (total >= self.threshold * (ends - starts))
+        starts, ends = starts[good], ends[good]
+        points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
+        rows = np.searchsorted(bounds, starts, "right") - 1
+        for row, start, end in zip(rows.tolist(), (points[starts] - points[bounds[rows]]).tolist(), (points[ends] - points[bounds[rows]]).tolist()):
+            out[row].append((start, end))
+        return out
+
+
+def spans(texts: pa.Array, model: RandomStrings) -> list[list[tuple[str, int, int]]]:
+    """Per text, the patterns' spans and the random runs that don't lie within those; a run that overlaps one is given whole."""
+    out = []
+    for text, runs in zip(texts.to_pylist(), model.runs(texts)):
+        found = pattern_spans(text or "")
+        known = sorted(s[1:] for s in found)
+        for lo, hi in runs:
+            at = lo
+            for start, end in known:
                 if start <= at:
                     at = max(at, end)
-            if at < m.end() and self.score(m.group()) >= self.threshold:
-                out.append(("random", m.start(), m.end()))
-        return out
+            if at < hi:
+                found.append(("random", lo, hi))
+        out.append(sorted(found, key=lambda s: (s[1], KINDS.index(s[0]))))
+    return out
 
 
 def fit(docs: DataFrame, text_col: str = "text", **limits) -> RandomStrings:
@@ -146,11 +180,8 @@ def scan(docs: DataFrame, model: RandomStrings, id_col: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
-                part, rows = batch.slice(lo, 512), []
-                for text in part.column(2).to_pylist():
-                    spans = pattern_spans(text or "")
-                    spans += model.spans(text or "", spans)
-                    rows.append([{"kind": k, "start": s, "end": e} for k, s, e in sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))])
+                part = batch.slice(lo, 512)
+                rows = [[{"kind": k, "start": s, "end": e} for k, s, e in found] for found in spans(part.column(2), model)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(rows, _SCHEMA.field("found").type)], schema=_SCHEMA)
 
     key = F.col(key_col) if key_col else F.lit(None)
@@ -159,10 +190,10 @@ def scan(docs: DataFrame, model: RandomStrings, id_col: str = "doc_id", text_col
     return out if key_col else out.drop("key")
 
 
-def redact(text: str | None, spans: list[tuple[int, int]], mark: str = "[SECRET]") -> str | None:
-    """`text` with each maximal union of spans replaced by `mark`."""
+def redact(text: str | None, found: list[tuple[int, int]], mark: str = "[SECRET]") -> str | None:
+    """`text` with each maximal union of the spans found replaced by `mark`."""
     out, at = [], 0
-    for start, end in sorted(spans):
+    for start, end in sorted(found):
         if start >= at:
             out += [text[at:start], mark]
         at = max(at, end)
@@ -174,11 +205,10 @@ def redacted(docs: DataFrame, model: RandomStrings, text_col: str = "text", leng
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = batch.schema.get_field_index(text_col)
-            texts = batch.column(place).to_pylist()
-            for i, text in enumerate(texts):
-                spans = pattern_spans(text or "")
-                spans += model.spans(text or "", spans)
-                texts[i] = redact(text, [s[1:] for s in spans])
+            texts = []
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.column(place).slice(lo, 512)
+                texts += [redact(text, [s[1:] for s in found]) for text, found in zip(part.to_pylist(), spans(part, model))]
             yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
     out = docs.mapInArrow(run, docs.schema)
