@@ -28,6 +28,8 @@ BLOCK = 4096
 _TABLE = 4096
 #: Names are bucket * _RANKS + rank.
 _RANKS = 1 << 40
+#: Rows that a task puts in order when it names them, about: blocks (256 MB at most), pairs of names.
+_BLOCKS_SORTED, _PAIRS_SORTED = 1 << 16, 1 << 22
 
 _CUT = "row long, key string, doc_id long, n_chars long, text_sha256 string, slots array<int>, home long, slot int, block binary"
 _SCHEMA = pa.schema([
@@ -65,14 +67,24 @@ def _cut(size: int):
     return run
 
 
-def _named(df: DataFrame, *keys: str) -> DataFrame:
+def _named(df: DataFrame, buckets: int, *keys: str) -> DataFrame:
     """Adds `name`: equal keys, and only those, get equal integers."""
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy(*keys))
     df = df.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    if buckets > _partitions(df):
+        df = df.repartition(buckets, "bucket")
     return df.withColumn("name", F.col("bucket") * _RANKS + rank.cast("long")).drop("bucket")
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _buckets(df: DataFrame, rows: int) -> int:
+    """Buckets for the rows of a written table, so that what a task sorts doesn't grow with the table."""
+    return max(_partitions(df), -(-df.count() // rows))
+
+
 def identities(
     docs: DataFrame, steps: Scratch, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, key_col: str | None = None
 ) -> DataFrame:
@@ -87,7 +99,7 @@ def identities(
     docs, blocks = cut.where("row is not null"), cut.where("row is null").select("home", "slot", "block")
     level = steps.written(
         docs.select("row", "home", F.size("slots").alias("n"), F.posexplode("slots").alias("place", "slot"))
-        .join(_named(blocks, "block").drop("block"), ["home", "slot"])
+        .join(_named(blocks, _buckets(blocks, _BLOCKS_SORTED), "block").drop("block"), ["home", "slot"])
         .select("row", "n", "place", "name"),
         "exact-level",
     )
@@ -103,7 +115,8 @@ def identities(
             F.coalesce(F.max(F.when(F.col("place") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b"),
         )
         pairs = steps.written(pairs, "exact-pairs")
-        level = steps.written(pairs.join(_named(pairs.select("a", "b").distinct(), "a", "b"), ["a", "b"]).select("row", "n", "place", "name"), "exact-level")
+        named = _named(pairs.select("a", "b").distinct(), _buckets(pairs, _PAIRS_SORTED), "a", "b")
+        level = steps.written(pairs.join(named, ["a", "b"]).select("row", "n", "place", "name"), "exact-level")
         depth += 1
     return docs.select("row", "key", "doc_id", "n_chars", "text_sha256").join(names, "row", "left").fillna(-1, ["depth", "name"])
 

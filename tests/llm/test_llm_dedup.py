@@ -78,6 +78,20 @@ def test_exact_dedup(spark, block):
     assert sorted(r.doc_id for r in got if r.kept and r.group_size > 1) == [5, 7, 9]
 
 
+def test_names_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    plain = exact_dedup.exact_dedup(frame(spark), block=8).select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()
+    monkeypatch.setattr(exact_dedup, "_BLOCKS_SORTED", 100)
+    monkeypatch.setattr(exact_dedup, "_PAIRS_SORTED", 50)
+    blocks = spark.range(1000).selectExpr("id % 300 as block")
+    buckets = exact_dedup._buckets(blocks, 100)
+    named = exact_dedup._named(blocks, buckets, "block")
+    # More rows, more tasks, each with its share; a name for each block and a block for each name.
+    assert buckets == named.rdd.getNumPartitions() == 10
+    pairs = {(r.block, r.name) for r in named.collect()}
+    assert len(pairs) == len({b for b, _ in pairs}) == len({n for _, n in pairs}) == 300
+    assert Counter(exact_dedup.exact_dedup(frame(spark), block=8).select(*plain[0].__fields__).collect()) == Counter(plain)
+
+
 def test_exact_kept_documents(spark):
     docs = frame(spark)
     kept = exact_dedup.kept_documents(docs)
