@@ -15,6 +15,8 @@ until the walk finds enough of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -56,15 +58,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(numbers, lambda x: x != 0), F.lit(False))
 
 
-def nodes(vectors: DataFrame, steps: Scratch, id_col: str, vector_col: str, copies: int) -> DataFrame:
-    """node (the smallest id), vector (doubles) and the `copies` smallest ids of each distinct usable vector.
+def _usable_rows(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """id and vector (doubles) of the rows that take part. Adding zero makes equal numbers (0.0 and -0.0) one."""
+    doubles = F.transform(F.col(vector_col), lambda x: x.cast("double") + F.lit(0.0))
+    return rows.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), doubles.alias("vector"))
+
 
-    Vectors whose length isn't the most frequent one take no part.
-    """
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector")).where(usable(F.col("vector")) & F.col("id").isNotNull())
-    size = rows.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
-    # Adding zero makes equal numbers (0.0 and -0.0) one.
-    rows = rows.where(F.size("vector") == (size[0] if size else 0)).select("id", F.transform("vector", lambda x: x.cast("double") + F.lit(0.0)).alias("vector"))
+def nodes(rows: DataFrame, steps: Scratch, copies: int) -> DataFrame:
+    """node (the smallest id), vector and the `copies` smallest ids of each distinct vector of (id, vector)."""
     rank = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
     rows = rows.withColumn("rank", rank).where(F.col("rank") <= copies)
     return steps.written(rows.groupBy("vector").agg(F.min("id").alias("node"), F.sort_array(F.collect_list("id")).alias("ids")), "ann-nodes")
@@ -417,8 +418,9 @@ def _reached(found: DataFrame, known: dict[int, set[int]], k: int, least: float,
 def searched(index: DataFrame, asked: DataFrame, steps: Scratch, k: int, recall: float = RECALL, beam: int = BEAM, width: int = OPENED) -> DataFrame:
     """(query, node) for each node of `asked`: at least its k nearest other nodes, of which the share `recall` is found.
 
-    Beam and width are doubled until a sample of the queries has that recall. Where that would
-    take a quarter of all nodes, the graph is no help and all nodes are scanned.
+    Beam and width are doubled until a sample of the queries has that recall. A walk that has all
+    nodes in sight has been everywhere the links lead; what it still misses lies in parts of
+    the graph that aren't linked to it, and is found by scans of all nodes.
     """
     asked = steps.written(asked.select("node").distinct().join(index.select("node", "vector"), "node"), "ann-asked")
     queries = asked.count()
@@ -436,7 +438,7 @@ def searched(index: DataFrame, asked: DataFrame, steps: Scratch, k: int, recall:
         found = steps.written(search(index, sample, steps, beam, width), "ann-found")
         if _reached(found, known, k, recall, whole):
             return (found if whole else search(index, asked, steps, beam, width)).drop("place")
-        if beam > max(count // 4, k):
+        if beam >= count:
             break
         beam, width = 2 * beam, 2 * width
     parts = max(1, -(-queries // SCAN_QUERIES))
@@ -456,20 +458,28 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
 
     Returns query_id, rank (from 1), vec_id and score, the Euclidean distance in double
     precision between the original vectors; ties go to the smaller id. Vectors that are
-    null, zero, not finite in all components or of another length than most take no part,
-    nor do rows without an id; such queries have no result. Equal vectors are neighbours at
+    null, zero or not finite in all components take no part, nor do rows without an id; such
+    queries have no result. Vectors of different lengths have no distance: each length has a
+    graph of its own, and a query's candidates are those of its length. Equal vectors are neighbours at
     distance 0. Recall is measured on this table's queries, and the search widened until it is
     `recall` (see `searched` for the limits). A repeated id is a candidate once per row; a query's own id is none. Other columns are ignored, whatever their names; an empty table gives an
     empty result.
     """
-    with Scratch(vectors.sparkSession) as steps:
-        return _nearest_rows(vectors, queries, steps, k, id_col, vector_col, search_limits)
-
-
-def _nearest_rows(vectors: DataFrame, queries: DataFrame, steps: Scratch, k: int, id_col: str, vector_col: str, search_limits: dict) -> DataFrame:
-    base = nodes(vectors, steps, id_col, vector_col, k + 1)
-    doubles = F.transform(F.col(vector_col), lambda x: x.cast("double") + F.lit(0.0))
-    asked = queries.where(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("query_id"), doubles.alias("vector")).distinct()
+    rows, asked = _usable_rows(vectors, id_col, vector_col), _usable_rows(queries, id_col, vector_col)
+    # A vector whose length no other row has is nobody's neighbour.
+    sizes = rows.groupBy(F.size("vector").alias("size")).count().where("count > 1").orderBy(F.desc("count"), "size").collect()
+    found = []
+    for size in [r["size"] for r in sizes] or [0]:
+        with Scratch(vectors.sparkSession) as steps:
+            same = F.size("vector") == size
+            found.append(_nearest_rows(rows.where(same), asked.where(same), steps, k, search_limits))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_rows(rows: DataFrame, asked: DataFrame, steps: Scratch, k: int, search_limits: dict) -> DataFrame:
+    """`nearest` for vectors of one length; rows and queries as (id, vector)."""
+    base = nodes(rows, steps, k + 1)
+    asked = asked.select(F.col("id").alias("query_id"), "vector").distinct()
     asked = steps.written(asked.join(base.select("vector", "node"), "vector").select("query_id", "node"), "ann-queries")
     found = searched(linked(build(base, steps), steps), asked, steps, k, **search_limits)
     left, right = base.select(F.col("node").alias("query"), F.col("vector").alias("a")), base.select("node", F.col("vector").alias("b"), "ids")

@@ -251,6 +251,25 @@ def test_graph_rounds_go_on_until_few_neighbours_are_new(spark, monkeypatch):
     assert hits([(r.node, int(v)) for r in rows[::20] for v in np.frombuffer(r.ids, np.int64)[:10]], x, 10) >= 0.9
 
 
+def test_nearest_of_two_frequent_lengths(spark):
+    rng = np.random.default_rng(8)
+    sets = {5: rng.normal(size=(300, 5)), 9: rng.normal(size=(280, 9))}
+    rows = [(i * 2 + (size == 9), v.tolist()) for size, x in sets.items() for i, v in enumerate(x)] + [(3000, [1.0] * 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in nearest.nearest(df, df.where("vec_id % 25 = 0"), 10).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    # Half of each set, by id; the only vector of its length has no neighbour.
+    assert set(found) == {q for q in range(0, 600, 25) if q % 2 == 0 or q < 560}
+    share = []
+    for q, got in found.items():
+        x = sets[9 if q % 2 else 5]
+        ids = np.arange(len(x)) * 2 + q % 2
+        share.append(len(set(got) & {v for v, _ in brute(ids, x, (q, x[q // 2]), 10)}) / 10)
+        assert len(got) == 10 and all(v % 2 == q % 2 for v in got)
+    assert np.mean(share) >= 0.9
+
+
 def test_nearest_of_few(spark):
     schema = "vec_id long, embedding array<float>"
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 2.0]), (100, [-0.0, 2.0])], schema)
