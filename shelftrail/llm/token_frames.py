@@ -12,9 +12,10 @@ A file is a valid zstandard stream:
 A reader takes the two tables from the end of the file and decompresses only the frames of
 the documents it was asked for.
 
-Encoding uses a table of distinct runs: the tokenizer drops white space and cuts the rest
-into runs before merging, so ids of a text are those of its runs in order. The table lives
-as long as the Python worker and starts afresh when it is full.
+Encoding uses a table of distinct runs: the tokenizer lowers texts, drops white space and
+cuts the rest into runs before merging, so ids of a text are those of its runs in order. Texts
+of plain characters are cut together, as arrays, and each run that occurs among them is looked
+up once. The table lives as long as the Python worker and starts afresh when it is full.
 """
 
 from __future__ import annotations
@@ -43,11 +44,21 @@ SEEK_FRAME = SKIPPABLE + 14
 
 #: Runs in the table, and the longest that is kept there.
 TABLE, LONGEST = 800_000, 128
-#: How the word tokenizer cuts ASCII text. Words with other characters, and texts with
-#: control characters or marks of special tokens, are left to the library.
-_CUT = r"'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|[A-Za-z]+|[0-9]|[^A-Za-z0-9\x20\x09-\x0D]+"
-_RUNS = re.compile(_CUT)
-_RUNS_AND_WORDS = re.compile(r"[^\x20\x09-\x0D]*[^\x00-\x7F][^\x20\x09-\x0D]*|" + _CUT)
+#: Characters that are cut together, and of a longer text up to the next space.
+PIECE = 1 << 21
+#: Plain characters: ASCII without control characters, and the letters of Latin-1, which are
+#: in normal form and are lowered one by one.
+_CAPITALS = [*range(0x41, 0x5B), *(c for c in range(0xC0, 0xDF) if c != 0xD7)]
+_LETTERS = {*_CAPITALS, *(c + 32 for c in _CAPITALS), 0xDF, 0xFF}
+_PLAIN = bytes(sorted({*range(0x09, 0x0E), *range(0x20, 0x7F), *_LETTERS}))
+_LOWER = bytes(c + 32 if c in _CAPITALS else c for c in range(256))
+_SPACE, _LETTER, _DIGIT, _MARK = range(4)
+_CLASS = bytes(
+    _SPACE if c == 0x20 or 0x09 <= c <= 0x0D else _LETTER if c in _LETTERS else _DIGIT if 0x30 <= c <= 0x39 else _MARK for c in range(256)
+)
+#: Texts of other characters are cut into words. Texts with control characters or marks of
+#: special tokens are left to the library.
+_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _ODD = re.compile(r"<\||[\x00-\x08\x0E-\x1F\x7F]")
 _CODERS: dict[str, WordCoder] = {}
 
@@ -57,7 +68,7 @@ _READ_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_toke
 
 
 class WordCoder:
-    """A tokenizer that lowers text, drops white space and cuts it as _CUT does; one per Python worker."""
+    """A tokenizer that lowers text, drops white space and cuts it as _cut does; one per Python worker."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -65,9 +76,13 @@ class WordCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.table: dict[str, bytes] = {}
-        # The library takes long texts much faster than many short ones, so runs are handed
-        # over with a special token between them, at which their ids are cut apart again.
+        self.table: dict[bytes | str, bytes] = {}
+        # The library takes long texts much faster than many short ones, so runs are handed over
+        # many at a time. Where each run ends with an id of a kind that only ends runs, the ids
+        # are cut apart there, else at a special token between the runs.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.ends = np.array([bool(suffix) and t.endswith(suffix) for t in tokens])
         self.between, self.mark = next((i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special)
 
     @classmethod
@@ -79,8 +94,9 @@ class WordCoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _segment(self, runs: list[str]) -> list[bytes]:
-        joined = [self.mark.join(runs[i : i + 256]) for i in range(0, len(runs), 256)]
+    def _apart(self, words: list[str]) -> list[bytes]:
+        """Ids of words of any characters, by a special token between them."""
+        joined = [self.mark.join(words[i : i + 256]) for i in range(0, len(words), 256)]
         out = []
         for found in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
             ids = np.array(found.ids, self.kind)
@@ -88,19 +104,112 @@ class WordCoder:
         # All but the first of a text begin with the mark.
         return [x[self.kind.itemsize :] if i % 256 else x for i, x in enumerate(out)]
 
+    def _by_ends(self, runs: list[bytes]) -> list[bytes]:
+        """Ids of runs of plain characters, by the ids that end a run."""
+        out = []
+        for lo in range(0, len(runs), 1024):
+            part = [r.decode("latin-1") for r in runs[lo : lo + 1024]]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                out += self._apart(part)
+                continue
+            data, cuts = ids.tobytes(), (ends * self.kind.itemsize).tolist()
+            out += [data[a:b] for a, b in zip([0, *cuts], cuts)]
+        return out
+
+    def _of_plain(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text of plain characters, in Latin-1."""
+        runs, upto = _cut(texts)
+        coded = runs.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        found = list(map(self.table.get, distinct))
+        new = [i for i, x in enumerate(found) if x is None]
+        for i, x in zip(new, self._by_ends([distinct[i] for i in new])):
+            found[i] = x
+            if len(distinct[i]) <= LONGEST:
+                self.table[distinct[i]] = x
+        ids = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        which = coded.indices.to_numpy()
+        n = sizes[which]
+        after = np.cumsum(n)
+        # The place in `ids` of each id of the texts: that of its run's first, and so many further.
+        ids = ids[np.repeat((np.cumsum(sizes) - sizes)[which] - (after - n), n) + np.arange(n.sum())]
+        cuts = np.concatenate(([0], after))[upto] * self.kind.itemsize
+        data, cuts = ids.tobytes(), cuts.tolist()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts)]
+
+    def _of_words(self, texts: list[list[str]]) -> list[bytes]:
+        """Ids of each text, given in words of any characters."""
+        new = list(set().union(*texts).difference(self.table))
+        self.table.update(zip(new, self._apart(new)))
+        out = [b"".join(map(self.table.__getitem__, words)) for words in texts]
+        for word in new:
+            if len(word) > LONGEST:
+                del self.table[word]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, `kind` each."""
         if len(self.table) > TABLE:
             self.table.clear()
-        odd = [bool(_ODD.search(t)) for t in texts]
-        split = [() if o else (_RUNS if t.isascii() else _RUNS_AND_WORDS).findall(t) for t, o in zip(texts, odd)]
-        new = list(set().union(*split).difference(self.table))
-        self.table.update(zip(new, self._segment(new)))
-        out = [self._whole(t) if o else b"".join(map(self.table.__getitem__, runs)) for t, runs, o in zip(texts, split, odd)]
-        for run in new:
-            if len(run) > LONGEST:
-                del self.table[run]
-        return out
+        pieces, words, out = [], {}, dict.fromkeys(range(len(texts)), b"")
+        for i, text in enumerate(texts):
+            data = _latin(text)
+            if "<|" in text or data is None and _ODD.search(text):
+                out[i] = self._whole(text)
+            elif data is None:
+                words[i] = _WORDS.findall(text)
+            else:
+                pieces += [(i, piece) for piece in _pieces(data)]
+        out.update(zip(words, self._of_words(list(words.values()))))
+        upto = np.cumsum([len(piece) for _, piece in pieces]) // PIECE
+        for part in np.split(np.arange(len(pieces)), np.flatnonzero(np.diff(upto)) + 1):
+            for at, ids in zip(part, self._of_plain([pieces[at][1] for at in part])):
+                out[pieces[at][0]] += ids
+        return [out[i] for i in range(len(texts))]
+
+
+def _latin(text: str) -> bytes | None:
+    """The text in Latin-1 if all its characters are plain."""
+    try:
+        data = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return None if data.translate(None, _PLAIN) else data
+
+
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """A long text in parts that begin with a space, which no run holds."""
+    lo = 0
+    while len(data) - lo > PIECE and (hi := data.find(b" ", lo + PIECE)) > 0:
+        yield data[lo:hi]
+        lo = hi
+    yield data[lo:]
+
+
+def _cut(texts: list[bytes]) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """Runs of all texts of plain characters, lowered, and how many there are up to the end of each text.
+
+    A run is letters, one digit or marks; an apostrophe that is no part of more marks goes with
+    s, t, m, d, re, ve or ll after it. The two characters added at the end keep looks ahead in bounds.
+    """
+    data = b"".join(t + b"\n" for t in texts).translate(_LOWER) + b"\n\n"
+    chars, kinds = np.frombuffer(data, np.uint8), np.frombuffer(data.translate(_CLASS), np.uint8)
+    starts = kinds != _SPACE
+    starts[1:] &= (kinds[1:] != kinds[:-1]) | (kinds[1:] == _DIGIT)
+    at = np.flatnonzero(starts & (chars == ord("'")))
+    one, two = chars[at + 1], chars[at + 1].astype(np.uint16) << 8 | chars[at + 2]
+    for size, short in ((1, np.isin(one, list(b"stmd"))), (2, np.isin(two, [int.from_bytes(x) for x in (b"re", b"ve", b"ll")]))):
+        starts[at[short] + 1] = False
+        behind = at[short] + 1 + size
+        starts[behind] |= kinds[behind] == _LETTER
+    upto = np.searchsorted(np.flatnonzero(starts), np.cumsum([len(t) + 1 for t in texts], dtype=np.int64))
+    kept = kinds != _SPACE
+    letters, offsets = chars[kept], np.flatnonzero(starts[kept])
+    offsets = np.append(offsets, len(letters)).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]), upto
 
 
 class Writer:
@@ -190,8 +299,8 @@ def write_tokens(
         place = TaskContext.get().partitionId()
         path = f"{folder}/part-{place:06d}-{uuid.uuid4().hex}.zst"
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                ids, texts = (c.to_pylist() for c in batch.slice(lo, 256).columns)
+            for lo in range(0, batch.num_rows, 1024):
+                ids, texts = (c.to_pylist() for c in batch.slice(lo, 1024).columns)
                 if writer is None and ids:
                     store, name = _open(path)
                     store.create_dir(name.rpartition("/")[0], recursive=True)

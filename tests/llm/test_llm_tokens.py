@@ -136,6 +136,21 @@ def test_word_coder_is_the_library(monkeypatch):
                 assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_word_coder_looks_up_each_run_once(monkeypatch):
+    """Capitals and marks beside a word make no entry of their own, and long texts are cut at spaces."""
+    tokenizer, coder = Tokenizer.from_file(WORDS), token_frames.WordCoder(WORDS)
+    coder.encode(["Größe, größe. GRÖSSE!", "größe GRÖßE, !"])
+    assert set(coder.table) == {x.encode("latin-1") for x in ("größe", "grösse", ",", ".", "!")}
+    rng = random.Random(7)
+    parts = [*"aAsStTmMdDrReEvVlL'!.,-<|/w> \t\n019éÉßÿÞ×÷ñ", "'", "'", "'re", "'LL", "</w>", " '", "''"]
+    for piece, more in ((1 << 21, []), (20, [*"œ’ İ̌J\x85\xa0\x1c²ªſΣ中", "<|endoftext|>"])):
+        monkeypatch.setattr(token_frames, "PIECE", piece)
+        texts = ["".join(rng.choices(parts + more, k=rng.randrange(60))) for _ in range(3000)]
+        for text, ids in zip(texts, coder.encode(texts)):
+            assert np.frombuffer(ids, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert coder.encode([]) == [] and coder.encode([""]) == [b""] and coder.encode([" ", "œ"])[0] == b""
+
+
 def test_frames_are_independent_and_checked():
     out = io.BytesIO()
     out.close, data = (lambda: None), [np.arange(n, dtype="<u2") for n in (3, 0, 70_000 % 65_536, 5)]
