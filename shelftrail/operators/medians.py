@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelftrail.operators import spread_join
-from shelftrail.operators.spread_join import hot_keys
+from shelftrail.operators.spread_join import counted_keys, hot_keys, in_tasks
 
 # 0-based positions of the two middle values among `__known` ordered values.
 _LOWER = "(__known - 1) div 2"
@@ -52,12 +52,14 @@ def exact_median(
     sums: dict[str, Column] | None = None,
     large_groups: bool = False,
     hot: DataFrame | None = None,
+    volume: int | None = None,
 ) -> DataFrame:
     """One row per group: keys, `median`, `highest`, `row_count` and the given sums.
 
     The median is that of the known values, interpolated. Ordinary groups are shuffled
-    once, and the middle is found by running counts in value order, which sort and spill
-    instead of holding a group in memory. Groups with more rows than one reducer should
+    once, over as many tasks as their number (`volume`, or counted) asks for, and the middle
+    is found by running counts in value order, which sort and spill instead of holding a
+    group in memory. Groups with more rows than one reducer should
     carry are found by counting the first key (or are among the frequent ones listed in
     `hot`, see `hot_keys`), and the whole key only where the first is frequent. They go
     through `_median_by_bracket`; without any, that branch isn't planned at all.
@@ -70,26 +72,29 @@ def exact_median(
     )
     if large_groups:
         return _median_by_bracket(rows, keys, list(sums), bounded=True)
-    first = hot_keys(df, keys[0]) if hot is None else hot
-    if first.isEmpty():
-        return _median_in_order(rows, keys, list(sums))
+    if hot is None:
+        hot, volume = counted_keys(df, keys[0])
+    elif volume is None:
+        volume = df.count()
+    if hot.isEmpty():
+        return _median_in_order(rows, keys, list(sums), volume)
     names = [f"__key_{k}" for k in keys]
-    frequent = first.select(F.col(keys[0]).alias(names[0]))
+    frequent = hot.select(F.col(keys[0]).alias(names[0]))
     of_frequent = rows.join(frequent, _same(keys[:1], names[:1]), "left_semi")
-    # Fewer than shuffle partitions, as the first keys are; see hot_keys.
+    # As few as the first keys are; see counted_keys.
     large = hot_keys(of_frequent, *keys)
     if large.isEmpty():
-        return _median_in_order(rows, keys, list(sums))
+        return _median_in_order(rows, keys, list(sums), volume)
     large = large.select(*[F.col(k).alias(n) for k, n in zip(keys, names)])
     ordinary, of_large = (rows.join(large, _same(keys, names), how) for how in ("left_anti", "left_semi"))
-    return _median_in_order(ordinary, keys, list(sums)).unionByName(
+    return _median_in_order(ordinary, keys, list(sums), volume).unionByName(
         _median_by_bracket(of_large, keys, list(sums), spread_join.SHARE is None)
     )
 
 
-def _median_in_order(rows: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+def _median_in_order(rows: DataFrame, keys: list[str], sums: list[str], volume: int) -> DataFrame:
     """`exact_median` with one shuffle of all rows, each group put in order."""
-    known = rows.withColumn("__valid", F.col("__value").isNotNull().cast("int"))
+    known = in_tasks(rows, volume, *keys).withColumn("__valid", F.col("__value").isNotNull().cast("int"))
     per_group = _running(known, keys, "__value").groupBy(*keys).agg(
         F.max(_at(_LOWER, F.col("__value"))).alias("__lower"),
         F.max(_at(_UPPER, F.col("__value"))).alias("__upper"),
@@ -107,7 +112,7 @@ def _median_by_bracket(rows: DataFrame, keys: list[str], sums: list[str], bounde
     pass counts the values below the bracket and each distinct value within it, a few
     thousandths of the group, and puts those in order. Both combine before the shuffle, so
     copies and wide groups cost little, however the values are spread. With `bounded`
-    groups (one per calendar day, or fewer than shuffle partitions) the brackets are sent
+    groups (one per calendar day, or as few as hot keys) the brackets are sent
     to every task.
     """
     names = [f"__of_{k}" for k in keys]
@@ -159,9 +164,10 @@ def group_medians(
     sums: dict[str, Column] | None = None,
     large_groups: bool = False,
     hot: DataFrame | None = None,
+    volume: int | None = None,
 ) -> DataFrame:
     if method == "exact":
-        return exact_median(df, keys, value, sums, large_groups, hot)
+        return exact_median(df, keys, value, sums, large_groups, hot, volume)
     if method == "approx":
         return approximate_median(df, keys, value, sums)
     raise ValueError(f"median must be 'exact' or 'approx', not {method!r}")

@@ -8,7 +8,7 @@ from shelftrail.functions.casts import to_number
 from shelftrail.functions.dates import as_date, day
 from shelftrail.operators.history import price_changes
 from shelftrail.operators.spread_join import (
-    hot_keys, merge_hot_copies, repeat_rows, spread_join, with_copies,
+    counted_keys, hot_keys, merge_hot_copies, repeat_rows, spread_join, with_copies,
 )
 from shelftrail.operators.views import on_day
 
@@ -58,9 +58,11 @@ def _sold(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _changes(products: DataFrame, median: str, history: DataFrame | None, hot: DataFrame | None = None) -> DataFrame:
+def _changes(
+    products: DataFrame, median: str, history: DataFrame | None, hot: DataFrame | None = None, volume: int | None = None
+) -> DataFrame:
     if history is None:
-        return price_changes(products, median, hot)
+        return price_changes(products, median, hot, volume)
     return history.select("code", "price_changes_count")
 
 
@@ -87,13 +89,13 @@ def units_sold_all(
     # One row per calendar day: the DATE type bounds this list, so it may be broadcast.
     days = F.broadcast(snapshot_days(products))
     units = _units("availability", strict)
-    hot = hot_keys(products, "code")
+    hot, volume = counted_keys(products, "code")
     earlier = _earlier(products, units).join(days, "target_date", "left_semi")
     pairs = _match(
         merge_hot_copies(earlier, "code", hot, "earlier_copies"), _later(products, units),
         ["code", "target_date"], "left" if count_vanished else "inner", hot,
     )
-    counted = spread_join(_sold(pairs), _changes(products, median, history, hot), ["code"], "left", hot)
+    counted = spread_join(_sold(pairs), _changes(products, median, history, hot, volume), ["code"], "left", hot)
     listed = counted.orderBy(
         F.col("import_date").desc_nulls_last(), F.col("price_gbp").desc_nulls_last(), *_TIES
     )

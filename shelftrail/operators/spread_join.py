@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Rows of a key that one reducer should carry; None is an even share of all rows.
 SHARE: int | None = None
 
+# Narrow rows that one task sorts or groups in a step that is dealt out by volume.
+TASK_ROWS = 250_000
+
 # Longest run of equal rows produced from one row in one step.
 _RUN = 4096
 _SALT = "__salt"
@@ -16,27 +21,53 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_tasks(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """`df` dealt out by `keys` over as many tasks as so many rows ask for; a small one is left to Spark."""
+    if rows <= TASK_ROWS:
+        return df
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS)), *keys)
+
+
+def sorted_in_tasks(df: DataFrame, rows: int, *order: Column) -> DataFrame:
+    """`df.orderBy(*order)` with as many ranges as so many rows ask for."""
+    if rows <= TASK_ROWS:
+        return df.orderBy(*order)
+    ranges = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
+    return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+
 def hot_keys(rows: DataFrame, *keys: str, share: int | None = None) -> DataFrame:
-    """The keys with more rows than one reducer should carry, and `__splits`, how many should.
+    """The hot keys of `counted_keys` alone."""
+    return counted_keys(rows, *keys, share=share)[0]
+
+
+def counted_keys(rows: DataFrame, *keys: str, share: int | None = None) -> tuple[DataFrame, int]:
+    """The hot keys and the number of all rows.
 
-    They are counted when this is called, in one scan of the keys, so that without any
+    Hot are the keys with more rows than one reducer should carry; `__splits` is how many
+    should. They are counted when this is called, in one scan of the keys, so that without any
     (`hot.isEmpty()`) callers can plan as if there were no such thing. With an even share as
-    the bar there are fewer such keys than shuffle partitions, whatever the volume, so the
-    list may come to the driver and be sent to every task. A `share` in rows gives no such
+    the bar, or TASK_ROWS if that is less, there are fewer such keys than shuffle partitions,
+    or than tasks that so many rows ask for, so the list may come to the driver and be sent to
+    every task. A `share` in rows gives no such
     bound; the list then stays a query that Spark joins as its size demands. NULL may be
     among the keys. A list of other rows than those joined is only less balanced.
     """
     share = SHARE if share is None else share
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    whole = counts.agg(F.sum("__rows").alias("__rows"))
     if share is None:
-        total = counts.agg(F.sum("__rows")).scalar()
-        bar = F.greatest(F.ceil(total / _partitions(rows)), F.lit(1))
+        bar = F.greatest(F.least(F.ceil(whole.scalar() / _partitions(rows)), F.lit(TASK_ROWS)), F.lit(1))
     else:
         bar = F.lit(share)
     hot = counts.where(F.col("__rows") > bar).select(*keys, F.ceil(F.col("__rows") / bar).cast("int").alias("__splits"))
     if share is not None:
-        return hot
-    return F.broadcast(rows.sparkSession.createDataFrame(hot.toArrow(), hot.schema))
+        return hot, whole.first()[0] or 0
+    # The sum of all rows comes along as a row of its own, so the keys are counted once.
+    found = hot.unionByName(whole, allowMissingColumns=True).toArrow()
+    is_hot = found["__splits"].is_valid()
+    total = max(n or 0 for n in found["__rows"].to_pylist())
+    return F.broadcast(rows.sparkSession.createDataFrame(found.filter(is_hot).select(hot.columns), hot.schema)), total
 
 
 def spread_join(

@@ -70,7 +70,7 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
 def history_from_state(state: DataFrame, until=None) -> DataFrame:
     """`code_history` of the days in a state."""
     days = state if until is None else state.where(F.col("import_date") <= day(until))
-    return history_of_days(days)
+    return history_of_days(days, days.count())
 
 
 def lowest_prices(state: DataFrame) -> DataFrame:

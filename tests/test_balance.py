@@ -137,6 +137,39 @@ def test_exact_median(spark, monkeypatch, seed, large_groups):
     assert len(got) == len({r[0] for r in rows})
 
 
+def test_medians_and_history_are_dealt_out_by_volume(spark, monkeypatch):
+    """More rows make more tasks, not larger ones, whatever number of partitions the session has."""
+    i = F.col("id")
+    products = spark.range(6000).select(
+        F.when(i % 17 > 0, F.concat(F.lit("c"), (i % 60).cast("string"))).alias("code"),
+        F.date_add(F.lit("2024-01-01"), (i % 23).cast("int")).alias("import_date"),
+        F.when(i % 13 > 0, (i * 7919 % 101).cast("double")).alias("price_gbp"),
+        (i % 5).cast("string").alias("availability"),
+        F.lit("t").alias("title"), F.lit("u").alias("url"),
+    )
+    reports_ = {
+        "medians": lambda: history.daily_prices(products),
+        "changes": lambda: history.price_changes(products),
+        "changes_approx": lambda: history.price_changes(products, "approx"),
+        "series": lambda: reports.code_series(products),
+        "series_state": lambda: reports.code_series(None, state=reports.code_series(products).select(
+            "code", "import_date", F.col("median_price").alias("median"), "total_availability")),
+        "discounts": lambda: reports.discounted_items(products, date(2024, 1, 5)),
+    }
+    usual = {name: report().collect() for name, report in reports_.items()}
+    monkeypatch.setattr(spread_join, "TASK_ROWS", 100)
+    for name, report in reports_.items():
+        got = report()
+        if name.startswith("series"):
+            assert got.collect() == usual[name]
+        assert Counter(got.collect()) == Counter(usual[name])
+    assert history.daily_prices(products).rdd.getNumPartitions() >= 60
+    assert history.price_changes(products).rdd.getNumPartitions() == 60
+    hot, rows = spread_join.counted_keys(products, "code")
+    assert rows == 6000 and [r["code"] for r in hot.collect()] == [None]
+    assert spread_join.counted_keys(products.limit(0), "code")[1] == 0
+
+
 def test_one_code_with_a_third_of_all_rows(spark):
     """Reports on skewed input agree with plain Spark SQL over the same rows."""
     rng = random.Random(3)
