@@ -13,7 +13,7 @@ from shelftrail.operators.filters import code_contains, code_in, text_matches, w
 from shelftrail.operators.history import code_history, max_prices
 from shelftrail.operators.medians import group_medians
 from shelftrail.operators.reshape import fold
-from shelftrail.operators.spread_join import repeat_rows, spread_join, with_copies
+from shelftrail.operators.spread_join import counted_keys, in_tasks, repeat_rows, sorted_in_tasks, spread_join, with_copies
 from shelftrail.operators.views import today_view
 
 
@@ -117,20 +117,21 @@ def code_series(
     rows = products if state is None else state
     if codes is not None:
         rows = rows.where(code_contains(codes) if contains else code_in(codes))
+    hot, volume = counted_keys(rows, "code") if state is None and median == "exact" else (None, rows.count())
     series = (rows if state is not None else group_medians(
         rows, ["code", "import_date"], "price_gbp", median,
-        sums={"total_availability": to_number("availability", strict)},
+        sums={"total_availability": to_number("availability", strict)}, hot=hot, volume=volume,
     )).where(F.col("code").isNotNull())
     # A code has one row per day here. The distinct medians of a code are the ranks
     # without gaps that its known medians take.
     by_price = Window.partitionBy("code").orderBy(F.col("median").asc_nulls_last())
     rank = F.when(F.col("median").isNotNull(), F.dense_rank().over(by_price))
-    return (
-        series.withColumn("__rank", rank)
+    ranked = (
+        in_tasks(series, volume, "code").withColumn("__rank", rank)
         .withColumn("price_changes_count", F.coalesce(F.max("__rank").over(Window.partitionBy("code")), F.lit(0)).cast("bigint"))
         .select(F.col("median").alias("median_price"), "total_availability", "import_date", "code", "price_changes_count")
-        .orderBy(F.col("import_date").desc_nulls_last(), "code")
     )
+    return sorted_in_tasks(ranked, volume, F.col("import_date").desc_nulls_last(), F.col("code").asc())
 
 
 def price_search(

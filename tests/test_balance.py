@@ -165,6 +165,7 @@ def test_medians_and_history_are_dealt_out_by_volume(spark, monkeypatch):
         assert Counter(got.collect()) == Counter(usual[name])
     assert history.daily_prices(products).rdd.getNumPartitions() >= 60
     assert history.price_changes(products).rdd.getNumPartitions() == 60
+    assert reports.code_series(products).rdd.getNumPartitions() == 60
     hot, rows = spread_join.counted_keys(products, "code")
     assert rows == 6000 and [r["code"] for r in hot.collect()] == [None]
     assert spread_join.counted_keys(products.limit(0), "code")[1] == 0
