@@ -266,6 +266,40 @@ def test_graph_rounds_go_on_until_few_neighbours_are_new(spark, monkeypatch):
     assert hits([(r.node, int(v)) for r in rows[::20] for v in np.frombuffer(r.ids, np.int64)[:10]], x, 10) >= 0.9
 
 
+def test_nearest_of_more_nodes_than_pivots(spark, monkeypatch):
+    """The graph is of the pivots; every other node is found by its cell, crowds of near copies too."""
+    for name, value in (("LEAST_PIVOTS", 60), ("PIVOTS", 1), ("BLOCK_BYTES", 16 * 8 * 100)):
+        monkeypatch.setattr(nearest, name, value)
+    sizes, build = [], nearest.build
+    monkeypatch.setattr(nearest, "build", lambda base, steps: sizes.append(base.count()) or build(base, steps))
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 16))
+    x[500:1200] = x[500] + 1e-3 * rng.normal(size=(700, 16))  # more than a block holds
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = [(r.query_id, r.vec_id) for r in nearest.nearest(df, df.where("vec_id % 20 = 0"), 10, beam=8, width=4).collect()]
+    assert len(found) == 150 * 10 and hits(found, x, 10) >= 0.9
+    # With all cells in sight, the result is exact.
+    rows = sorted(tuple(r) for r in nearest.nearest(df, df.where("vec_id % 50 = 0"), 10, recall=1.1).collect())
+    expected = [(q, i + 1, *n) for q in range(0, 3000, 50) for i, n in enumerate(brute(np.arange(3000), x, (q, x[q]), 10))]
+    assert [r[:3] for r in rows] == [r[:3] for r in expected]
+    assert np.allclose([r[3] for r in rows], [r[3] for r in expected], rtol=0, atol=1e-12)
+    assert all(20 <= n <= 120 for n in sizes)
+
+
+def test_nearest_ties_and_repeated_ids(spark, monkeypatch):
+    """Many nodes are equally near; an id may have several vectors, and a vector several rows of one id."""
+    monkeypatch.setattr(nearest, "LEAST_PIVOTS", 20)
+    monkeypatch.setattr(nearest, "PIVOTS", 1)
+    places = [[float(a), float(b), 1.0] for a in range(-15, 15) for b in range(-15, 15)]
+    rows = [(2 * i, v) for i, v in enumerate(places)] * 2 + [(2 * i, [v[0], v[1], 2.0]) for i, v in enumerate(places[:40])] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asked = df.where("vec_id % 180 = 0 and vec_id > 100")
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    got = sorted(tuple(r) for r in nearest.nearest(df, asked, 10, recall=1.1).collect())
+    expected = [(q, i + 1, *n) for q in range(180, 1800, 180) for i, n in enumerate(brute(ids, x, (q, np.array(places[q // 2])), 10))]
+    assert [r[:3] for r in got] == [r[:3] for r in expected] and np.allclose([r[3] for r in got], [r[3] for r in expected])
+
+
 def test_nearest_of_two_frequent_lengths(spark):
     rng = np.random.default_rng(8)
     sets = {5: rng.normal(size=(300, 5)), 9: rng.normal(size=(280, 9))}
